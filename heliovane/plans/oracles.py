@@ -19,17 +19,18 @@ MEANS = tuple(f"{v}_mean" for v in MAIN)
 RANGES = {"sw_dwn": 400, "dni": 900, "ws_50m": 30, "ws_100m": 30}
 
 
-def _r(expression: str, name: str | None = None, digits: int = 6) -> str:
-    return f"round({expression}, {digits}) AS {name or expression}"
+def _r(column: str) -> str:
+    # The shift is explained in queries.rounded.
+    return f"round({column} + 3.3e-9, 6) AS {column}"
 
 
 def _each(names, template: str) -> str:
     return ", ".join(template.format(v=v) for v in names)
 
 
-ROUNDED_MAIN = _each(MAIN, "round({v}, 6) AS {v}")
-ROUNDED_MEANS = _each(MEANS, "round({v}, 6) AS {v}")
-ROUNDED_PLACE = "round(latitude, 6) AS latitude, round(longitude, 6) AS longitude"
+ROUNDED_MAIN = _each(MAIN, "round({v} + 3.3e-9, 6) AS {v}")
+ROUNDED_MEANS = _each(MEANS, "round({v} + 3.3e-9, 6) AS {v}")
+ROUNDED_PLACE = "round(latitude + 3.3e-9, 6) AS latitude, round(longitude + 3.3e-9, 6) AS longitude"
 
 OBS = """obs AS (
   SELECT l_suppkey AS point_id, CAST(l_shipdate AS DATE) AS date,
@@ -243,9 +244,9 @@ PAYLOAD_ROWS = (
 )
 PAYLOAD_SQL = _with(
     *PAYLOAD_ROWS,
-    then="SELECT point_id, date, round(sw_dwn, 6) AS sw_dwn, round(dni, 6) AS dni,"
-    " round(CASE WHEN point_id % 3 <> 0 OR day(date) % 2 = 0 THEN ws_50m END, 6) AS ws_50m,"
-    " round(nullif(ws_100m, -999), 6) AS ws_100m FROM daily",
+    then="SELECT point_id, date, round(sw_dwn + 3.3e-9, 6) AS sw_dwn, round(dni + 3.3e-9, 6) AS dni,"
+    " round(CASE WHEN point_id % 3 <> 0 OR day(date) % 2 = 0 THEN ws_50m END + 3.3e-9, 6) AS ws_50m,"
+    " round(nullif(ws_100m, -999) + 3.3e-9, 6) AS ws_100m FROM daily",
 )
 
 BOXES = (
@@ -309,13 +310,13 @@ SELECT * FROM dated WHERE date IS NOT NULL""",
         *LABELLED,
         then="SELECT cluster_id, 'Cluster ' || CAST(cluster_id AS VARCHAR) AS label, 'Cluster ' ||"
         " CAST(cluster_id AS VARCHAR) || ' with ' || CAST(count(*) AS VARCHAR) || ' points' AS description,"
-        " count(*) AS size, " + _each(MEANS, "round(avg({v}), 6) AS {v}") + " FROM labelled GROUP BY cluster_id",
+        " count(*) AS size, " + _each(MEANS, "round(avg({v}) + 3.3e-9, 6) AS {v}") + " FROM labelled GROUP BY cluster_id",
     ),
     "profile_json": _with(
         *ENTRIES,
         then="SELECT region, cluster_id, size, CAST(0 AS DOUBLE) AS confidence, CAST(place - 1 AS INTEGER) AS pos,"
-        " country, count, round(percentage, 6) AS percentage, round(avg_solar_score, 6) AS avg_solar_score,"
-        " round(avg_wind_score, 6) AS avg_wind_score, round(avg_hybrid_score, 6) AS avg_hybrid_score FROM placed",
+        " country, count, round(percentage + 3.3e-9, 6) AS percentage, round(avg_solar_score + 3.3e-9, 6) AS avg_solar_score,"
+        " round(avg_wind_score + 3.3e-9, 6) AS avg_wind_score, round(avg_hybrid_score + 3.3e-9, 6) AS avg_hybrid_score FROM placed",
     ),
     "grid_points": _with(*BOXES, then=f"SELECT point_id, {ROUNDED_PLACE}, country FROM grid"),
     "grid_sample": _with(*SAMPLE, then=f"SELECT point_id, {ROUNDED_PLACE}, country FROM sample"),
@@ -342,7 +343,7 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
     "dedup_rows": _with(OBS, then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM (SELECT DISTINCT * FROM obs)"),
     "clean_missing_cols": _with(
         OBS, NULLED,
-        then="SELECT point_id, date, round(sw_dwn, 6) AS sw_dwn, round(dni, 6) AS dni FROM (SELECT DISTINCT point_id,"
+        then="SELECT point_id, date, round(sw_dwn + 3.3e-9, 6) AS sw_dwn, round(dni + 3.3e-9, 6) AS dni FROM (SELECT DISTINCT point_id,"
         " date, sw_dwn, dni FROM nulled WHERE sw_dwn IS NOT NULL OR dni IS NOT NULL)",
     ),
     "ordered_observations": _with(
@@ -363,12 +364,12 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
     ),
     "completeness": _with(
         OBS, NULLED, f"counted AS (SELECT {_COUNTED} FROM nulled)",
-        then="SELECT *, round(CAST(complete_rows AS DOUBLE) / total_rows, 6) AS completeness_ratio,"
+        then="SELECT *, round(CAST(complete_rows AS DOUBLE) / total_rows + 3.3e-9, 6) AS completeness_ratio,"
         " CAST(complete_rows AS DOUBLE) / total_rows >= 0.5 AS is_valid FROM counted",
     ),
     "completeness_by_point": _with(
         OBS, NULLED, f"counted AS (SELECT point_id, {_COUNTED} FROM nulled GROUP BY point_id)",
-        then="SELECT *, round(CAST(complete_rows AS DOUBLE) / total_rows, 6) AS completeness_ratio,"
+        then="SELECT *, round(CAST(complete_rows AS DOUBLE) / total_rows + 3.3e-9, 6) AS completeness_ratio,"
         " CAST(complete_rows AS DOUBLE) / total_rows >= 0.7 AS is_valid FROM counted",
     ),
     "result_validation": _with(
@@ -385,14 +386,14 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
     ),
     "invalid_runs": _with(
         RUNS,
-        then="SELECT experiment, run_seq, round(memory_mb, 6) AS memory_mb FROM runs"
+        then="SELECT experiment, run_seq, round(memory_mb + 3.3e-9, 6) AS memory_mb FROM runs"
         " WHERE NOT (worker_count >= 1 AND seconds >= 0 AND memory_mb >= 0)",
     ),
     "point_means": _with(
         OBS, NULLED,
         "clean AS (SELECT DISTINCT * FROM nulled WHERE " + " OR ".join(f"{v} IS NOT NULL" for v in MAIN) + ")",
-        then="SELECT point_id, round(avg(sw_dwn), 6) AS sw_dwn_mean, CAST(0 AS DOUBLE) AS dni_mean,"
-        " round(avg(ws_50m), 6) AS ws_50m_mean, round(avg(ws_100m), 6) AS ws_100m_mean FROM clean GROUP BY point_id",
+        then="SELECT point_id, round(avg(sw_dwn) + 3.3e-9, 6) AS sw_dwn_mean, CAST(0 AS DOUBLE) AS dni_mean,"
+        " round(avg(ws_50m) + 3.3e-9, 6) AS ws_50m_mean, round(avg(ws_100m) + 3.3e-9, 6) AS ws_100m_mean FROM clean GROUP BY point_id",
     ),
     "point_position_scores": _with(
         OBS, NULLED, CLEAN,
@@ -405,7 +406,7 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
         ) + " FROM stats)",
         then=f"SELECT point_id, {ROUNDED_MEANS}, {_r('solar_position')}, {_r('wind_position')},"
         " round(CAST(0.5 AS DOUBLE) * solar_position + CAST(0.3 AS DOUBLE) * wind_position + CAST(0.2 AS DOUBLE)"
-        " * (solar_position * wind_position), 6) AS hybrid_position FROM positions",
+        " * (solar_position * wind_position) + 3.3e-9, 6) AS hybrid_position FROM positions",
     ),
     "minmax_scores": _with(
         OBS, POINTS, MORE_POINTS, NULLED, MEANS_CTE, _indicator_means("more_points", "CAST(0 AS DOUBLE)"), _scored(),
@@ -418,7 +419,7 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
     "indicators": _with(*INDICATORS, then=f"SELECT {ROUNDED_INDICATORS} FROM scored"),
     "per_point_udf": _with(
         OBS, NULLED, CLEAN,
-        then="SELECT point_id, round(avg(sw_dwn), 6) AS sw_dwn_mean, count(sw_dwn) AS n_values FROM clean GROUP BY point_id",
+        then="SELECT point_id, round(avg(sw_dwn) + 3.3e-9, 6) AS sw_dwn_mean, count(sw_dwn) AS n_values FROM clean GROUP BY point_id",
     ),
     "cluster_sizes": "SELECT cluster_id, coalesce(n, 0) AS size FROM (SELECT DISTINCT s_suppkey % 5 AS cluster_id"
     " FROM supplier) c LEFT JOIN (SELECT s_suppkey % 4 AS label, count(*) AS n FROM supplier GROUP BY 1) ON"
@@ -429,27 +430,27 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
         " hybrid_score FROM labelled)",
         "totals AS (SELECT cluster_id, count(*) AS total FROM homed GROUP BY 1)",
         "entries AS (SELECT cluster_id, country, count(*) AS count, " + _each(
-            ("solar_score", "wind_score", "hybrid_score"), "round(avg({v}), 6) AS avg_{v}"
+            ("solar_score", "wind_score", "hybrid_score"), "round(avg({v}) + 3.3e-9, 6) AS avg_{v}"
         ) + " FROM homed WHERE country IS NOT NULL GROUP BY 1, 2)",
-        then="SELECT e.cluster_id, country, count, round(CAST(count AS DOUBLE) / total, 6) AS percentage,"
+        then="SELECT e.cluster_id, country, count, round(CAST(count AS DOUBLE) / total + 3.3e-9, 6) AS percentage,"
         " avg_solar_score, avg_wind_score, avg_hybrid_score, CAST(row_number() OVER (PARTITION BY e.cluster_id"
         " ORDER BY count DESC, country) AS INTEGER) AS country_rank FROM entries e JOIN totals t"
         " ON t.cluster_id = e.cluster_id",
     ),
     "cluster_summary": _with(
         *LABELLED,
-        then="SELECT cluster_id, count(point_id) AS points, round(avg(solar_score), 6) AS solar_mean,"
-        " round(avg(wind_score), 6) AS wind_mean, round(avg(hybrid_score), 6) AS hybrid_mean FROM labelled GROUP BY 1",
+        then="SELECT cluster_id, count(point_id) AS points, round(avg(solar_score) + 3.3e-9, 6) AS solar_mean,"
+        " round(avg(wind_score) + 3.3e-9, 6) AS wind_mean, round(avg(hybrid_score) + 3.3e-9, 6) AS hybrid_mean FROM labelled GROUP BY 1",
     ),
     "score_series": _with(
         *LABELLED,
-        then="SELECT cluster_id, round(avg(solar_score), 6) AS solar_mean, round(avg(wind_score), 6) AS wind_mean"
+        then="SELECT cluster_id, round(avg(solar_score) + 3.3e-9, 6) AS solar_mean, round(avg(wind_score) + 3.3e-9, 6) AS wind_mean"
         " FROM labelled GROUP BY 1",
     ),
     "feature_columns": _with(
         *INDICATORS,
-        then="SELECT point_id, round(sw_dwn_mean, 6) AS sw_dwn_mean, round(ws_50m_mean, 6) AS ws_50m_mean,"
-        " round(ws_100m_mean, 6) AS ws_100m_mean FROM scored",
+        then="SELECT point_id, round(sw_dwn_mean + 3.3e-9, 6) AS sw_dwn_mean, round(ws_50m_mean + 3.3e-9, 6) AS ws_50m_mean,"
+        " round(ws_100m_mean + 3.3e-9, 6) AS ws_100m_mean FROM scored",
     ),
     "impute_median": _with(*IMPUTED, then=f"SELECT point_id, {ROUNDED_MEANS} FROM imputed"),
     "standardize": _with(*SCALED, then=f"SELECT point_id, {ROUNDED_MEANS} FROM scaled"),
@@ -459,10 +460,10 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
         " AS BIGINT) AS cluster_id FROM scored",
     ),
     "assign_nearest": _with(*NEAREST, then=f"SELECT point_id, cluster_id, {_r('distance2')} FROM nearest"),
-    "inertia": _with(*NEAREST, then="SELECT round(sum(round(distance2, 6)), 3) AS inertia FROM nearest"),
+    "inertia": _with(*NEAREST, then="SELECT round(sum(distance2) + 3.3e-9, 6) AS inertia FROM nearest"),
     "cluster_centroids": _with(
         *IMPUTED,
-        then="SELECT point_id % 4 AS cluster_id, " + _each(MEANS, "round(avg({v}), 6) AS {v}")
+        then="SELECT point_id % 4 AS cluster_id, " + _each(MEANS, "round(avg({v}) + 3.3e-9, 6) AS {v}")
         + " FROM imputed GROUP BY 1",
     ),
     "valid_k": "WITH limits AS (SELECT count(*) * 4 AS n FROM region) SELECT DISTINCT CAST(l_quantity AS INTEGER) AS k,"
@@ -470,7 +471,7 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
     " FROM lineitem CROSS JOIN limits",
     "silhouette_by_labelling": _with(
         *LABELS, *SILHOUETTE,
-        then="SELECT 'l' || CAST(k AS VARCHAR) AS labelling, round(silhouette, 6) AS silhouette FROM silhouettes",
+        then="SELECT 'l' || CAST(k AS VARCHAR) AS labelling, round(silhouette + 3.3e-9, 6) AS silhouette FROM silhouettes",
     ),
     "silhouette_embeddings": """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
@@ -479,20 +480,20 @@ sums AS (SELECT a.vec_id, a.label AS own, b.label AS label, sum(list_distance(a.
 sides AS (SELECT vec_id, max(CASE WHEN own = label AND n > 1 THEN s / (n - 1) END) AS a,
   min(CASE WHEN own <> label THEN s / n END) AS b FROM sums GROUP BY 1)
 SELECT 'label' AS labelling, round(avg(CASE WHEN b IS NULL THEN NULL WHEN a IS NULL OR greatest(a, b) = 0 THEN 0
-  ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM sides""",
+  ELSE (b - a) / greatest(a, b) END) + 3.3e-9, 6) AS silhouette FROM sides""",
     "davies_bouldin": _with(
         *LABELS, *DAVIES_BOULDIN,
-        then="SELECT 'l' || CAST(k AS VARCHAR) AS labelling, round(davies_bouldin, 6) AS davies_bouldin FROM db",
+        then="SELECT 'l' || CAST(k AS VARCHAR) AS labelling, round(davies_bouldin + 3.3e-9, 6) AS davies_bouldin FROM db",
     ),
     "recommended_k": _with(
         *BEST,
-        then="SELECT CAST(recommended_k AS INTEGER) AS recommended_k, round(silhouette, 6) AS silhouette,"
-        " round(davies_bouldin, 6) AS davies_bouldin FROM best",
+        then="SELECT CAST(recommended_k AS INTEGER) AS recommended_k, round(silhouette + 3.3e-9, 6) AS silhouette,"
+        " round(davies_bouldin + 3.3e-9, 6) AS davies_bouldin FROM best",
     ),
-    "adjusted_rand": _with(POINTS, MORE_POINTS, *RAND, then="SELECT run_a, run_b, round(ari, 6) AS ari FROM rand"),
+    "adjusted_rand": _with(POINTS, MORE_POINTS, *RAND, then="SELECT run_a, run_b, round(ari + 3.3e-9, 6) AS ari FROM rand"),
     "rand_stability": _with(
         POINTS, MORE_POINTS, *RAND,
-        then="SELECT round(avg(ari), 6) AS ari_mean, round(stddev_pop(ari), 6) AS ari_std FROM rand",
+        then="SELECT round(avg(ari) + 3.3e-9, 6) AS ari_mean, round(stddev_pop(ari) + 3.3e-9, 6) AS ari_std FROM rand",
     ),
     "quality_gates": _with(
         *GATES,
@@ -512,7 +513,7 @@ SELECT 'label' AS labelling, round(avg(CASE WHEN b IS NULL THEN NULL WHEN a IS N
         " 'Nota: K=2 produjo un unico cluster; se omite de silhouette/DB.' AS report FROM worded",
     ),
     "cluster_zscores": _with(
-        *READ, then="SELECT region, cluster_id, " + _each(MEANS, "round({v}_z, 6) AS {v}_z") + " FROM zs"
+        *READ, then="SELECT region, cluster_id, " + _each(MEANS, "round({v}_z + 3.3e-9, 6) AS {v}_z") + " FROM zs"
     ),
     "composite_index": _with(
         *READ, then=f"SELECT region, cluster_id, {_r('solar_index')}, {_r('wind_index')} FROM indices"
@@ -527,7 +528,7 @@ SELECT 'label' AS labelling, round(avg(CASE WHEN b IS NULL THEN NULL WHEN a IS N
         "entries AS (SELECT cluster_id, country, count(*) AS n FROM labelled GROUP BY 1, 2)",
         "firsts AS (SELECT *, row_number() OVER (PARTITION BY cluster_id ORDER BY n DESC, country) AS place,"
         " CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY cluster_id) AS share FROM entries)",
-        then="SELECT cluster_id, country AS dominant_country, round(share, 6) AS dominant_share FROM firsts"
+        then="SELECT cluster_id, country AS dominant_country, round(share + 3.3e-9, 6) AS dominant_share FROM firsts"
         " WHERE place = 1",
     ),
     "cluster_description": _with(
@@ -553,18 +554,18 @@ SELECT 'label' AS labelling, round(avg(CASE WHEN b IS NULL THEN NULL WHEN a IS N
     "run_speedup": _with(
         *SPEEDUP,
         then="SELECT experiment, run_seq, CASE WHEN worker_count = 1 THEN 'sequential' ELSE 'parallel' END AS mode,"
-        " worker_count, round(seconds, 6) AS seconds, round(greatest(memory_mb, CAST(0 AS DOUBLE)), 6) AS memory_mb,"
-        " round(baseline_seconds, 6) AS baseline_seconds, round(speedup, 6) AS speedup,"
-        " round(speedup / worker_count * 100, 6) AS efficiency FROM sped",
+        " worker_count, round(seconds + 3.3e-9, 6) AS seconds, round(greatest(memory_mb, CAST(0 AS DOUBLE)) + 3.3e-9, 6) AS memory_mb,"
+        " round(baseline_seconds + 3.3e-9, 6) AS baseline_seconds, round(speedup + 3.3e-9, 6) AS speedup,"
+        " round(speedup / worker_count * 100 + 3.3e-9, 6) AS efficiency FROM sped",
     ),
     "runs_by_workers": _with(
         *SPEEDUP,
-        then="SELECT worker_count, round(avg(seconds), 6) AS mean_seconds, round(avg(speedup), 6) AS mean_speedup"
+        then="SELECT worker_count, round(avg(seconds) + 3.3e-9, 6) AS mean_seconds, round(avg(speedup) + 3.3e-9, 6) AS mean_speedup"
         " FROM sped GROUP BY 1",
     ),
     "experiment_summary": _with(
         RUNS,
-        then="SELECT experiment, status, worker_count AS workers, repeat, round(seconds, 6) AS elapsed_seconds,"
+        then="SELECT experiment, status, worker_count AS workers, repeat, round(seconds + 3.3e-9, 6) AS elapsed_seconds,"
         " point_count, error FROM runs",
     ),
     "experiment_stability": _with(

@@ -27,10 +27,15 @@ def query(fn: Query) -> Query:
     return fn
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Doubles at six decimals, so that the order of summation does not show."""
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles at six decimals, so that the order of summation does not show.
+
+    Means of decimals often end in an exact half of the sixth decimal, where the last
+    bit of the sum would decide; the shift, far above that noise and far below the
+    sixth decimal, moves such halves off the edge.  The SQL rounds the same way.
+    """
     doubles = [name for name, kind in df.dtypes if kind == "double"]
-    return df.withColumns({c: F.round(c, digits) for c in doubles}) if doubles else df
+    return df.withColumns({c: F.round(F.col(c) + 3.3e-9, 6) for c in doubles}) if doubles else df
 
 
 def store(spark: SparkSession) -> tables.TableStore:
@@ -75,6 +80,13 @@ def many_labels(spark: SparkSession, sf: str) -> DataFrame:
     return settle(scaled.withColumns({name: F.col("point_id") % int(name[1:]) for name in LABELLINGS}))
 
 
+def nearest(spark: SparkSession, sf: str) -> DataFrame:
+    """Scaled features with the nearest of the fixed labels' means."""
+    scaled, _ = scaled_features(spark, sf)
+    centroids = scaled.groupBy(fixed_label()).agg(*[F.avg(m).alias(m) for m in MEAN_COLUMNS])
+    return kmeans.assign_nearest(scaled, centroids, MEAN_COLUMNS)
+
+
 def region_profiles(spark: SparkSession, sf: str) -> DataFrame:
     """Profiles of fixed clusters within each region: (region, cluster_id, ...)."""
     nations = derived.read(spark, sf, "nation").select(
@@ -431,15 +443,12 @@ def custom_clustering(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def assign_nearest(spark: SparkSession, sf: str) -> DataFrame:
-    scaled, _ = scaled_features(spark, sf)
-    centroids = scaled.groupBy(fixed_label()).agg(*[F.avg(m).alias(m) for m in MEAN_COLUMNS])
-    near = kmeans.assign_nearest(scaled, centroids, MEAN_COLUMNS)
-    return rounded(near.select("point_id", "cluster_id", "distance2"))
+    return rounded(nearest(spark, sf).select("point_id", "cluster_id", "distance2"))
 
 
 @query
 def inertia(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(kmeans.inertia(assign_nearest(spark, sf)), 3)
+    return rounded(kmeans.inertia(nearest(spark, sf)))
 
 
 @query
