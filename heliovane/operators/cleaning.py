@@ -68,6 +68,17 @@ def clean(df: DataFrame, ranges: Ranges = CLEANING_RANGES, sort: bool = False) -
     return order_by_date(cleaned) if sort else cleaned
 
 
+def in_years(df: DataFrame, start_year: int, end_year: int) -> DataFrame:
+    """Rows dated from 1 January of the first to 31 December of the last year.
+
+    A plain range on the date, so it reaches the file scan.
+    """
+    if start_year > end_year:
+        raise ValueError("start_year must not be greater than end_year")
+    first, last = F.make_date(F.lit(start_year), F.lit(1), F.lit(1)), F.make_date(F.lit(end_year), F.lit(12), F.lit(31))
+    return df.where(F.col("date").between(first, last))
+
+
 def order_by_date(df: DataFrame) -> DataFrame:
     """Global order by point and date; the other columns break ties.
 

@@ -11,43 +11,67 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 2048
 
 
-def _distance_sums(spread: DataFrame, labellings: Sequence[str]) -> DataFrame:
-    """Per point and label: summed distance to that label's points, and their number."""
+def _distance_sums(spread: DataFrame, labellings: Sequence[str], width: int) -> DataFrame:
+    """Per point and label: summed distance to that label's points, and their number.
+
+    Every row is a pair of blocks.  Rows of one near block follow each other, so the
+    sums of a block are kept until the next block begins.
+    """
     names = list(labellings)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import numpy as np
 
-        def matrix(lists):
-            return np.array([np.asarray(v, dtype=float) for v in lists])
+        def by_label(points, far, far_labels):
+            # (labels, distance sums, counts) per labelling, of one pair of blocks.
+            members = [np.unique(far_labels[:, i], return_inverse=True) for i in range(len(names))]
+            hot = [np.eye(len(seen))[inverse] for seen, inverse in members]
+            totals = [np.empty((len(points), len(seen))) for seen, _ in members]
+            # Small tiles stay in the processor cache.
+            step = max(1, 65_536 // len(far))
+            columns = [np.ascontiguousarray(far[:, axis]) for axis in range(width)]
+            tile, gap = np.empty((step, len(far))), np.empty((step, len(far)))
+            for start in range(0, len(points), step):
+                part = points[start : start + step]
+                squares, difference = tile[: len(part)], gap[: len(part)]
+                squares.fill(0.0)
+                for axis, column in enumerate(columns):
+                    np.subtract(part[:, axis, None], column, out=difference)
+                    np.multiply(difference, difference, out=difference)
+                    np.add(squares, difference, out=squares)
+                distances = np.sqrt(squares, out=squares)
+                for total, one in zip(totals, hot):
+                    total[start : start + step] = distances @ one
+            return [
+                (seen, total, np.bincount(inverse, minlength=len(seen)))
+                for (seen, inverse), total in zip(members, totals)
+            ]
+
+        def added(held, new):
+            # Labels are ascending on both sides; add up label by label.
+            seen = np.union1d(held[0], new[0])
+            total, count = np.zeros((len(held[1]), len(seen))), np.zeros(len(seen), dtype="int64")
+            for labels, sums_, counts in (held, new):
+                at = np.searchsorted(seen, labels)
+                total[:, at] += sums_
+                count[at] += counts
+            return seen, total, count
 
         def rows_of(block):
-            ids, labels = block["ids"], block["labels"]
             for number, name in enumerate(names):
                 seen, total, count = block["found"][number]
                 for at, label in enumerate(seen):
                     yield pd.DataFrame(
                         {
                             "labelling": name,
-                            "point_id": ids,
-                            "own_label": labels[:, number],
+                            "point_id": block["ids"],
+                            "own_label": block["labels"][:, number],
                             "label": label,
                             "distance_sum": total[:, at],
                             "n_points": count[at],
                         }
                     )
 
-        def merge(held, new):
-            # Both sides list labels in ascending order; add up label by label.
-            seen = np.union1d(held[0], new[0])
-            total = np.zeros((held[1].shape[0], len(seen)))
-            count = np.zeros(len(seen), dtype="int64")
-            for part in (held, new):
-                at = np.searchsorted(seen, part[0])
-                total[:, at] += part[1]
-                count[at] += part[2]
-            return seen, total, count
-
         current = None
         for batch in batches:
             for row in batch.itertuples(index=False):
@@ -57,30 +81,14 @@ def _distance_sums(spread: DataFrame, labellings: Sequence[str]) -> DataFrame:
                     current = {
                         "block": row.block,
                         "ids": np.asarray(row.ids),
-                        "points": matrix(row.points),
-                        "labels": matrix(row.labels).astype("int64"),
+                        "points": np.asarray(row.points).reshape(-1, width),
+                        "labels": np.asarray(row.labels).reshape(-1, len(names)),
                         "found": None,
                     }
-                near, far = current["points"], matrix(row.far_points)
-                far_labels = matrix(row.far_labels).astype("int64")
-                members = [np.unique(far_labels[:, i], return_inverse=True) for i in range(len(names))]
-                hot = [np.eye(len(seen))[inverse] for seen, inverse in members]
-                totals = [np.empty((len(near), len(seen))) for seen, _ in members]
-                step = max(1, 1_000_000 // max(1, len(far)))
-                for start in range(0, len(near), step):
-                    part = near[start : start + step]
-                    squares = np.zeros((len(part), len(far)))
-                    for axis in range(near.shape[1]):
-                        squares += (part[:, axis, None] - far[None, :, axis]) ** 2
-                    distances = np.sqrt(squares)
-                    for i in range(len(names)):
-                        totals[i][start : start + step] = distances @ hot[i]
-                new = [
-                    (members[i][0], totals[i], np.bincount(members[i][1], minlength=len(members[i][0])))
-                    for i in range(len(names))
-                ]
-                old = current["found"]
-                current["found"] = new if old is None else [merge(a, b) for a, b in zip(old, new)]
+                far = np.asarray(row.far_points).reshape(-1, width)
+                new = by_label(current["points"], far, np.asarray(row.far_labels).reshape(-1, len(names)))
+                held = current["found"]
+                current["found"] = new if held is None else [added(a, b) for a, b in zip(held, new)]
         if current is not None:
             yield from rows_of(current)
 
@@ -105,28 +113,43 @@ def silhouette_values(
     memory, for all labellings at once, and only keeps per-point sums by label.
     Rows moved: points x blocks, never points x points.
     """
-    names = list(labellings)
-    packed = df.select(
-        F.col(id_col).cast("bigint").alias("id"),
-        F.array(*[F.col(f).cast("double") for f in features]).alias("point"),
-        F.array(*[F.col(c).cast("bigint") for c in names]).alias("labels"),
-    )
-    blocks_wanted = max(1, -(-df.count() // block_rows))
-    packed = packed.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks_wanted)))
-    blocks = packed.groupBy("block").agg(F.collect_list(F.struct("id", "point", "labels")).alias("rows"))
-    near = blocks.select(
-        "block",
-        F.col("rows.id").alias("ids"),
-        F.col("rows.point").alias("points"),
-        F.col("rows.labels").alias("labels"),
+    names, axes = list(labellings), list(features)
+    count = max(1, -(-df.count() // block_rows))
+    packed = (
+        df.select(
+            F.pmod(F.xxhash64(F.col(id_col)), F.lit(count)).alias("block"),
+            F.struct(
+                F.col(id_col).cast("bigint").alias("id"),
+                F.array(*[F.col(f).cast("double") for f in axes]).alias("point"),
+                F.array(*[F.col(c).cast("bigint") for c in names]).alias("labels"),
+            ).alias("row"),
+        )
+        .groupBy("block")
+        .agg(F.collect_list("row").alias("rows"))
+        .select(
+            "block",
+            F.col("rows.id").alias("ids"),
+            F.flatten("rows.point").alias("points"),
+            F.flatten("rows.labels").alias("labels"),
+        )
     )
-    far = blocks.select(
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks_wanted - 1))).alias("block"),
-        F.col("rows.point").alias("far_points"),
-        F.col("rows.labels").alias("far_labels"),
+    # Enough pieces for all cores: the partners of a block are dealt to slices, and a
+    # task holds one (block, slice).  Numbered partitions are not merged again.
+    slices = min(count, -(-4 * df.sparkSession.sparkContext.defaultParallelism // count))
+    places = (count * slices, "block", "slice")
+    near = packed.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).repartition(*places)
+    far = (
+        packed.select(
+            F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))).alias("block"),
+            F.pmod("block", F.lit(slices)).cast("int").alias("slice"),
+            F.col("points").alias("far_points"),
+            F.col("labels").alias("far_labels"),
+        )
+        .repartition(*places)
+        .sortWithinPartitions("block", "slice")
     )
     by_label = (
-        _distance_sums(near.join(far, "block"), names)
+        _distance_sums(near.join(far, ["block", "slice"]), names, len(axes))
         .repartition("labelling", "point_id")
         .groupBy("labelling", "point_id", "own_label", "label")
         .agg(F.sum("distance_sum").alias("distance_sum"), F.sum("n_points").alias("n_points"))

@@ -336,6 +336,9 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
         " chr(10) ORDER BY point_id)) AS checksum FROM points",
     ),
     "range_null": _with(OBS, NULLED, then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM nulled"),
+    "in_years": _with(
+        OBS, then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM obs WHERE year(date) BETWEEN 1996 AND 1998"
+    ),
     "drop_all_null": _with(
         OBS, NULLED,
         then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM nulled WHERE " + " OR ".join(f"{v} IS NOT NULL" for v in MAIN),

@@ -153,7 +153,8 @@ def ingest_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def parse_payload(spark: SparkSession, sf: str) -> DataFrame:
-    parsed = payloads.parse_payloads(derived.payloads(spark, sf))
+    # Written first: otherwise the optimizer cancels the JSON round trip.
+    parsed = payloads.parse_payloads(settle(derived.payloads(spark, sf)))
     return rounded(parsed.select("point_id", "date", *MAIN_VARIABLES))
 
 
@@ -276,6 +277,11 @@ def range_null(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cleaning.null_out_of_range(derived.observations(spark, sf)))
 
 
+@query
+def in_years(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(cleaning.in_years(derived.observations(spark, sf), 1996, 1998))
+
+
 @query
 def drop_all_null(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cleaning.drop_all_null(cleaning.null_out_of_range(derived.observations(spark, sf))))
