@@ -42,30 +42,32 @@ def _narrow(df: DataFrame, inside: dict) -> dict:
     return out
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str], window_values: int = WINDOW_VALUES) -> dict:
+def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict:
+    """(number of values, smallest, largest) per column."""
+    row = df.agg(
+        *[F.count(c).alias(f"n_{c}") for c in columns],
+        *[F.min(c).alias(f"lo_{c}") for c in columns],
+        *[F.max(c).alias(f"hi_{c}") for c in columns],
+    ).first()
+    return {c: (row[f"n_{c}"], row[f"lo_{c}"], row[f"hi_{c}"]) for c in columns}
+
+
+def exact_medians(
+    df: DataFrame, columns: Sequence[str], ranges: dict | None = None, window_values: int = WINDOW_VALUES
+) -> dict:
     """Median per column, NULLs skipped; None for a column without values.
 
     Brackets around the middle rank are narrowed about a thousandfold per pass with
     approximate quantiles and exact counts, until few distinct values are left;
     those are ranked with their multiplicities.  The result is exact.
     """
-    first = df.agg(
-        *[F.count(c).alias(f"n_{c}") for c in columns],
-        *[F.min(c).alias(f"lo_{c}") for c in columns],
-        *[F.max(c).alias(f"hi_{c}") for c in columns],
-    ).first()
+    ranges = column_ranges(df, columns) if ranges is None else ranges
     state = {}
     for c in columns:
-        n = first[f"n_{c}"]
+        n, lo, hi = ranges[c]
         if n:
             # Ranks target .. target + width (0-based) average to the median.
-            state[c] = {
-                "lo": first[f"lo_{c}"],
-                "hi": first[f"hi_{c}"],
-                "rows": n,
-                "target": (n - 1) // 2,
-                "width": 0 if n % 2 else 1,
-            }
+            state[c] = {"lo": lo, "hi": hi, "rows": n, "target": (n - 1) // 2, "width": 0 if n % 2 else 1}
     medians: dict = {c: None for c in columns}
     wide = {c: s for c, s in state.items() if s["rows"] > window_values and s["lo"] < s["hi"]}
     while wide:

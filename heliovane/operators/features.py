@@ -57,23 +57,33 @@ class Scaling:
 
 
 def fit_scaling(df: DataFrame, features: Sequence[str]) -> Scaling:
-    """Medians for the gaps (0.0 for an empty feature), then mean and deviation."""
+    """Medians for the gaps (0.0 for an empty feature), then mean and deviation.
+
+    One pass over the table; features with gaps add the passes of their median, and
+    the moments with the gaps filled follow from those without.
+    """
     plain = df.select(*[nan_to_null(F.col(f).cast("double")).alias(f) for f in features])
-    gaps = plain.agg(*[F.count_if(F.col(f).isNull()).alias(f) for f in features]).first()
-    holey = [f for f in features if gaps[f]]
-    found = exact_medians(plain, holey) if holey else {}
-    # Medians only matter where there are gaps.
-    medians = [float(found.get(f) or 0.0) for f in features]
-    filled = [F.coalesce(F.col(f), F.lit(m)) for f, m in zip(features, medians)]
+    measures = {"n": F.count, "lo": F.min, "hi": F.max, "mean": F.avg, "var": F.var_pop}
     row = plain.agg(
-        F.count(F.lit(1)),
-        *[F.avg(c) for c in filled],
-        *[F.var_pop(c) for c in filled],
+        F.count(F.lit(1)).alias("rows"),
+        *[measure(f).alias(f"{name}_{f}") for f in features for name, measure in measures.items()],
     ).first()
-    n, d = row[0], len(features)
+    n = row["rows"]
     if not n:
         raise ValueError("no rows to fit the scaling on")
-    means, variances = row[1 : 1 + d], row[1 + d : 1 + 2 * d]
+    ranges = {f: (row[f"n_{f}"], row[f"lo_{f}"], row[f"hi_{f}"]) for f in features}
+    holey = [f for f in features if 0 < row[f"n_{f}"] < n]
+    found = exact_medians(plain, holey, ranges) if holey else {}
+    medians, means, variances = [], [], []
+    for f in features:
+        known, median = row[f"n_{f}"], found.get(f, 0.0)
+        mean, variance = (row[f"mean_{f}"], row[f"var_{f}"]) if known else (0.0, 0.0)
+        filled = (known * mean + (n - known) * median) / n if known < n else mean
+        if known < n:
+            variance = (known * (variance + (mean - filled) ** 2) + (n - known) * (median - filled) ** 2) / n
+        medians.append(float(median))
+        means.append(float(filled))
+        variances.append(float(variance))
     # A variance within rounding error of zero counts as constant: left unscaled.
     deviations = [
         1.0 if v <= n * _EPSILON * v + (n * m * _EPSILON) ** 2 else v**0.5 for m, v in zip(means, variances)

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from heliovane.operators.features import fit_scaling
-from heliovane.operators.kmeans import fit_kmeans
+from heliovane.operators.kmeans import ClusterModel, fit_kmeans
 from heliovane.operators.silhouette import silhouette
 from heliovane.schema import (
     DAVIES_BOULDIN_THRESHOLD,
@@ -208,16 +210,27 @@ def quality_text(
 
 
 def fit_label_columns(
-    df: DataFrame, features: Sequence[str], settings: Sequence[tuple[int, int]], id_col: str = "point_id", n_init: int = 1
+    plain: DataFrame,
+    features: Sequence[str],
+    settings: Sequence[tuple[int, int]],
+    n_init: int = 1,
+    parallelism: int = 4,
 ) -> tuple[DataFrame, list[str], list]:
     """Scaled features with one label column per (k, seed), and the fitted models.
 
-    The scaled table is written once and every fit and metric starts from it.
+    ``plain`` is a written table; its scaled form is written once more and every fit
+    starts from that.  Fits do not depend on each other, so a few are submitted at a
+    time and share the cluster.
     """
-    plain = settle(df.select(id_col, *features))
+    spark = plain.sparkSession
     scaling = fit_scaling(plain, features)
     scaled = settle(scaling.standardize(plain))
-    models = [fit_kmeans(scaled, scaling, k, seed, n_init) for k, seed in settings]
+
+    def fit(setting: tuple[int, int]) -> ClusterModel:
+        return fit_kmeans(scaled, scaling, *setting, n_init=n_init)
+
+    with ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
+        models = pool.map(inheritable_thread_target(spark)(fit), settings)
     names = [f"k{k}_seed{seed}" for k, seed in settings]
     labelled = scaled.withColumns({name: model.label_column() for name, model in zip(names, models)})
     return settle(labelled), names, models
@@ -233,14 +246,15 @@ def quality_by_k(
 ) -> DataFrame:
     """Inertia, silhouette and Davies-Bouldin for each valid k, same seed for each.
 
-    Fits run one after the other; the two metrics are then one job for all k.
+    All fits read one written table, and each metric is one job for all k.
     """
     spark = df.sparkSession
-    n_points = df.count()
+    plain = settle(df.select(id_col, *features))
+    n_points = plain.count()
     valid = [k for k in k_values if 2 <= k < n_points]
     if not valid:
         raise ValueError("no valid k value for this number of points")
-    table, names, models = fit_label_columns(df, features, [(k, seed) for k in valid], id_col, n_init)
+    table, names, models = fit_label_columns(plain, features, [(k, seed) for k in valid], n_init)
     fits = spark.createDataFrame(
         [(name, i, k, m.inertia) for i, (name, k, m) in enumerate(zip(names, valid, models))],
         "labelling STRING, position INT, k INT, inertia DOUBLE",
@@ -273,7 +287,8 @@ def evaluate_stability(
     id_col: str = "point_id",
 ) -> DataFrame:
     """Mean and deviation of the adjusted Rand index over runs with different seeds."""
-    table, names, _ = fit_label_columns(df, features, [(k, base_seed + i) for i in range(n_runs)], id_col)
+    plain = settle(df.select(id_col, *features))
+    table, names, _ = fit_label_columns(plain, features, [(k, base_seed + i) for i in range(n_runs)])
     return stability(adjusted_rand(table, names))
 
 
