@@ -64,7 +64,7 @@ def points_checksum(points: DataFrame, chunk: int = 65536) -> DataFrame:
     """
     line = F.format_string("%.8f,%.8f,%s", "latitude", "longitude", "country")
     digests = (
-        points.select(F.floor(F.col("point_id") / chunk).alias("run"), "point_id", line.alias("line"))
+        points.select(F.expr(f"point_id DIV {int(chunk)}").alias("run"), "point_id", line.alias("line"))
         .groupBy("run")
         .agg(F.count(F.lit(1)).alias("n"), F.sort_array(F.collect_list(F.struct("point_id", "line"))).alias("rows"))
         .select("run", "n", F.sha2(F.array_join("rows.line", "\n"), 256).alias("digest"))

@@ -35,7 +35,7 @@ def with_speedup(runs: DataFrame, chunk: int = 65536) -> DataFrame:
     ``chunk`` consecutive run numbers, and across the one-row-per-piece table.
     """
     alone = F.when(F.col("worker_count") == 1, F.col("seconds"))
-    cut = runs.withColumn("_piece", F.floor(F.col("run_seq") / chunk))
+    cut = runs.withColumn("_piece", F.expr(f"run_seq DIV {int(chunk)}"))
 
     earlier_pieces = (
         Window.partitionBy("experiment").orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)

@@ -58,7 +58,8 @@ def fixed_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
-    return clusters.labelled_indicators(indicator_table(spark, sf), fixed_labels(spark, sf))
+    """The written indicator table with the fixed labels, as after clustering."""
+    return clusters.labelled_indicators(settle(indicator_table(spark, sf)), fixed_labels(spark, sf))
 
 
 def gappy_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -147,14 +148,14 @@ def gate_table(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def ingest_payloads(spark: SparkSession, sf: str) -> DataFrame:
     landed = scratch_path(spark, "payloads")
-    derived.payloads(spark, sf).select("point_id", "payload").write.partitionBy("point_id").text(landed)
-    return rounded(payloads.ingest(spark, landed, "lines").select("point_id", "date", *MAIN_VARIABLES))
+    derived.payloads(spark, sf).write.parquet(landed)
+    return rounded(payloads.ingest(spark, landed, "parquet").select("point_id", "date", *MAIN_VARIABLES))
 
 
 @query
 def parse_payload(spark: SparkSession, sf: str) -> DataFrame:
     # Written first: otherwise the optimizer cancels the JSON round trip.
-    parsed = payloads.parse_payloads(settle(derived.payloads(spark, sf)))
+    parsed = payloads.parse_payloads(settle(derived.payloads(spark, sf)), date_source="any")
     return rounded(parsed.select("point_id", "date", *MAIN_VARIABLES))
 
 
@@ -220,7 +221,7 @@ def labelled_parquet(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cluster_profiles(spark: SparkSession, sf: str) -> DataFrame:
-    table = settle(labelled(spark, sf))
+    table = labelled(spark, sf)
     centroids = table.groupBy("cluster_id").agg(*[F.avg(m).alias(m) for m in MEAN_COLUMNS])
     path = scratch_path(spark, "profiles")
     tables.write_profile_csv(clusters.cluster_profiles(table, centroids), path)
@@ -414,7 +415,7 @@ def score_series(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def feature_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(features.feature_table(indicator_table(spark, sf).drop("dni_mean")))
+    return rounded(features.feature_table(settle(indicator_table(spark, sf)).drop("dni_mean")))
 
 
 @query

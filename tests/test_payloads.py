@@ -77,3 +77,12 @@ def test_one_file_per_point(spark, tmp_path):
     (tmp_path / "point_99.json").write_text("<html>busy</html>")
     found = ingest(spark, str(tmp_path)).orderBy("point_id").collect()
     assert [(r["point_id"], r["sw_dwn"]) for r in found] == [(3, 3.0), (12, 12.0)]
+
+
+def test_one_line_per_payload_in_point_folders(spark, tmp_path):
+    table = spark.createDataFrame(
+        [(i % 3, document(ALLSKY_SFC_SW_DWN={f"2020010{i}": i})) for i in range(1, 7)], "point_id BIGINT, payload STRING"
+    )
+    table.write.partitionBy("point_id").text(str(tmp_path / "landed"))
+    found = ingest(spark, str(tmp_path / "landed"), "lines").orderBy("sw_dwn").collect()
+    assert [(r["point_id"], r["sw_dwn"]) for r in found] == [(i % 3, float(i)) for i in range(1, 7)]
