@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heliovane.operators.cleaning import nan_to_null
 from heliovane.schema import IDENTITY_COLUMNS, MAIN_VARIABLES, present
 
 
@@ -17,12 +18,18 @@ def completeness(
     threshold: float = 0.5,
     by: Sequence[str] = (),
 ) -> DataFrame:
-    """Rows, rows with no NULL in the listed columns, their ratio and a verdict.
+    """Rows, rows with no NULL or NaN in the listed columns, their ratio and a verdict.
 
     ``columns='all'`` asks for every column of the frame.  No rows give ratio 0.
     """
     asked = df.columns if columns == "all" else present(df, columns)
-    full = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in asked], F.lit(True))
+    kinds = dict(df.dtypes)
+
+    def known(c: str) -> Column:
+        value = nan_to_null(F.col(c)) if kinds[c] in ("double", "float") else F.col(c)
+        return value.isNotNull()
+
+    full = reduce(lambda a, b: a & b, [known(c) for c in asked], F.lit(True))
     counted = df.groupBy(*by).agg(
         F.count(F.lit(1)).alias("total_rows"), F.count_if(full).alias("complete_rows")
     )

@@ -28,8 +28,9 @@ def feature_table(df: DataFrame, wanted: Sequence[str] = MEAN_COLUMNS, id_col: s
 
 @dataclass(frozen=True)
 class Scaling:
-    """Per-feature median, mean and population deviation, fitted on one table."""
+    """Per-feature median, mean and population deviation, fitted on a table of ``rows`` rows."""
 
+    rows: int
     features: tuple[str, ...]
     medians: tuple[float, ...]
     means: tuple[float, ...]
@@ -88,7 +89,7 @@ def fit_scaling(df: DataFrame, features: Sequence[str]) -> Scaling:
     deviations = [
         1.0 if v <= n * _EPSILON * v + (n * m * _EPSILON) ** 2 else v**0.5 for m, v in zip(means, variances)
     ]
-    return Scaling(tuple(features), tuple(medians), tuple(means), tuple(deviations))
+    return Scaling(n, tuple(features), tuple(medians), tuple(means), tuple(deviations))
 
 
 def impute_median(df: DataFrame, features: Sequence[str] | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from heliovane.operators.cleaning import drop_duplicate_rows, standard_values
+from heliovane.operators.cleaning import drop_duplicate_rows, nan_to_null, standard_values
 from heliovane.operators.scoring import hybrid, score
 from heliovane.schema import (
     IDENTITY_COLUMNS,
@@ -18,8 +18,12 @@ from heliovane.schema import (
 )
 
 
+def _value(variable: str) -> Column:
+    return nan_to_null(F.col(variable).cast("double"))
+
+
 def _mean(df: DataFrame, variable: str) -> Column:
-    return F.avg(variable) if variable in df.columns else F.lit(0.0)
+    return F.avg(_value(variable)) if variable in df.columns else F.lit(0.0)
 
 
 def point_means(observations: DataFrame, variables: Sequence[str] = MAIN_VARIABLES) -> DataFrame:
@@ -36,7 +40,8 @@ def point_position_scores(observations: DataFrame) -> DataFrame:
     def position(variable: str) -> Column:
         if variable not in observations.columns:
             return F.lit(0.0)
-        mean, lo, hi = F.avg(variable), F.min(variable), F.max(variable)
+        value = _value(variable)
+        mean, lo, hi = F.avg(value), F.min(value), F.max(value)
         return F.when(lo.isNull(), 0.0).when(hi <= lo, 0.5).otherwise((mean - lo) / (hi - lo))
 
     placed = observations.groupBy("point_id").agg(

@@ -114,6 +114,8 @@ def fit_kmeans(
     """
     if k < 1:
         raise ValueError("k must be at least 1")
+    if k > scaling.rows:
+        raise ValueError(f"{scaling.rows} points cannot form {k} clusters")
     names = list(scaling.features)
     if k == 1:
         squares = reduce(lambda a, b: a + b, [F.var_pop(f) for f in names])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from heliovane.operators.cleaning import nan_to_null
 from heliovane.schema import MEAN_COLUMNS, WEIGHT_HYBRID, WEIGHT_SOLAR, WEIGHT_WIND, present
 
 SOURCE_OF_SCORE = {"solar_score": "sw_dwn_mean", "wind_score": "ws_100m_mean"}
@@ -32,6 +33,7 @@ def minmax_scores(df: DataFrame, by: str | None = None) -> DataFrame:
     if not sources:
         return df
     asked = present(df, MEAN_COLUMNS)
+    df = df.withColumns({c: nan_to_null(F.col(c).cast("double")) for c in asked})
     extremes = [F.struct(F.min(c).alias("lo"), F.max(c).alias("hi")).alias(c) for c in asked]
     if by is None:
         bounded = df.withColumn("_b", df.agg(F.struct(*extremes)).scalar())

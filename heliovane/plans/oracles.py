@@ -96,8 +96,14 @@ IMPUTED = (
     + _each(MEANS, "coalesce({v}, (SELECT median({v}) FROM table_means)) AS {v}")
     + " FROM table_means)",
 )
-SCALED = (
-    *IMPUTED,
+GROUPS = (
+    POINTS,
+    MORE_POINTS,
+    "imputed AS (SELECT point_id, " + ", ".join(
+        f"point_id % 3 * {gap} + point_id * 7 % 11 / CAST(10 AS DOUBLE) AS {v}" for v, gap in zip(MEANS, (100, 50, 20, 40))
+    ) + " FROM more_points)",
+)
+MOMENTS = (
     "spread AS (SELECT "
     + _each(MEANS, "avg({v}) AS m_{v}, stddev_pop({v}) AS s_{v}")
     + " FROM imputed)",
@@ -105,6 +111,7 @@ SCALED = (
     + _each(MEANS, "CASE WHEN s_{v} > 0 THEN ({v} - m_{v}) / s_{v} ELSE CAST(0 AS DOUBLE) END AS {v}")
     + " FROM imputed CROSS JOIN spread)",
 )
+SCALED = (*IMPUTED, *MOMENTS)
 
 
 def _gap(a: str, b: str, names=MEANS) -> str:
@@ -253,7 +260,7 @@ BOXES = (
     f"homes AS (SELECT {_place('c_custkey')}, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey)",
     "boxes AS (SELECT country, row_number() OVER (ORDER BY country) - 1 AS country_ix, min(latitude) AS lat_lo,"
     " max(latitude) AS lat_hi, min(longitude) AS lon_lo, max(longitude) AS lon_hi FROM homes GROUP BY country)",
-    "steps AS (SELECT count(*) // 7 + 1 AS n, count(*) AS size FROM supplier)",
+    "steps AS (SELECT CAST(floor(sqrt(count(*))) AS BIGINT) + 1 AS n, count(*) AS size FROM supplier)",
     "axis AS (SELECT i FROM (SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS i FROM supplier) CROSS JOIN steps"
     " WHERE i < n)",
     "grid AS (SELECT CAST((country_ix * n + y.i) * n + x.i AS BIGINT) AS point_id,"
@@ -457,6 +464,15 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
     ),
     "impute_median": _with(*IMPUTED, then=f"SELECT point_id, {ROUNDED_MEANS} FROM imputed"),
     "standardize": _with(*SCALED, then=f"SELECT point_id, {ROUNDED_MEANS} FROM scaled"),
+    "kmeans_groups": _with(POINTS, MORE_POINTS, then="SELECT point_id, point_id % 3 AS cluster_id FROM more_points"),
+    "sweep_groups": _with(
+        *GROUPS, *MOMENTS, "labels AS (SELECT 3 AS k, point_id, point_id % 3 AS label FROM scaled)",
+        *SILHOUETTE, *DAVIES_BOULDIN,
+        then="SELECT 3 AS recommended_k, round(silhouette + 3.3e-9, 6) AS silhouette, round(davies_bouldin + 3.3e-9, 6)"
+        " AS davies_bouldin, 3 AS stability_runs, silhouette >= 0.5 AS passes_silhouette, davies_bouldin < 2.0"
+        " AS passes_davies_bouldin, silhouette >= 0.5 AND davies_bouldin < 2.0 AS passes_all"
+        " FROM silhouettes CROSS JOIN db",
+    ),
     "custom_clustering": _with(
         *INDICATORS,
         then="SELECT point_id, CAST(CASE WHEN sw_dwn_mean > (SELECT avg(sw_dwn_mean) FROM scored) THEN 1 ELSE 0 END"
@@ -472,7 +488,7 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
     "valid_k": "WITH limits AS (SELECT count(*) * 4 AS n FROM region) SELECT DISTINCT CAST(l_quantity AS INTEGER) AS k,"
     " n AS n_points, CAST(l_quantity AS INTEGER) >= 2 AND CAST(l_quantity AS INTEGER) < n AS is_valid"
     " FROM lineitem CROSS JOIN limits",
-    "silhouette_by_labelling": _with(
+    "silhouette": _with(
         *LABELS, *SILHOUETTE,
         then="SELECT 'l' || CAST(k AS VARCHAR) AS labelling, round(silhouette + 3.3e-9, 6) AS silhouette FROM silhouettes",
     ),

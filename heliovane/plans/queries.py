@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,7 +24,8 @@ LABELLINGS = ("l2", "l3", "l4", "l5", "l6")
 
 
 def query(fn: Query) -> Query:
-    QUERIES[fn.__name__] = fn
+    # A trailing underscore keeps a query apart from the module of that name.
+    QUERIES[fn.__name__.rstrip("_")] = fn
     return fn
 
 
@@ -240,24 +242,28 @@ def profile_json(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(entries.select("region", "cluster_id", "size", "confidence", "pos", "col.*"))
 
 
+def grid_inputs(spark: SparkSession, sf: str) -> tuple[DataFrame, int, int]:
+    """Country boxes, number of suppliers, and a size giving about that many points a box."""
+    n = derived.read(spark, sf, "supplier").count()
+    return grid.bounds_of_points(derived.customer_points(spark, sf)), n, 7 * isqrt(n)
+
+
 @query
 def grid_points(spark: SparkSession, sf: str) -> DataFrame:
-    bounds = grid.bounds_of_points(derived.customer_points(spark, sf))
-    return rounded(grid.grid_points(bounds, derived.read(spark, sf, "supplier").count()))
+    bounds, _, size = grid_inputs(spark, sf)
+    return rounded(grid.grid_points(bounds, size))
 
 
 @query
 def grid_sample(spark: SparkSession, sf: str) -> DataFrame:
-    n = derived.read(spark, sf, "supplier").count()
-    bounds = grid.bounds_of_points(derived.customer_points(spark, sf))
-    return rounded(grid.generate_points(spark, n, n, None, bounds))
+    bounds, n, size = grid_inputs(spark, sf)
+    return rounded(grid.generate_points(spark, size, n, None, bounds))
 
 
 @query
 def grid_max_points(spark: SparkSession, sf: str) -> DataFrame:
-    n = derived.read(spark, sf, "supplier").count()
-    bounds = grid.bounds_of_points(derived.customer_points(spark, sf))
-    return rounded(grid.generate_points(spark, n, n, n // 2, bounds))
+    bounds, n, size = grid_inputs(spark, sf)
+    return rounded(grid.generate_points(spark, size, n, n // 2, bounds))
 
 
 @query
@@ -434,6 +440,29 @@ def kmeans_labels(spark: SparkSession, sf: str) -> DataFrame:
     return kmeans.KMeansClustering(5, 42).fit(table).labels(table).select("point_id", "cluster_id")
 
 
+def three_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Points in three well separated groups: any good fit finds point_id modulo 3."""
+    group, noise = F.col("point_id") % 3, F.col("point_id") * 7 % 11 / 10.0
+    apart = {"sw_dwn_mean": 100.0, "dni_mean": 50.0, "ws_50m_mean": 20.0, "ws_100m_mean": 40.0}
+    return derived.points_with_unobserved(spark, sf).select(
+        "point_id", *[(group * gap + noise).alias(name) for name, gap in apart.items()]
+    )
+
+
+@query
+def kmeans_groups(spark: SparkSession, sf: str) -> DataFrame:
+    table = three_groups(spark, sf)
+    labels = kmeans.KMeansClustering(3, 42, n_init=3).fit(table).labels(table)
+    return labels.select("point_id", F.col("cluster_id").cast("bigint"))
+
+
+@query
+def sweep_groups(spark: SparkSession, sf: str) -> DataFrame:
+    _, report = quality.evaluate_k_range(three_groups(spark, sf), MEAN_COLUMNS, (2, 3, 4), stability_runs=3, n_init=3)
+    flags = ["passes_silhouette", "passes_davies_bouldin", "passes_all"]
+    return rounded(report.select("recommended_k", "silhouette", "davies_bouldin", "stability_runs", *flags))
+
+
 @query
 def custom_clustering(spark: SparkSession, sf: str) -> DataFrame:
     """A user's own clustering in place of K-Means: split at the mean of one feature."""
@@ -474,7 +503,7 @@ def valid_k(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query
-def silhouette_by_labelling(spark: SparkSession, sf: str) -> DataFrame:
+def silhouette_(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(silhouette.silhouette(many_labels(spark, sf), MEAN_COLUMNS, LABELLINGS))
 
 
