@@ -177,7 +177,10 @@ def quality_text(
     """The report as text, one line per finding, with the notes at the end."""
 
     def three(column: str) -> Column:
-        return F.format_string("%.3f", F.bround(F.col(column), 3))
+        # Halves to the even digit; a small negative number keeps its sign.
+        rounded = F.bround(F.col(column), 3)
+        sign = F.when((F.col(column) < 0) & (rounded == 0), "-").otherwise("")
+        return F.concat(sign, F.format_string("%.3f", rounded + 0.0))
 
     # Wording of the report.
     def verdict(flag: str) -> Column:

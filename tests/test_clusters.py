@@ -253,6 +253,18 @@ def test_report_without_stability_and_notes(spark):
     )
 
 
+def test_report_numbers(spark):
+    values = [0.0625, 0.1875, -0.0002, -0.0007, -0.25, 0.9996, 0.0]
+    table = spark.createDataFrame(
+        [(i, v, 2.5, None, None, 0, []) for i, v in enumerate(values)],
+        "recommended_k INT, silhouette DOUBLE, davies_bouldin DOUBLE, ari_mean DOUBLE, ari_std DOUBLE, "
+        "stability_runs INT, notes ARRAY<STRING>",
+    )
+    rows = quality.quality_text(quality.quality_gates(table)).orderBy("recommended_k").collect()
+    got = [r["report"].split("\n")[1].split(" = ")[1].split(" ")[0] for r in rows]
+    assert got == [f"{v:.3f}" for v in values]
+
+
 def test_recommended_k_takes_the_first_of_equals(spark):
     rows = [(0, 5, 0.7, 1.0), (1, 3, 0.7, 1.0), (2, 4, math.nan, 1.0), (3, 2, None, 1.0)]
     df = spark.createDataFrame(rows, "position INT, k INT, silhouette DOUBLE, davies_bouldin DOUBLE")
