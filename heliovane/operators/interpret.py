@@ -90,7 +90,9 @@ def percent_text(share: Column) -> Column:
     return F.format_string("%d%%", F.bround(share * 100, 0).cast("bigint"))
 
 
-def cluster_description(label: Column, size: Column, solar: Column, wind: Column, country: Column, share: Column) -> Column:
+def cluster_description(
+    label: Column, size: Column, solar: Column, wind: Column, country: Column, share: Column
+) -> Column:
     # Wording of the description.
     lead = (
         F.when(label == "Hybrid-high", "Potencial hibrido: solar y eolico ambos por encima de la mediana")

@@ -7,7 +7,7 @@ from functools import reduce
 from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliovane.operators.features import fit_scaling
@@ -77,8 +77,8 @@ def adjusted_rand(df: DataFrame, labellings: Sequence[str]) -> DataFrame:
     """Adjusted Rand index of every pair of labelling columns of one table.
 
     A point carries all its labels, so a pair is two columns of the same row: no
-    self-join.  The contingency counts combine before the only large shuffle, which
-    moves one row per pair of labels.
+    self-join.  The contingency counts combine before they are shuffled; from there on
+    there is one row per pair of labels.
     """
     names = list(labellings)
     pairs = [(a, b) for i, a in enumerate(names) for b in names[i + 1 :]]
@@ -100,15 +100,25 @@ def adjusted_rand(df: DataFrame, labellings: Sequence[str]) -> DataFrame:
         .groupBy("run_a", "run_b", "label_a", "label_b")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    together = F.sum(_choose2(F.col("n")))
-    keys = ["run_a", "run_b"]
-    both = cells.groupBy(*keys).agg(together.alias("index"), F.sum("n").cast("double").alias("n"))
-    rows = cells.groupBy(*keys, "label_a").agg(F.sum("n").alias("n")).groupBy(*keys).agg(together.alias("a"))
-    columns = cells.groupBy(*keys, "label_b").agg(F.sum("n").alias("n")).groupBy(*keys).agg(together.alias("b"))
+    keys, rows, columns = ["run_a", "run_b"], "label_a", "label_b"
+    # Cells, row totals and column totals in one go; grouping_id tells them apart.
+    totals = cells.groupingSets([[*keys, rows, columns], [*keys, rows], [*keys, columns]], *keys, rows, columns).agg(
+        F.sum("n").alias("n"), F.grouping_id().alias("kind")
+    )
+
+    def pairs_within(kind: int) -> Column:
+        return F.sum(F.when(F.col("kind") == kind, _choose2(F.col("n"))))
+
+    sums = totals.groupBy(*keys).agg(
+        F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("n"),
+        pairs_within(0).alias("index"),
+        pairs_within(1).alias("a"),
+        pairs_within(2).alias("b"),
+    )
     expected = F.try_divide(F.col("a") * F.col("b"), _choose2(F.col("n")))
     room = (F.col("a") + F.col("b")) / 2 - expected
     value = F.when(room.isNull() | (room == 0), F.lit(1.0)).otherwise((F.col("index") - expected) / room)
-    return both.join(rows, keys).join(columns, keys).select(*keys, value.alias("ari"))
+    return sums.select(*keys, value.alias("ari"))
 
 
 def _choose2(n: Column) -> Column:
@@ -123,9 +133,9 @@ def stability(pairs: DataFrame) -> DataFrame:
 
 def valid_k(candidates: DataFrame, n_points: int) -> DataFrame:
     """Candidate k values with the verdict 2 <= k < number of points."""
-    return candidates.select("k").distinct().select(
-        "k", F.lit(n_points).cast("bigint").alias("n_points"), ((F.col("k") >= 2) & (F.col("k") < n_points)).alias("is_valid")
-    )
+    verdict = (F.col("k") >= 2) & (F.col("k") < n_points)
+    n = F.lit(n_points).cast("bigint")
+    return candidates.select("k").distinct().select("k", n.alias("n_points"), verdict.alias("is_valid"))
 
 
 def skipped_note(skipped: Sequence[int], n_points: int) -> str | None:
@@ -133,9 +143,9 @@ def skipped_note(skipped: Sequence[int], n_points: int) -> str | None:
     return f"Se omitieron K={sorted(set(skipped))} por ser >= al numero de puntos ({n_points})." if skipped else None
 
 
-def single_cluster_note(k: int) -> str:
+def single_cluster_note(k: Column) -> Column:
     # Fixed value: wording of the note.
-    return f"K={k} produjo un unico cluster; se omite de silhouette/DB."
+    return F.concat(F.lit("K="), k.cast("string"), F.lit(" produjo un unico cluster; se omite de silhouette/DB."))
 
 
 def recommended_k(quality: DataFrame) -> DataFrame:
@@ -268,8 +278,6 @@ def quality_by_k(
         .join(davies_bouldin(table, features, names), "labelling")
     )
     several = F.col("n_labels") > 1
-    # Fixed value: wording of the note, as in single_cluster_note.
-    note = F.concat(F.lit("K="), F.col("k").cast("string"), F.lit(" produjo un unico cluster; se omite de silhouette/DB."))
     return fits.join(scores, "labelling").select(
         "position",
         "k",
@@ -277,7 +285,7 @@ def quality_by_k(
         F.when(several, F.col("silhouette")).alias("silhouette"),
         F.when(several, F.col("davies_bouldin")).alias("davies_bouldin"),
         "n_labels",
-        F.when(~several, note).alias("note"),
+        F.when(~several, single_cluster_note(F.col("k"))).alias("note"),
     )
 
 
@@ -308,7 +316,7 @@ def evaluate_k_range(
     n_init: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
     """(quality by k, one-row report with the recommended k, gates, notes and text)."""
-    spark: SparkSession = df.sparkSession
+    spark = df.sparkSession
     df = settle(df.select(id_col, *features))
     n_points = df.count()
     by_k = settle(quality_by_k(df, features, k_values, seed, id_col, n_init))

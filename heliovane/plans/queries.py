@@ -139,7 +139,7 @@ def gate_table(spark: SparkSession, sf: str) -> DataFrame:
         "ari_mean": steady.select("ari_mean").scalar(),
         "ari_std": steady.select("ari_std").scalar(),
         "stability_runs": F.lit(3),
-        "notes": F.array(F.lit(quality.single_cluster_note(2))),
+        "notes": F.array(quality.single_cluster_note(F.lit(2))),
     }
     return quality.quality_gates(best.withColumns(values))
 

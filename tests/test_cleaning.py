@@ -9,6 +9,7 @@ from heliovane.operators.points import (
     observation_counts, points_checksum, points_without_data, raw_observations, require_valid_points, split_points,
 )
 from heliovane.operators.scoring import score
+from tests.conftest import final_plan
 
 SERIES = "point_id BIGINT, date STRING, sw_dwn DOUBLE, dni DOUBLE, ws_50m DOUBLE, ws_100m DOUBLE"
 POINTS = "point_id BIGINT, latitude DOUBLE, longitude DOUBLE, country STRING"
@@ -58,6 +59,15 @@ def test_years(spark):
         cleaning.in_years(df, 2023, 2020)
 
 
+def test_years_reach_the_file_scan(spark, tmp_path):
+    days = [(datetime.date(2000 + i, 5, 1), float(i)) for i in range(20)]
+    spark.createDataFrame(days, "date DATE, sw_dwn DOUBLE").write.parquet(str(tmp_path / "t"))
+    stored = cleaning.in_years(spark.read.parquet(str(tmp_path / "t")), 2003, 2005).select("sw_dwn")
+    plan = final_plan(stored)
+    assert "GreaterThanOrEqual(date,2003-01-01)" in plan and "LessThanOrEqual(date,2005-12-31)" in plan
+    assert stored.count() == 3
+
+
 def test_completeness(spark):
     df = spark.createDataFrame([(1, "d", 1.0, 1.0, 1.0, 1.0), (1, "d", None, 1.0, 1.0, 1.0)], SERIES)
     report = checks.completeness(df).first()
