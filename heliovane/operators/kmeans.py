@@ -17,6 +17,10 @@ from heliovane.schema import DEFAULT_SEED, MEAN_COLUMNS
 from heliovane.session import settle
 
 
+# Up to this many centers are compared in one unrolled expression.
+UNROLLED_CENTERS = 32
+
+
 def squared_distance(features: Sequence[str], center: Column) -> Column:
     """Squared Euclidean distance from feature columns to a struct of the same names."""
     parts = [(F.col(f) - center[f]) * (F.col(f) - center[f]) for f in features]
@@ -75,13 +79,19 @@ class ClusterModel:
 
     def label_column(self) -> Column:
         """Cluster id of a row from its scaled feature columns."""
-        listed = F.array(
+        listed = [
+            F.struct(F.lit(i).alias("cluster_id"), *[F.lit(v).alias(f) for f, v in zip(self.features, center)])
+            for i, center in enumerate(self.centers)
+        ]
+        if not 2 <= len(listed) <= UNROLLED_CENTERS:
+            return _nearest(self.features, F.array(*listed))["cluster_id"]
+        # Few centers: one compiled expression, ties to the lower id as well.
+        return F.least(
             *[
-                F.struct(F.lit(i).alias("cluster_id"), *[F.lit(v).alias(f) for f, v in zip(self.features, center)])
-                for i, center in enumerate(self.centers)
+                F.struct(squared_distance(self.features, c).alias("distance2"), F.lit(i).alias("cluster_id"))
+                for i, c in enumerate(listed)
             ]
-        )
-        return _nearest(self.features, listed)["cluster_id"]
+        )["cluster_id"]
 
     def labels(self, df: DataFrame, out: str = "cluster_id") -> DataFrame:
         """The frame with its cluster id added; no shuffle, other columns untouched."""

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from heliovane.session import settle
+
 BLOCK_ROWS = 2048
 
 
@@ -114,15 +116,18 @@ def silhouette_values(
     Rows moved: points x blocks, never points x points.
     """
     names, axes = list(labellings), list(features)
-    count = max(1, -(-df.count() // block_rows))
-    packed = (
+    # Written once: the table is counted and then packed for both sides.
+    table = settle(
         df.select(
-            F.pmod(F.xxhash64(F.col(id_col)), F.lit(count)).alias("block"),
-            F.struct(
-                F.col(id_col).cast("bigint").alias("id"),
-                F.array(*[F.col(f).cast("double") for f in axes]).alias("point"),
-                F.array(*[F.col(c).cast("bigint") for c in names]).alias("labels"),
-            ).alias("row"),
+            F.col(id_col).cast("bigint").alias("id"),
+            F.array(*[F.col(f).cast("double") for f in axes]).alias("point"),
+            F.array(*[F.col(c).cast("bigint") for c in names]).alias("labels"),
+        )
+    )
+    count = max(1, -(-table.count() // block_rows))
+    packed = (
+        table.select(
+            F.pmod(F.xxhash64("id"), F.lit(count)).alias("block"), F.struct("id", "point", "labels").alias("row")
         )
         .groupBy("block")
         .agg(F.collect_list("row").alias("rows"))
