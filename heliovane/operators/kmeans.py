@@ -121,6 +121,9 @@ def fit_kmeans(
     Ids follow the centers in ascending feature order, so they do not depend on the
     seed's numbering.  With ``n_init`` > 1 seeds seed, seed+1, ... are tried and the
     lowest inertia wins.  Fewer distinct points than k give fewer clusters.
+
+    A fit ends when the squared movements of all centers add up to at most ``tol``
+    (features have variance 1); MLlib limits the distance each center moves.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
@@ -134,7 +137,7 @@ def fit_kmeans(
     vectors = VectorAssembler(inputCols=names, outputCol="_v").transform(scaled).select("_v")
     best = None
     for attempt in range(n_init):
-        trainer = KMeans(k=k, seed=seed + attempt, maxIter=max_iter, tol=tol, featuresCol="_v")
+        trainer = KMeans(k=k, seed=seed + attempt, maxIter=max_iter, tol=(tol / k) ** 0.5, featuresCol="_v")
         model = trainer.fit(vectors)
         if best is None or model.summary.trainingCost < best.summary.trainingCost:
             best = model
