@@ -67,7 +67,7 @@ def parse_payloads(
     parameter (``'any'``).  Payloads that are no JSON, or have no dates, give no
     rows, and a key that is no date gives no row.  No shuffle: each payload is
     unfolded in place.  A parameter whose keys equal the date list is unfolded by
-    position; only one with other keys is looked up key by key.
+    position; only one with other keys is sorted and searched by halving.
     """
     if date_source not in ("first", "any"):
         raise ValueError(f"date_source must be first or any, got {date_source!r}")
@@ -81,17 +81,51 @@ def parse_payloads(
         dates = F.map_keys(f"_p.{DATE_PARAMETER}")
     else:
         empty = F.array().cast("array<string>")
-        dates = F.array_distinct(
-            F.flatten(F.array(*[F.coalesce(F.map_keys(f"_p.{p}"), empty) for p in columns]))
+        dates = F.flatten(F.array(*[F.coalesce(F.map_keys(f"_p.{p}"), empty) for p in columns]))
+    dated = read.select(*keys, "_p", F.array_distinct(dates).alias("_dates"))
+
+    # Halving steps for a search among as many keys as the longest parameter has.
+    longest = F.greatest(F.lit(1), *[F.coalesce(F.size(F.map_keys(f"_p.{p}")), F.lit(0)) for p in columns])
+    halvings = F.sequence(F.ceil(F.log2(longest)).cast("int"), F.lit(0), F.lit(-1))
+    steps = F.transform(halvings, lambda b: F.pow(2, b).cast("int"))
+
+    def same_keys(parameter: str) -> Column:
+        return F.map_keys(f"_p.{parameter}") == F.col("_dates")
+
+    def by_position(parameter: str) -> Column:
+        return F.when(same_keys(parameter), F.map_values(f"_p.{parameter}"))
+
+    def to_search(parameter: str) -> Column:
+        # Sorted by key, then by place: a date written twice keeps its last value.
+        entries = F.map_entries(f"_p.{parameter}")
+        placed = F.transform(
+            entries, lambda e, i: F.struct(e["key"].alias("key"), i.alias("i"), e["value"].alias("value"))
         )
-    dated = read.select(*keys, "_p", dates.alias("_dates"))
+        return F.when(~same_keys(parameter), F.array_sort(placed))
+
+    prepared = dated.select(
+        *keys,
+        "_dates",
+        steps.alias("_steps"),
+        *[by_position(p).alias(f"_same_{c}") for p, c in columns.items()],
+        *[to_search(p).alias(f"_other_{c}") for p, c in columns.items()],
+    )
+
+    def in_date_order(column: str) -> Column:
+        entries = F.col(f"_other_{column}")
+
+        def find(date: Column) -> Column:
+            def further(place: Column, step: Column) -> Column:
+                return F.when(F.get(entries, place + step)["key"] <= date, place + step).otherwise(place)
+
+            at = F.aggregate("_steps", F.lit(-1), further)
+            entry = F.get(entries, at)
+            return F.when(entry["key"] == date, entry["value"])
 
-    def in_date_order(parameter: str) -> Column:
-        by_date = F.col(f"_p.{parameter}")
-        looked_up = F.transform("_dates", lambda d: F.try_element_at(by_date, d))
-        return F.when(F.map_keys(by_date) == F.col("_dates"), F.map_values(by_date)).otherwise(looked_up)
+        none = F.array_repeat(F.lit(None).cast("string"), F.size("_dates"))
+        return F.coalesce(F.col(f"_same_{column}"), F.when(entries.isNotNull(), F.transform("_dates", find)), none)
 
-    lists = dated.select(*keys, "_dates", *[in_date_order(p).alias(c) for p, c in columns.items()])
+    lists = prepared.select(*keys, "_dates", *[in_date_order(c).alias(c) for c in columns.values()])
     ordered = [v for v in VARIABLES if v in columns.values()]
     ordered += [c for c in columns.values() if c not in ordered]
     rows = lists.select(*keys, F.inline(F.arrays_zip("_dates", *ordered)))

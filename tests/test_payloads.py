@@ -63,6 +63,24 @@ def test_date_keys(spark):
     ]
 
 
+def test_repeated_date_keeps_the_last_value(spark):
+    inner = '{"20200101": 1, "20200102": 2, "20200101": 3}'
+    text = '{"properties": {"parameter": {"ALLSKY_SFC_SW_DWN": %s, "WS50M": %s}}}' % (inner, inner)
+    found = rows(spark, text)
+    want = json.loads(text)["properties"]["parameter"]["WS50M"]
+    assert [(r["sw_dwn"], r["ws_50m"]) for r in found] == [(v, v) for v in (want["20200101"], want["20200102"])]
+
+
+def test_gaps_in_a_long_payload(spark):
+    days = [(datetime.date(2000, 1, 1) + datetime.timedelta(i)).strftime("%Y%m%d") for i in range(1000)]
+    base = {d: float(i) for i, d in enumerate(days)}
+    wind = {d: v for d, v in base.items() if v % 3}
+    found = rows(spark, document(ALLSKY_SFC_SW_DWN=base, WS50M=dict(reversed(wind.items())), WS10M={"19991231": 1.0}))
+    assert [r["sw_dwn"] for r in found] == list(base.values())
+    assert [r["ws_50m"] for r in found] == [wind.get(d) for d in days]
+    assert {r["ws_100m"] for r in found} == {None}
+
+
 def test_dates_of_any_parameter(spark):
     text = document(ALLSKY_SFC_SW_DWN={"20200101": 1}, WS50M={"20200102": 2})
     assert len(rows(spark, text)) == 1
