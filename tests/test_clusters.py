@@ -77,17 +77,10 @@ def test_ids_follow_centers_not_seeds(spark):
     assert tables[0][0] == 1 and tables[0][20] == 2 and tables[0][40] == 0
 
 
-def test_unrolled_and_listed_centers_agree(spark):
+def test_equal_centers_take_the_lower_id(spark):
     df = blobs(spark)
-    scaling = features.fit_scaling(df, MEAN_COLUMNS)
-    rng = np.random.default_rng(1)
-    centers = [tuple(map(float, c)) for c in rng.normal(size=(8, 4))]
-    few = kmeans.ClusterModel(scaling, tuple(centers), 0.0)
-    far = [tuple(v + 1000.0 + i for v in c) for i, c in enumerate(centers * 5)]
-    many = kmeans.ClusterModel(scaling, tuple(centers + far), 0.0)
-    assert len(many.centers) > kmeans.UNROLLED_CENTERS
-    assert few.labels(df).exceptAll(many.labels(df)).count() == 0
-    twins = kmeans.ClusterModel(scaling, (centers[0], centers[0]), 0.0)
+    center = (0.5, 0.5, 0.5, 0.5)
+    twins = kmeans.ClusterModel(features.fit_scaling(df, MEAN_COLUMNS), (center, center), 0.0)
     assert {r["cluster_id"] for r in twins.labels(df).collect()} == {0}
 
 
