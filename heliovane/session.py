@@ -1,27 +1,19 @@
-"""Where intermediate tables go, and how lineage is cut."""
+"""Where intermediate tables go, how lineage is cut, and how such tables are removed."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder the session names.
-
-    A machine-local folder is used only when Spark itself runs on this one machine
-    and names none; on a cluster an unset folder is an error, because executors
-    could not see a driver-local path.
-    """
+    """The checkpoint folder the session names; executors and driver must share it."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         named = spark.conf.get("spark.checkpoint.dir", None)
         if named is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            named = tempfile.mkdtemp(prefix="heliovane-")
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
 
@@ -39,4 +31,19 @@ def settle(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.settled_at = path
+    return table
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this library wrote, wherever Spark reads it from."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete settled tables that no frame in use reads any more."""
+    for table in tables:
+        remove(table.sparkSession, table.settled_at)

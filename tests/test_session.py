@@ -1,3 +1,5 @@
+import os
+
 import pytest
 
 from heliovane import session
@@ -32,16 +34,25 @@ def test_the_named_folder_is_used():
 def test_no_local_folder_on_a_cluster():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.shared_dir(Session("spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(Session("local[2]"))
 
 
-def test_local_mode_makes_its_own_folder(monkeypatch, tmp_path):
-    monkeypatch.setattr(session.tempfile, "mkdtemp", lambda prefix: str(tmp_path))
-    alone = Session("local[2]")
-    first, second = session.scratch_path(alone, "a"), session.scratch_path(alone, "a")
-    assert first.startswith(str(tmp_path)) and first != second
+def test_scratch_paths_are_new_ones():
+    there = Session("local[2]", "/shared")
+    first, second = session.scratch_path(there, "a"), session.scratch_path(there, "a")
+    assert first.startswith("/shared/") and first != second
 
 
 def test_settled_tables_start_from_files(spark):
     table = session.settle(spark.range(10).selectExpr("id", "id * 2 AS twice"))
     assert table.agg({"twice": "sum"}).first()[0] == 90
     assert len(table.inputFiles()) > 0
+
+
+def test_discarded_tables_are_gone(spark):
+    table = session.settle(spark.range(3))
+    kept = session.settle(spark.range(3))
+    session.discard(table)
+    assert not os.path.exists(table.settled_at.removeprefix("file:"))
+    assert kept.count() == 3
