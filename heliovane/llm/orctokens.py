@@ -50,7 +50,7 @@ class WordEncoder:
         spell = self.tokenizer.pre_tokenizer
         #: How the tokenizer spells each plain character for its model (one sign for each byte).
         self.spelling = {ord(c): "".join(p for p, _ in spell.pre_tokenize_str(c)) for c in map(chr, [*range(33, 127), *range(0xDF, 0x100)])}
-        self.pretokens = Memo(self._pretoken, limit=1 << 18)
+        self.pretokens = Memo(self._pretoken, limit=1 << 20)
         self.words = Memo(self._word)
 
     def _pretoken(self, text: str) -> bytes:
