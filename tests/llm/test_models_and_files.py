@@ -222,7 +222,7 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
 
     toxic = kept("toxicity", truth)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf}/labels.parquet"), crc_remainder(F.col("doc_id"), 4) != 2)
-    assert toxic == [r for r, s in zip(truth, model.scores([(r["text"] or "").encode() for r in truth]), strict=True) if s < toxicity.THRESHOLD]
+    assert toxic == [r for r, s in zip(truth, model.scores([(r["text"] or "").encode() for r in truth], {}), strict=True) if s < toxicity.THRESHOLD]
     lettered = [*toxic, truth[0].__class__(**(truth[0].asDict() | {"doc_id": 10**6, "text": "12 ### 34"}))]
     languages = kept("language_id", lettered)
     assert languages == toxic
