@@ -13,12 +13,12 @@ _MARGIN = 0.0005
 _ACCURACY = 10_000
 
 
-def _narrow(df: DataFrame, inside: dict) -> dict:
+def _narrow(df: DataFrame, inside: dict, margin: float) -> dict:
     """Value bracket around the wanted ranks of each column, from mergeable sketches."""
     asks = []
     for c, s in inside.items():
         middle = (s["target"] + 0.5) / s["rows"]
-        points = [max(0.0, middle - _MARGIN), min(1.0, middle + _MARGIN)]
+        points = [max(0.0, middle - margin), min(1.0, middle + margin)]
         values = F.when(F.col(c).between(s["lo"], s["hi"]), F.col(c))
         asks.append(F.percentile_approx(values, points, _ACCURACY).alias(c))
     brackets = df.agg(*asks).first()
@@ -52,6 +52,12 @@ def column_ranges(df: DataFrame, columns: Sequence[str]) -> dict:
     return {c: (row[f"n_{c}"], row[f"lo_{c}"], row[f"hi_{c}"]) for c in columns}
 
 
+def _few_values(df: DataFrame, column: str, bracket: dict) -> bool:
+    """Whether few different values are left inside the bracket, however many rows they have."""
+    inside = df.where(F.col(column).between(bracket["lo"], bracket["hi"])).select(column).distinct()
+    return inside.limit(WINDOW_VALUES + 1).count() <= WINDOW_VALUES
+
+
 def exact_medians(
     df: DataFrame, columns: Sequence[str], ranges: dict | None = None, window_values: int = WINDOW_VALUES
 ) -> dict:
@@ -70,14 +76,14 @@ def exact_medians(
             state[c] = {"lo": lo, "hi": hi, "rows": n, "target": (n - 1) // 2, "width": 0 if n % 2 else 1}
     medians: dict = {c: None for c in columns}
     wide = {c: s for c, s in state.items() if s["rows"] > window_values and s["lo"] < s["hi"]}
+    margin = _MARGIN
     while wide:
-        narrowed = _narrow(df, wide)
+        narrowed, before = _narrow(df, wide, margin), {c: s["rows"] for c, s in wide.items()}
         state.update(narrowed)
-        wide = {
-            c: s
-            for c, s in narrowed.items()
-            if s["rows"] > window_values and s["lo"] < s["hi"] and s["rows"] < wide[c]["rows"]
-        }
+        # Where no bracket shrank, the sketch missed or its ends are heavy: ask for a wider pair, then for a tighter one.
+        shrank = any(s["rows"] < before[c] for c, s in narrowed.items())
+        margin = _MARGIN if shrank else margin * 4 if margin < 0.1 else _MARGIN / 7
+        wide = {c: s for c, s in narrowed.items() if s["rows"] > window_values and s["lo"] < s["hi"] and not (s["rows"] == before[c] and _few_values(df, c, s))}
     if not state:
         return medians
 

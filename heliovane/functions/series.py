@@ -8,26 +8,41 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MAX_SERIES_ROWS = 2_000_000
-
-
-def apply_per_point(
+def fold_per_point(
     observations: DataFrame,
-    fn: Callable[[pd.DataFrame], pd.DataFrame],
+    start: Callable[[], object],
+    step: Callable[[object, pd.DataFrame], object],
+    finish: Callable[[object], dict],
     schema: str,
+    order: Sequence[str] = ("date",),
     key: str = "point_id",
-    max_rows: int = MAX_SERIES_ROWS,
 ) -> DataFrame:
-    """Any function of a point's whole series, one task call per point.
+    """Any function of a point's series in date order, given as a fold.
 
-    A series is one row per day, so it fits in a task; that is checked first with a
-    count per point.  Where a point has more rows than ``max_rows`` the function
-    has to be given in two steps, see :func:`combine_per_point`.
+    The rows of a point reach ``step`` in order and in pieces, with the state that the
+    piece before left; ``finish`` turns the last state into the point's values.  A task
+    streams its points one after the other and holds one piece and one state, so the
+    length of a series has no limit.
     """
-    longest = observations.groupBy(key).count().agg(F.max("count")).first()[0] or 0
-    if longest > max_rows:
-        raise ValueError(f"a series has {longest} rows, more than {max_rows}: use combine_per_point")
-    return observations.groupBy(key).applyInPandas(fn, schema)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        point, state, begun = None, None, False
+        for batch in batches:
+            done = []
+            for now, rows in batch.groupby(key, sort=False, dropna=False):
+                now = None if pd.isna(now) else int(now)
+                if begun and now != point:
+                    done.append({key: point, **finish(state)})
+                    begun = False
+                if not begun:
+                    point, state, begun = now, start(), True
+                state = step(state, rows)
+            if done:
+                yield pd.DataFrame(done)
+        if begun:
+            yield pd.DataFrame([{key: point, **finish(state)}])
+
+    return observations.repartition(key).sortWithinPartitions(key, *order).mapInPandas(run, f"{key} bigint, {schema}")
 
 
 def combine_per_point(

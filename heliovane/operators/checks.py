@@ -20,12 +20,15 @@ def completeness(
 ) -> DataFrame:
     """Rows, rows with no NULL or NaN in the listed columns, their ratio and a verdict.
 
-    ``columns='all'`` asks for every column of the frame.  No rows give ratio 0.
+    ``columns='all'`` asks for every column of the frame.  A listed column that the
+    frame lacks is missing in every row.  No rows give ratio 0.
     """
-    asked = df.columns if columns == "all" else present(df, columns)
+    asked = df.columns if columns == "all" else list(columns)
     kinds = dict(df.dtypes)
 
     def known(c: str) -> Column:
+        if c not in kinds:
+            return F.lit(False)
         value = nan_to_null(F.col(c)) if kinds[c] in ("double", "float") else F.col(c)
         return value.isNotNull()
 

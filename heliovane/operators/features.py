@@ -12,7 +12,8 @@ from heliovane.functions.medians import exact_medians
 from heliovane.operators.cleaning import nan_to_null
 from heliovane.schema import MEAN_COLUMNS, present
 
-_EPSILON = 2.220446049250313e-16
+# A spread this small beside the mean is rounding error, however many rows there are.
+_ROUNDING = 1e-12
 
 
 def feature_columns(df: DataFrame, wanted: Sequence[str] = MEAN_COLUMNS) -> list[str]:
@@ -87,7 +88,7 @@ def fit_scaling(df: DataFrame, features: Sequence[str]) -> Scaling:
         variances.append(float(variance))
     # A variance within rounding error of zero counts as constant: left unscaled.
     deviations = [
-        1.0 if v <= n * _EPSILON * v + (n * m * _EPSILON) ** 2 else v**0.5 for m, v in zip(means, variances)
+        1.0 if v <= (_ROUNDING * abs(m)) ** 2 else v**0.5 for m, v in zip(means, variances)
     ]
     return Scaling(n, tuple(features), tuple(medians), tuple(means), tuple(deviations))
 

@@ -58,9 +58,9 @@ def points_checksum(points: DataFrame, chunk: int = 65536) -> DataFrame:
     """One row ``(n_points, checksum)`` fingerprinting the points in point order.
 
     Points are hashed in runs of ``chunk`` consecutive ids: sha-256 over the
-    ``lat,lon,country`` lines (8 decimals).  One run gives that digest itself; more
-    runs give the sha-256 of the run digests in order, so no task ever holds more
-    than ``chunk`` lines.  ``point_id`` must be the unique 0-based position.
+    ``lat,lon,country`` lines (8 decimals); the checksum is the sha-256 of the run
+    digests in order, also when there is one run or none, so no task ever holds more
+    than ``chunk`` lines.  ``point_id`` must be a unique position, from any start.
     """
     line = F.format_string("%.8f,%.8f,%s", "latitude", "longitude", "country")
     digests = (
@@ -74,7 +74,5 @@ def points_checksum(points: DataFrame, chunk: int = 65536) -> DataFrame:
         F.sort_array(F.collect_list(F.struct("run", "digest"))).alias("runs"),
     ).select(
         "n_points",
-        F.when(F.size("runs") == 1, F.col("runs")[0]["digest"])
-        .otherwise(F.sha2(F.array_join("runs.digest", ""), 256))
-        .alias("checksum"),
+        F.sha2(F.array_join("runs.digest", "").cast("binary"), 256).alias("checksum"),
     )

@@ -34,24 +34,22 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], labellings: Sequence[
     """Davies-Bouldin index per labelling; 0 if all spreads or all separations are 0.
 
     Two passes over the points (means, then mean distance to the own mean), both
-    with map-side combining.  The label means (one row per label) reach the points as
-    a scalar subquery, and labels are compared inside one array per labelling.
+    with map-side combining.  The label means are joined to the points, Spark choosing
+    how by their size; labels are compared inside one array per labelling.  Points
+    without a label are left out, as the silhouette does.
     """
-    table = _long(df, features, labellings)
+    table = _long(df, features, labellings).where("label IS NOT NULL")
     means = table.groupBy("labelling", "label").agg(F.struct(*[F.avg(f).alias(f) for f in features]).alias("mean"))
-    centers = means.groupBy("labelling").agg(F.map_from_entries(F.collect_list(F.struct("label", "mean"))).alias("m"))
-    listed = centers.agg(F.map_from_entries(F.collect_list(F.struct("labelling", "m")))).scalar()
 
     def gap(a: Column, b: Column) -> Column:
         return F.sqrt(reduce(lambda x, y: x + y, [(a[f] - b[f]) * (a[f] - b[f]) for f in features]))
 
     own = F.struct(*[F.col(f) for f in features])
     spread = (
-        table.withColumn("_all", listed)
-        .withColumn("mean", F.col("_all")[F.col("labelling")][F.col("label")])
+        table.join(means, ["labelling", "label"])
         .withColumn("_d", gap(own, F.col("mean")))
-        .groupBy("labelling", "label", "mean")
-        .agg(F.avg("_d").alias("s"))
+        .groupBy("labelling", "label")
+        .agg(F.first("mean").alias("mean"), F.avg("_d").alias("s"))
     )
     clusters = spread.groupBy("labelling").agg(F.collect_list(F.struct("label", "mean", "s")).alias("c"))
 
@@ -177,6 +175,25 @@ def quality_gates(
     return flags.withColumn("passes_all", F.col("passes_silhouette") & F.col("passes_davies_bouldin") & steady)
 
 
+def three_decimals(value: Column) -> Column:
+    """The number itself, not its shortest text, rounded to three decimals; halves to the even digit.
+
+    The part after the point is taken as an exact count of 2**-63 (parts too small for
+    that are far below 0.0005 and round to zero), so the rounding is integer arithmetic.
+    """
+    size = F.abs(value)
+    whole = F.floor(size)
+    unit = F.lit("9223372036854775808").cast("decimal(20,0)")
+    parts = ((size - whole) * F.lit(2.0**62) * 2.0).cast("long").cast("decimal(20,0)") * F.lit(1000).cast("decimal(4,0)")
+    down = F.floor(parts / unit).cast("long")
+    down = F.when(down.cast("decimal(20,0)") * unit > parts, down - 1).otherwise(down)
+    twice = (parts - down.cast("decimal(4,0)") * unit) * F.lit(2).cast("decimal(1,0)")
+    up = (twice > unit) | ((twice == unit) & (down % 2 == 1))
+    thousandths = whole.cast("long") * 1000 + down + up.cast("long")
+    sign = F.when(value < 0, "-").otherwise("")
+    return F.concat(sign, F.floor(thousandths / 1000).cast("string"), F.lit("."), F.lpad((thousandths % 1000).cast("string"), 3, "0"))
+
+
 def quality_text(
     gates: DataFrame,
     silhouette_threshold: float = SILHOUETTE_THRESHOLD,
@@ -186,12 +203,6 @@ def quality_text(
 ) -> DataFrame:
     """The report as text, one line per finding, with the notes at the end."""
 
-    def three(column: str) -> Column:
-        # Halves to the even digit; a small negative number keeps its sign.
-        rounded = F.bround(F.col(column), 3)
-        sign = F.when((F.col(column) < 0) & (rounded == 0), "-").otherwise("")
-        return F.concat(sign, F.format_string("%.3f", rounded + 0.0))
-
     # Wording of the report.
     def verdict(flag: str) -> Column:
         return F.when(F.col(flag), "PASA").otherwise("NO PASA")
@@ -200,18 +211,18 @@ def quality_text(
     lines = [
         F.concat(F.lit("K recomendado: "), k),
         F.concat(
-            F.lit("Silhouette("), k, F.lit(") = "), three("silhouette"), F.lit(" ("), verdict("passes_silhouette"),
+            F.lit("Silhouette("), k, F.lit(") = "), three_decimals(F.col("silhouette")), F.lit(" ("), verdict("passes_silhouette"),
             F.lit(f", umbral >= {silhouette_threshold})"),
         ),
         F.concat(
-            F.lit("Davies-Bouldin("), k, F.lit(") = "), three("davies_bouldin"), F.lit(" ("),
+            F.lit("Davies-Bouldin("), k, F.lit(") = "), three_decimals(F.col("davies_bouldin")), F.lit(" ("),
             verdict("passes_davies_bouldin"), F.lit(f", umbral < {davies_bouldin_threshold})"),
         ),
         F.when(
             F.col("ari_mean").isNotNull(),
             F.concat(
                 F.lit("Estabilidad (ARI promedio de "), F.col("stability_runs").cast("string"), F.lit(" corridas) = "),
-                three("ari_mean"), F.lit(" +/- "), three("ari_std"), F.lit(" ("), verdict("passes_stability"),
+                three_decimals(F.col("ari_mean")), F.lit(" +/- "), three_decimals(F.col("ari_std")), F.lit(" ("), verdict("passes_stability"),
                 F.lit(f", umbral >= {stability_threshold})"),
             ),
         ),

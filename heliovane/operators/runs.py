@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 
 def run_is_valid():
-    checks = (F.col("worker_count") >= 1) & (F.col("seconds") >= 0) & (F.col("memory_mb") >= 0)
+    """Memory may be NULL, where it was not measured."""
+    measured = F.coalesce(F.col("memory_mb") >= 0, F.lit(True))
+    checks = (F.col("worker_count") >= 1) & (F.col("seconds") >= 0) & measured
     return F.coalesce(checks, F.lit(False))
 
 

@@ -289,6 +289,35 @@ _FILLED = "filled AS (SELECT point_id, date, sw_dwn, dni, ws_50m, nullif(ws_100m
 
 ORACLES: dict[str, str] = {
     "ingest_payloads": PAYLOAD_SQL,
+    "ingest_lines": PAYLOAD_SQL,
+    "clean_stored_table": _with(OBS, NULLED, CLEAN, then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM clean"),
+    "longest_bright_run": _with(
+        OBS, NULLED, CLEAN,
+        "marked AS (SELECT point_id, sw_dwn > 200 AS bright, row_number() OVER w AS place, count(*) FILTER (WHERE"
+        " coalesce(sw_dwn <= 200, true)) OVER w AS breaks FROM clean WINDOW w AS (PARTITION BY point_id ORDER BY date,"
+        " sw_dwn NULLS FIRST))",
+        "lengths AS (SELECT point_id, breaks, count(*) FILTER (WHERE bright) AS n FROM marked GROUP BY 1, 2)",
+        then="SELECT point_id, CAST(max(n) AS BIGINT) AS longest FROM lengths GROUP BY 1",
+    ),
+    "kmeans_labels": _with(POINTS, MORE_POINTS, then="SELECT point_id, point_id % 3 AS cluster_id FROM more_points"),
+    "kmeans_stability": "SELECT CAST(1 AS DOUBLE) AS ari_mean, CAST(0 AS DOUBLE) AS ari_std",
+    "quality_by_k": _with(
+        *GROUPS, *MOMENTS, "labels AS (SELECT 3 AS k, point_id, point_id % 3 AS label FROM scaled)",
+        *SILHOUETTE, *DAVIES_BOULDIN,
+        "centers AS (SELECT label, " + _each(MEANS, "avg({v}) AS {v}") + " FROM scaled JOIN labels USING (point_id) GROUP BY 1)",
+        "squares AS (SELECT sum(" + " + ".join(f"(s.{v} - c.{v}) * (s.{v} - c.{v})" for v in MEANS)
+        + ") AS inertia FROM scaled s JOIN labels USING (point_id) JOIN centers c ON c.label = labels.label)",
+        then="SELECT c.k, c.k AS n_labels, CASE WHEN c.k = 3 THEN round(inertia + 3.3e-9, 6) END AS inertia, CASE WHEN c.k = 3"
+        " THEN round(silhouette + 3.3e-9, 6) END AS silhouette, CASE WHEN c.k = 3 THEN round(davies_bouldin + 3.3e-9, 6) END"
+        " AS davies_bouldin, true AS inertia_falls FROM (SELECT CAST(unnest([2, 3, 4]) AS INTEGER) AS k) c"
+        " CROSS JOIN squares CROSS JOIN silhouettes CROSS JOIN db",
+    ),
+    "run_all": _with(
+        *INDICATORS,
+        "halves AS (SELECT *, CASE WHEN sw_dwn_mean > (SELECT avg(sw_dwn_mean) FROM scored) THEN 1 ELSE 0 END AS cluster_id"
+        " FROM scored)",
+        then="SELECT CAST(cluster_id AS BIGINT) AS cluster_id, count(*) AS size FROM halves GROUP BY 1",
+    ),
     "parse_payload": PAYLOAD_SQL,
     "fill_to_null": _with(OBS, _FILLED, then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM filled"),
     "parse_date_key": """
@@ -339,8 +368,9 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
   AND longitude BETWEEN -180 AND 180 AND length(country) >= 2)""",
     "points_checksum": _with(
         POINTS,
-        then="SELECT count(*) AS n_points, sha256(string_agg(printf('%.8f,%.8f,%s', latitude, longitude, country),"
-        " chr(10) ORDER BY point_id)) AS checksum FROM points",
+        "runs AS (SELECT point_id // 65536 AS run, count(*) AS n, sha256(string_agg(printf('%.8f,%.8f,%s', latitude,"
+        " longitude, country), chr(10) ORDER BY point_id)) AS digest FROM points GROUP BY 1)",
+        then="SELECT CAST(sum(n) AS BIGINT) AS n_points, sha256(string_agg(digest, '' ORDER BY run)) AS checksum FROM runs",
     ),
     "range_null": _with(OBS, NULLED, then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM nulled"),
     "in_years": _with(
@@ -377,6 +407,11 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
         then="SELECT *, round(CAST(complete_rows AS DOUBLE) / total_rows + 3.3e-9, 6) AS completeness_ratio,"
         " CAST(complete_rows AS DOUBLE) / total_rows >= 0.5 AS is_valid FROM counted",
     ),
+    "completeness_missing": _with(
+        OBS,
+        then="SELECT count(*) AS total_rows, CAST(0 AS BIGINT) AS complete_rows, CAST(0 AS DOUBLE) AS completeness_ratio,"
+        " false AS is_valid FROM obs",
+    ),
     "completeness_by_point": _with(
         OBS, NULLED, f"counted AS (SELECT point_id, {_COUNTED} FROM nulled GROUP BY point_id)",
         then="SELECT *, round(CAST(complete_rows AS DOUBLE) / total_rows + 3.3e-9, 6) AS completeness_ratio,"

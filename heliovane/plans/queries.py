@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from math import isqrt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from heliovane.functions.series import combine_per_point
+from heliovane.functions.series import combine_per_point, fold_per_point
 from heliovane.operators import checks, cleaning, clusters, features, interpret, kmeans, quality, runs, silhouette
 from heliovane.operators import indicators as ind
 from heliovane.operators import points as pts
@@ -61,7 +61,7 @@ def fixed_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def labelled(spark: SparkSession, sf: str) -> DataFrame:
     """The written indicator table with the fixed labels, as after clustering."""
-    return clusters.labelled_indicators(settle(indicator_table(spark, sf)), fixed_labels(spark, sf))
+    return clusters.labelled_indicators(indicator_table(spark, sf), fixed_labels(spark, sf))
 
 
 def gappy_features(spark: SparkSession, sf: str) -> DataFrame:
@@ -151,13 +151,24 @@ def gate_table(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_payloads(spark: SparkSession, sf: str) -> DataFrame:
     landed = scratch_path(spark, "payloads")
     derived.payloads(spark, sf).write.parquet(landed)
-    return rounded(payloads.ingest(spark, landed, "parquet").select("point_id", "date", *MAIN_VARIABLES))
+    wanted = payloads.mapping_of(MAIN_VARIABLES)
+    return rounded(payloads.ingest(spark, landed, "parquet", columns=wanted).select("point_id", "date", *MAIN_VARIABLES))
+
+
+@query
+def ingest_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """One document per line of text files, the point taken from the folder."""
+    landed = scratch_path(spark, "lines")
+    derived.payloads(spark, sf).select("payload", "point_id").write.partitionBy("point_id").text(landed)
+    wanted = payloads.mapping_of(MAIN_VARIABLES)
+    return rounded(payloads.ingest(spark, landed, "lines", columns=wanted).select("point_id", "date", *MAIN_VARIABLES))
 
 
 @query
 def parse_payload(spark: SparkSession, sf: str) -> DataFrame:
     # Written first: otherwise the optimizer cancels the JSON round trip.
-    parsed = payloads.parse_payloads(settle(derived.payloads(spark, sf)), date_source="any")
+    wanted = payloads.mapping_of(MAIN_VARIABLES)
+    parsed = payloads.parse_payloads(settle(derived.payloads(spark, sf)), columns=wanted, date_source="any")
     return rounded(parsed.select("point_id", "date", *MAIN_VARIABLES))
 
 
@@ -198,6 +209,15 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(kept.load("observations"))
 
 
+@query
+def clean_stored_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table is read, cleaned and saved under its own key."""
+    kept = store(spark)
+    kept.save(derived.observations(spark, sf), "observations")
+    kept.save(cleaning.clean(kept.load("observations")), "observations")
+    return rounded(kept.load("observations").select("point_id", "date", *MAIN_VARIABLES))
+
+
 @query
 def dataset_metadata(spark: SparkSession, sf: str) -> DataFrame:
     kept = store(spark)
@@ -329,6 +349,12 @@ def completeness(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(checks.completeness(cleaning.null_out_of_range(derived.observations(spark, sf))))
 
 
+@query
+def completeness_missing(spark: SparkSession, sf: str) -> DataFrame:
+    """One of the judged variables is no column of the table: no row is complete."""
+    return rounded(checks.completeness(derived.observations(spark, sf).drop("ws_50m")))
+
+
 @query
 def completeness_by_point(spark: SparkSession, sf: str) -> DataFrame:
     nulled = cleaning.null_out_of_range(derived.observations(spark, sf))
@@ -389,6 +415,21 @@ def per_point_udf(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(combine_per_point(cleaned, sums, "total double, n bigint", merged))
 
 
+@query
+def longest_bright_run(spark: SparkSession, sf: str) -> DataFrame:
+    """A user's order-dependent function: the longest run of observations above a value."""
+
+    def step(state, rows):
+        longest, now = state
+        for bright in (rows["sw_dwn"] > 200).tolist():
+            now = now + 1 if bright else 0
+            longest = max(longest, now)
+        return longest, now
+
+    cleaned = cleaning.clean(derived.observations(spark, sf)).select("point_id", "date", "sw_dwn")
+    return fold_per_point(cleaned, lambda: (0, 0), step, lambda s: {"longest": s[0]}, "longest bigint", ["date", "sw_dwn"])
+
+
 # Clusters --------------------------------------------------------------------
 
 
@@ -421,7 +462,7 @@ def score_series(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def feature_columns(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(features.feature_table(settle(indicator_table(spark, sf)).drop("dni_mean")))
+    return rounded(features.feature_table(indicator_table(spark, sf).drop("dni_mean")))
 
 
 @query
@@ -436,8 +477,9 @@ def standardize(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def kmeans_labels(spark: SparkSession, sf: str) -> DataFrame:
-    table = settle(indicator_table(spark, sf))
-    return kmeans.KMeansClustering(5, 42).fit(table).labels(table).select("point_id", "cluster_id")
+    table = settle(three_groups(spark, sf))
+    labels = kmeans.KMeansClustering(3, 7, n_init=5).fit(table).labels(table)
+    return labels.select("point_id", F.col("cluster_id").cast("bigint"))
 
 
 def three_groups(spark: SparkSession, sf: str) -> DataFrame:
@@ -463,16 +505,18 @@ def sweep_groups(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(report.select("recommended_k", "silhouette", "davies_bouldin", "stability_runs", *flags))
 
 
-@query
-def custom_clustering(spark: SparkSession, sf: str) -> DataFrame:
-    """A user's own clustering in place of K-Means: split at the mean of one feature."""
+class HalvesBySun:
+    """A clustering without chance: split at the mean of one feature."""
+
+    def fit(self, df: DataFrame, names) -> kmeans.ClusterModel:
+        scaling = features.fit_scaling(df, names)
+        side = [1.0 if f == "sw_dwn_mean" else 0.0 for f in names]
+        return kmeans.ClusterModel(scaling, (tuple(-v for v in side), tuple(side)), 0.0)
 
-    class HalvesBySun:
-        def fit(self, df: DataFrame, names) -> kmeans.ClusterModel:
-            scaling = features.fit_scaling(df, names)
-            side = [1.0 if f == "sw_dwn_mean" else 0.0 for f in names]
-            return kmeans.ClusterModel(scaling, (tuple(-v for v in side), tuple(side)), 0.0)
 
+@query
+def custom_clustering(spark: SparkSession, sf: str) -> DataFrame:
+    """A user's own clustering in place of K-Means."""
     result = flows.cluster(settle(indicator_table(spark, sf)), HalvesBySun())
     return result.labelled.select("point_id", F.col("cluster_id").cast("bigint"))
 
@@ -510,9 +554,10 @@ def silhouette_(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def silhouette_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     vectors = derived.read(spark, sf, "embeddings")
-    width = [F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)]
-    table = vectors.select(F.col("vec_id").alias("point_id"), "label", *width)
-    return rounded(silhouette.silhouette(table, [f"e{i}" for i in range(64)], ["label"]))
+    names = [f"e{i}" for i in range(vectors.agg(F.max(F.size("embedding"))).first()[0] or 0)]
+    parts = [F.get("embedding", F.lit(i)).cast("double").alias(name) for i, name in enumerate(names)]
+    table = vectors.select(F.col("vec_id").alias("point_id"), "label", *parts)
+    return rounded(silhouette.silhouette(table, names, ["label"]))
 
 
 @query
@@ -548,12 +593,17 @@ def quality_text(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quality_by_k(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(quality.quality_by_k(indicator_table(spark, sf), MEAN_COLUMNS, (2, 3, 4, 5)))
+    """Over three clear groups: measures for k = 3, which are determined, and what must hold for any k."""
+    measured = quality.quality_by_k(three_groups(spark, sf), MEAN_COLUMNS, (2, 3, 4), n_init=3)
+    falls = F.coalesce(F.col("inertia") < F.lag("inertia").over(Window.orderBy("k")), F.lit(True))
+    only = [F.when(F.col("k") == 3, F.col(c)).alias(c) for c in ("inertia", "silhouette", "davies_bouldin")]
+    return rounded(measured.select("k", F.col("k").alias("n_labels"), *only, falls.alias("inertia_falls")))
 
 
 @query
 def kmeans_stability(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(quality.evaluate_stability(indicator_table(spark, sf), MEAN_COLUMNS, 3, 4))
+    steady = quality.evaluate_stability(three_groups(spark, sf), MEAN_COLUMNS, 3, 4)
+    return rounded(steady.select("ari_mean", "ari_std"))
 
 
 # Interpretation --------------------------------------------------------------
@@ -642,5 +692,5 @@ def experiment_stability(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def run_all(spark: SparkSession, sf: str) -> DataFrame:
-    result = flows.run_all(derived.points(spark, sf), derived.observations(spark, sf), store(spark))
-    return rounded(result.profiles.select("cluster_id", "label", "description", "size", "confidence", "centroid.*"))
+    result = flows.run_all(derived.points(spark, sf), derived.observations(spark, sf), store(spark), clustering=HalvesBySun())
+    return rounded(result.profiles.select(F.col("cluster_id").cast("bigint"), F.col("size").cast("bigint")))

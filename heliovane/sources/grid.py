@@ -16,8 +16,6 @@ COUNTRY_BOUNDS = (
     ("Belize", 15.5, 18.5, -89.2, -87.5),
 )
 BOUNDS_SCHEMA = "country_ix INT, country STRING, lat_lo DOUBLE, lat_hi DOUBLE, lon_lo DOUBLE, lon_hi DOUBLE"
-# Bounds rows are broadcast up to this many (about 60 bytes each).
-BROADCAST_COUNTRIES = 100_000
 
 
 def default_bounds(spark: SparkSession) -> DataFrame:
@@ -51,8 +49,6 @@ def grid_points(bounds: DataFrame, size: int = 80) -> DataFrame:
     """
     n = steps_for_size(size)
     countries = bounds.count()
-    if countries <= BROADCAST_COUNTRIES:
-        bounds = F.broadcast(bounds)
     spark = bounds.sparkSession
     cells = spark.range(countries * n * n).select(
         F.col("id").alias("point_id"),

@@ -12,12 +12,13 @@ from heliovane.operators.cleaning import nan_to_null
 from heliovane.schema import DATE_PARAMETER, FILL_VALUE, PAYLOAD_COLUMNS, VARIABLES
 
 
-def scan_payloads(spark: SparkSession, path: str, layout: str = "document") -> DataFrame:
+def scan_payloads(spark: SparkSession, path: str, layout: str = "document", name_pattern: str | None = None) -> DataFrame:
     """Stored responses as ``(point_id, payload)`` rows.
 
     ``document`` reads one response per file, ``lines`` one per line, ``parquet`` a
     table that already has both columns.  For text the point comes from a
-    ``point_id=`` folder when there is one, else from the number in the file name.
+    ``point_id=`` folder, or else from the first group of ``name_pattern`` in the
+    file name; a file that does not match stops the read.
     """
     if layout == "parquet":
         return spark.read.parquet(path).select(F.col("point_id").cast("bigint"), "payload")
@@ -26,8 +27,12 @@ def scan_payloads(spark: SparkSession, path: str, layout: str = "document") -> D
     texts = spark.read.text(path, wholetext=layout == "document")
     if "point_id" in texts.columns:
         point = F.col("point_id")
+    elif name_pattern is None:
+        raise ValueError("give a name_pattern, or put the files into point_id= folders")
     else:
-        point = F.nullif(F.regexp_extract("_metadata.file_name", r"(\d+)", 1), F.lit(""))
+        found = F.regexp_extract("_metadata.file_name", name_pattern, 1).try_cast("bigint")
+        message = F.concat(F.lit("no point number in file name "), F.col("_metadata.file_name"))
+        point = F.coalesce(found, F.raise_error(message).cast("bigint"))
     return texts.select(point.cast("bigint").alias("point_id"), F.col("value").alias("payload"))
 
 
@@ -134,6 +139,11 @@ def parse_payloads(
     ).where("date IS NOT NULL")
 
 
-def ingest(spark: SparkSession, path: str, layout: str = "document", **parse_options) -> DataFrame:
+def mapping_of(variables: Sequence[str]) -> dict[str, str]:
+    """The part of the parameter mapping that yields these variables: nothing else is read from the JSON."""
+    return {parameter: column for parameter, column in PAYLOAD_COLUMNS.items() if column in variables}
+
+
+def ingest(spark: SparkSession, path: str, layout: str = "document", name_pattern: str | None = None, **parse_options) -> DataFrame:
     """Scan stored payloads and parse them."""
-    return parse_payloads(scan_payloads(spark, path, layout), **parse_options)
+    return parse_payloads(scan_payloads(spark, path, layout, name_pattern), **parse_options)

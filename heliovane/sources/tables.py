@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,26 +16,54 @@ class TableStore:
         self.folder = folder.rstrip("/")
 
     def path(self, key: str) -> str:
-        return f"{self.folder}/{key}.parquet"
+        """Where the current version of the table lies."""
+        return f"{self.folder}/{key}/{self._current(key)}.parquet"
+
+    def _pointer(self, key: str):
+        jvm = self.spark.sparkContext._jvm
+        where = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{key}/current")
+        return where, where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
+    def _current(self, key: str) -> str | None:
+        """The name of the current version; None if nothing is stored."""
+        where, files = self._pointer(key)
+        if not files.exists(where):
+            return None
+        stream = files.open(where)
+        try:
+            return self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     def save(self, df: DataFrame, key: str, partition_by: str | None = None) -> None:
-        """Write the table, replacing what was stored under the key."""
-        writer = df.write.mode("overwrite")
+        """Write the table, replacing what was stored under the key.
+
+        A new version is written beside the old one and then named as the current one, so
+        the frame may read the table it replaces, and a failing write changes nothing.
+        The version before stays for frames still reading it; older ones are removed.
+        """
+        where, files = self._pointer(key)
+        before, version = self._current(key), uuid.uuid4().hex
+        writer = df.write
         if partition_by:
             writer = writer.partitionBy(partition_by)
-        writer.parquet(self.path(key))
+        writer.parquet(f"{self.folder}/{key}/{version}.parquet")
+        stream = files.create(where, True)
+        try:
+            stream.write(bytearray(version.encode()))
+        finally:
+            stream.close()
+        for status in files.listStatus(where.getParent()):
+            if status.getPath().getName() not in ("current", f"{version}.parquet", f"{before}.parquet") and status.isDirectory():
+                files.delete(status.getPath(), True)
 
     def load(self, key: str) -> DataFrame:
+        if not self.exists(key):
+            raise KeyError(f"no table {key!r} in {self.folder}")
         return self.spark.read.parquet(self.path(key))
 
     def exists(self, key: str) -> bool:
-        try:
-            self.load(key)
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return False
-            raise
-        return True
+        return self._current(key) is not None
 
     def describe(self, key: str) -> DataFrame:
         """One row: column names, row count, size in MB.

@@ -2,6 +2,7 @@ import datetime
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from heliovane.operators import checks, cleaning
 from heliovane.operators.indicators import indicator_means, indicators, point_means, point_position_scores
@@ -17,11 +18,11 @@ POINTS = "point_id BIGINT, latitude DOUBLE, longitude DOUBLE, country STRING"
 
 def test_clean_keeps_present_columns(spark):
     df = spark.createDataFrame(
-        [("2020-01-01", 100.0, 50.0), ("2020-01-02", 110.0, 60.0)], "date STRING, sw_dwn DOUBLE, dni DOUBLE"
+        [("2011-07-09", 12.5, 3.0), ("2011-07-08", -4.0, 777.0), ("2011-07-07", 399.0, 0.0)], "date STRING, ws_50m DOUBLE, dni DOUBLE"
     )
     cleaned = cleaning.clean(df, sort=True)
-    assert cleaned.columns == ["date", "sw_dwn", "dni"]
-    assert [r["sw_dwn"] for r in cleaned.collect()] == [100.0, 110.0]
+    assert cleaned.columns == ["date", "ws_50m", "dni"]
+    assert [(r["ws_50m"], r["dni"]) for r in cleaned.collect()] == [(None, 0.0), (None, 777.0), (12.5, 3.0)]
 
 
 def test_clean_in_order(spark):
@@ -74,6 +75,7 @@ def test_completeness(spark):
     assert tuple(report) == (2, 1, 0.5, True)
     assert not checks.completeness(df, threshold=0.85).first()["is_valid"]
     assert tuple(checks.completeness(df.limit(0)).first()) == (0, 0, 0.0, False)
+    assert tuple(checks.completeness(df.drop("ws_50m")).first()) == (2, 0, 0.0, False)
 
 
 def test_means_and_positions(spark):
@@ -145,11 +147,16 @@ def test_checksum(spark):
     rows = [(i, 10 + i / 7, -84 - i / 3, f"C{i % 3}") for i in range(10)]
     points = spark.createDataFrame(rows, POINTS)
     lines = [f"{a:.8f},{b:.8f},{c}" for _, a, b, c in rows]
-    whole = hashlib.sha256("\n".join(lines).encode()).hexdigest()
-    assert points_checksum(points.repartition(5)).first()["checksum"] == whole
-    parts = [hashlib.sha256("\n".join(lines[i : i + 4]).encode()).hexdigest() for i in (0, 4, 8)]
+
+    def digest(runs):
+        return hashlib.sha256("".join(hashlib.sha256("\n".join(r).encode()).hexdigest() for r in runs).encode()).hexdigest()
+
+    assert points_checksum(points.repartition(5)).first()["checksum"] == digest([lines])
+    from_one = points.withColumn("point_id", F.col("point_id") + 1)
+    assert points_checksum(from_one, chunk=16).first()["checksum"] == digest([lines])
+    assert points_checksum(from_one, chunk=4).first()["checksum"] == digest([lines[:3], lines[3:7], lines[7:]])
     chunked = points_checksum(points, chunk=4).first()
-    assert chunked["checksum"] == hashlib.sha256("".join(parts).encode()).hexdigest()
+    assert chunked["checksum"] == digest([lines[:4], lines[4:8], lines[8:]])
     assert chunked["n_points"] == 10
 
 

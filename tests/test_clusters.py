@@ -98,20 +98,24 @@ def test_own_feature_columns_survive_labelling(spark):
 
 
 def test_country_breakdown(spark):
-    rows = [
-        (300.0, 280.0, 2.0, 3.0, 0.9, 0.1, 0.5, "CR"), (305.0, 285.0, 2.5, 3.5, 0.92, 0.12, 0.52, "CR"),
-        (295.0, 275.0, 1.5, 2.5, 0.88, 0.08, 0.48, "PA"), (100.0, 90.0, 8.0, 9.0, 0.2, 0.9, 0.55, "HN"),
-        (105.0, 95.0, 8.5, 9.5, 0.22, 0.92, 0.57, "HN"), (95.0, 85.0, 7.5, 8.5, 0.18, 0.88, 0.53, "GT"),
-    ]
+    # Two valleys of eight and twelve made-up points; the home repeats in a pattern of its own.
+    rows = []
+    for i in range(20):
+        far = i >= 8
+        base = (40.0 + i, 30.0 + i / 2, 1.0, 1.5) if not far else (240.0 + i, 210.0 - i, 11.0, 13.0)
+        rows.append((*base, i / 20, 1 - i / 20, 0.25, ("Ebene", "Berg", "Ebene", "Ufer")[i % 4]))
     df = indicator_frame(spark, rows, ", solar_score DOUBLE, wind_score DOUBLE, hybrid_score DOUBLE, country STRING")
-    model = kmeans.KMeansClustering(2, 0).fit(df)
+    model = kmeans.KMeansClustering(2, 5, n_init=3).fit(df)
     profiles = clusters.cluster_profiles(model.labels(df), model.centroids(df)).orderBy("cluster_id").collect()
-    for p in profiles:
-        assert sum(c["count"] for c in p["country_breakdown"]) == p["size"] == 3
-        assert sum(c["percentage"] for c in p["country_breakdown"]) == pytest.approx(1.0)
-        assert {"avg_solar_score", "avg_wind_score", "avg_hybrid_score"} <= set(p["country_breakdown"][0].asDict())
-    assert [c["country"] for c in profiles[0]["country_breakdown"]] == ["HN", "GT"]
-    assert profiles[0]["label"] == "Cluster 0" and profiles[0]["description"] == "Cluster 0 with 3 points"
+    assert [(p["size"], p["label"], p["description"]) for p in profiles] == [
+        (8, "Cluster 0", "Cluster 0 with 8 points"), (12, "Cluster 1", "Cluster 1 with 12 points"),
+    ]
+    for p, homes in zip(profiles, (rows[:8], rows[8:])):
+        got = {c["country"]: (c["count"], c["percentage"], c["avg_solar_score"]) for c in p["country_breakdown"]}
+        assert p["country_breakdown"][0]["country"] == "Ebene"
+        for name in ("Ebene", "Berg", "Ufer"):
+            mine = [r[4] for r in homes if r[7] == name]
+            assert got[name] == (len(mine), pytest.approx(len(mine) / len(homes)), pytest.approx(sum(mine) / len(mine)))
 
 
 def test_breakdown_order_ties_and_missing_country(spark):
@@ -132,7 +136,7 @@ def profiles_of(spark, rows, breakdown=None):
     )
 
 
-QUADRANTS = [(300.0, 280.0, 8.0, 9.0), (300.0, 280.0, 2.0, 3.0), (100.0, 90.0, 8.0, 9.0), (100.0, 90.0, 2.0, 3.0)]
+QUADRANTS = [(212.0, 151.0, 17.5, 21.0), (212.0, 151.0, 6.0, 7.25), (64.0, 33.0, 17.5, 21.0), (64.0, 33.0, 6.0, 7.25)]
 
 
 def told(df):
@@ -148,30 +152,30 @@ def test_four_quadrants_with_ties(spark):
 
 
 def test_three_clusters_use_known_labels(spark):
-    rows = [(250.0, 200.0, 5.0, 6.0), (150.0, 140.0, 6.0, 7.0), (200.0, 190.0, 4.0, 5.0)]
+    rows = [(61.0, 18.0, 12.0, 3.0), (77.0, 44.0, 2.0, 9.0), (13.0, 71.0, 5.5, 8.0)]
     assert {r["label"] for r in told(profiles_of(spark, rows))} <= LABELS
 
 
 def test_missing_variable(spark):
-    rows = [(300.0, None, 2.0, 3.0), (100.0, None, 8.0, 9.0)]
+    rows = [(177.0, None, 0.5, 0.75), (21.0, None, 14.0, 19.0)]
     assert [r["label"] for r in told(profiles_of(spark, rows))] == ["Solar-dominant", "Wind-dominant"]
     dropped = profiles_of(spark, rows).withColumn("centroid", F.col("centroid").dropFields("dni_mean"))
     assert [r["label"] for r in told(dropped)] == ["Solar-dominant", "Wind-dominant"]
 
 
 def test_single_and_no_cluster(spark):
-    only = told(profiles_of(spark, [(200.0, 180.0, 5.0, 6.0)]))
+    only = told(profiles_of(spark, [(88.0, 91.0, 7.0, 4.0)]))
     assert len(only) == 1 and only[0]["solar_percentile"] == only[0]["wind_percentile"] == 0.5
     assert only[0]["label"] == "Hybrid-high" and only[0]["confidence"] == 0.0
-    assert told(profiles_of(spark, [(200.0, 180.0, 5.0, 6.0)]).limit(0)) == []
+    assert told(profiles_of(spark, [(88.0, 91.0, 7.0, 4.0)]).limit(0)) == []
 
 
 def test_description_names_the_dominant_country(spark):
-    rows = [(300.0, 280.0, 2.0, 3.0), (100.0, 90.0, 8.0, 9.0)]
-    found = told(profiles_of(spark, rows, {0: [("CR", 7, 0.7), ("PA", 3, 0.3)]}))
+    rows = [(143.0, 99.0, 0.5, 0.25), (17.0, 5.0, 23.0, 19.0)]
+    found = told(profiles_of(spark, rows, {0: [("Berg", 16, 0.64), ("Ufer", 9, 0.36)]}))
     assert found[0]["description"] == (
         "Potencial predominantemente solar (10 puntos). Percentil solar: 100%, percentil eolico: 0% respecto a los "
-        "demas clusters de esta corrida. Pais dominante: CR (70% de los puntos de este cluster)."
+        "demas clusters de esta corrida. Pais dominante: Berg (64% de los puntos de este cluster)."
     )
     assert "Pais" not in found[1]["description"]
 
@@ -261,7 +265,8 @@ def test_report_without_stability_and_notes(spark):
 
 
 def test_report_numbers(spark):
-    values = [0.0625, 0.1875, -0.0002, -0.0007, -0.25, 0.9996, 0.0]
+    values = [0.0625, 0.1875, -0.0002, -0.0007, -0.25, 0.9996, 0.0, 0.0005, 0.1235, 0.0015, 2.0005, 1e-9, 17.9995, -1.0005, 123.4565]
+    values += np.random.default_rng(8).normal(size=200).round(4).tolist()
     table = spark.createDataFrame(
         [(i, v, 2.5, None, None, 0, []) for i, v in enumerate(values)],
         "recommended_k INT, silhouette DOUBLE, davies_bouldin DOUBLE, ari_mean DOUBLE, ari_std DOUBLE, "
@@ -276,3 +281,11 @@ def test_recommended_k_takes_the_first_of_equals(spark):
     rows = [(0, 5, 0.7, 1.0), (1, 3, 0.7, 1.0), (2, 4, math.nan, 1.0), (3, 2, None, 1.0)]
     df = spark.createDataFrame(rows, "position INT, k INT, silhouette DOUBLE, davies_bouldin DOUBLE")
     assert quality.recommended_k(df).first()["recommended_k"] == 5
+
+
+def test_points_without_a_label_are_left_out(spark):
+    rows = [(0, 0.0, 0), (1, 2.0, 0), (2, 10.0, 1), (3, 12.0, 1), (4, 500.0, None)]
+    df = spark.createDataFrame(rows, "point_id BIGINT, x DOUBLE, l INT")
+    known = df.where("l IS NOT NULL")
+    for measure, name in ((silhouette, "silhouette"), (quality.davies_bouldin, "davies_bouldin")):
+        assert measure(df, ["x"], ["l"]).first()[name] == pytest.approx(measure(known, ["x"], ["l"]).first()[name])

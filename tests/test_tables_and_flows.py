@@ -1,11 +1,9 @@
-import json
-
 import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from heliovane.functions.series import apply_per_point, combine_per_point
+from heliovane.functions.series import combine_per_point, fold_per_point
 from heliovane.operators import runs as run_ops
 from heliovane.operators.cleaning import clean, drop_duplicate_rows
 from heliovane.operators.indicators import indicators, point_means
@@ -61,6 +59,23 @@ def test_store(spark, tmp_path):
     assert described["columns"] == ["id", "v"] and described["num_rows"] == 3 and described["file_size_mb"] > 0
 
 
+def test_a_table_can_replace_itself_and_survives_a_failing_save(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.save(spark.range(10), "t")
+    store.save(store.load("t").where("id > 3"), "t")
+    assert store.load("t").count() == 6
+    with pytest.raises(Exception, match="no good"):
+        store.save(store.load("t").withColumn("v", F.raise_error(F.lit("no good"))), "t")
+    assert store.exists("t") and store.load("t").count() == 6
+
+
+def test_fold_sees_rows_in_order_and_in_pieces(spark, conf):
+    conf(spark__sql__execution__arrow__maxRecordsPerBatch="7")
+    table = spark.range(400).selectExpr("id % 3 AS point_id", "(id * 37) % 400 AS date", "cast(id AS double) AS v")
+    got = fold_per_point(table, list, lambda seen, rows: seen + rows["date"].tolist(), lambda seen: {"n": len(seen), "sorted": seen == sorted(seen)}, "n INT, sorted BOOLEAN")
+    assert sorted(tuple(r) for r in got.collect()) == [(0, 134, True), (1, 133, True), (2, 133, True)]
+
+
 RUN = "experiment STRING, run_seq BIGINT, worker_count INT, seconds DOUBLE, memory_mb DOUBLE, status STRING, checksum STRING"
 
 
@@ -94,14 +109,6 @@ def test_user_functions(spark):
     table = clean(derived.observations(spark, SF)).select("point_id", "sw_dwn")
     want = {r[0]: r[1] for r in table.groupBy("point_id").agg(F.avg("sw_dwn")).collect()}
 
-    def mean(rows):
-        return pd.DataFrame({"point_id": [rows["point_id"].iloc[0]], "m": [rows["sw_dwn"].mean()]})
-
-    got = {r[0]: r[1] for r in apply_per_point(table, mean, "point_id BIGINT, m DOUBLE").collect()}
-    assert got == pytest.approx(want)
-    with pytest.raises(ValueError, match="combine_per_point"):
-        apply_per_point(table, mean, "point_id BIGINT, m DOUBLE", max_rows=10)
-
     def partial(rows):
         return {"s": float(rows["sw_dwn"].sum()), "n": int(rows["sw_dwn"].count())}
 
@@ -128,28 +135,43 @@ def test_run_all_writes_everything(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/results/cluster_indicators.parquet").count() == 10
 
 
-def test_repeated_runs_leave_manifest_and_rows(spark, tmp_path):
+def small_input(spark):
     points = grid.generate_points(spark, 4, 4)
-    observations = derived.observations(spark, SF).withColumn("point_id", F.col("point_id") % 4)
-    runs = flows.repeat_runs(points, observations, str(tmp_path), "trial", 2, 1, clustering=KMeansClustering(2))
-    assert [(r["status"], r["point_count"], r["worker_count"]) for r in runs.collect()] == [("success", 4, 1)] * 2
-    assert run_ops.experiment_stability(runs).first()["is_stable"]
-    assert run_ops.with_speedup(runs).where("speedup IS NOT NULL").count() == 1
-    place = f"{tmp_path}/trial/workers-001/run-01"
-    manifest = json.loads(spark.read.text(f"{place}/manifest.json").first()[0])
-    assert manifest["status"] == "success" and manifest["point_count"] == 4 and manifest["workers"] == 1
-    assert spark.read.parquet(f"{place}/indicators.parquet").count() == 4
+    return points, derived.observations(spark, SF).withColumn("point_id", F.col("point_id") % 4)
+
+
+def test_repeated_runs_go_on_counting(spark, tmp_path):
+    points, observations = small_input(spark)
+    flows.repeat_runs(points, observations, str(tmp_path), "trial", 1, KMeansClustering(2))
+    runs = flows.repeat_runs(points, observations, str(tmp_path), "trial", 2, KMeansClustering(2))
+    rows = runs.orderBy("run_seq").collect()
+    assert [r["run_seq"] for r in rows] == [0, 1, 2] and {r["memory_mb"] for r in rows} == {None}
+    assert {(r["status"], r["worker_count"], r["point_count"]) for r in rows} == {("success", spark.sparkContext.defaultParallelism, 4)}
+    assert run_ops.experiment_stability(runs).first()["is_stable"] and run_ops.invalid_runs(runs).count() == 0
+    place = f"{tmp_path}/trial/results/000002"
+    assert spark.read.json(f"{place}/record.json").first()["checksum"] == rows[2]["checksum"]
+    assert spark.read.parquet(f"{place}/labelled.parquet").count() == 4
     with pytest.raises(ValueError):
         flows.repeat_runs(points, observations, str(tmp_path), "trial", 0)
 
 
-def test_failed_run_leaves_its_manifest(spark, tmp_path):
-    points = grid.generate_points(spark, 4, 4).withColumn("country", F.lit(None).cast("string"))
-    observations = derived.observations(spark, SF).withColumn("point_id", F.col("point_id") % 4)
-    with pytest.raises(RuntimeError, match="run failed"):
-        flows.repeat_runs(points, observations, str(tmp_path), "bad", 1, 1, clustering=KMeansClustering(2))
-    runs = spark.read.parquet(f"{tmp_path}/bad/runs.parquet").collect()
-    assert [r["status"] for r in runs] == ["failed"] and "identity" in runs[0]["error"]
+def test_a_failed_run_is_recorded(spark, tmp_path):
+    points, observations = small_input(spark)
+    nameless = points.withColumn("country", F.lit(None).cast("string"))
+    with pytest.raises(RuntimeError, match="run 0 of bad failed"):
+        flows.repeat_runs(nameless, observations, str(tmp_path), "bad", 1, KMeansClustering(2))
+    rows = TableStore(spark, f"{tmp_path}/bad").load("runs").collect()
+    assert [r["status"] for r in rows] == ["failed"] and "identity" in rows[0]["error"]
+
+
+def test_years_bound_the_flow_and_prune_files(spark, tmp_path):
+    points, observations = small_input(spark)
+    store = TableStore(spark, str(tmp_path))
+    flows.run_all(points, observations, store, clustering=KMeansClustering(2), years=(1995, 1996))
+    raw = store.load("raw_observations")
+    assert sorted(r[0] for r in raw.select("year").distinct().collect()) == [1995, 1996]
+    one = raw.where("year = 1996")
+    assert "PartitionFilters: [isnotnull(year" in one._jdf.queryExecution().toString() and len(one.inputFiles()) > 0
 
 
 # Plans that must hold at scale -----------------------------------------------
