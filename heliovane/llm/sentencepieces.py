@@ -44,7 +44,8 @@ class Pieces:
             raise ValueError("pieces of this model cross whitespace markers")
         if spec.precompiled_charsmap or spec.remove_extra_whitespaces or not spec.add_dummy_prefix:
             raise ValueError("this model changes its input before segmenting")
-        self.decimal = [str(i).encode() for i in range(len(names))]
+        self.ids = list(range(len(names)))  # one object for each id, which all remembered chunks share
+        self.decimal = [str(i).encode() for i in self.ids]
         self.bytes: list[bytes] = []
         for i, name in enumerate(names):
             if self.sp.is_control(i):
@@ -61,7 +62,7 @@ class Pieces:
 
     def _segment(self, chunk: bytes) -> tuple[int, ...]:
         """Ids of one chunk; the library itself puts the first marker before what it encodes."""
-        return tuple(self.sp.encode(chunk[1:].decode())) if len(chunk) > 1 else (self.marker,)
+        return tuple(map(self.ids.__getitem__, self.sp.encode(chunk[1:].decode()))) if len(chunk) > 1 else (self.marker,)
 
     def encode(self, raw: bytes) -> list[int]:
         """The library's ids of the whole text."""
