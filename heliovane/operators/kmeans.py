@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 
 from heliovane.operators.features import Scaling, feature_columns, fit_scaling
 from heliovane.schema import DEFAULT_SEED, MEAN_COLUMNS
-from heliovane.session import settle
+from heliovane.session import cleared, settle
+
+# About how many centroids one pass over the points compares them with.
+CENTROIDS = 1 << 16
 
 
 def squared_distance(features: Sequence[str], center: Column) -> Column:
@@ -33,21 +36,27 @@ def _nearest(features: Sequence[str], centers: Column) -> Column:
     )
 
 
-def assign_nearest(df: DataFrame, centroids: DataFrame, features: Sequence[str]) -> DataFrame:
+def assign_nearest(df: DataFrame, centroids: DataFrame, features: Sequence[str], at_once: int = CENTROIDS) -> DataFrame:
     """Add ``cluster_id`` and ``distance2`` of the nearest row of a centroid table.
 
-    The centroid table (cluster_id, features) becomes one array through a scalar
-    subquery and is searched in place: no shuffle of the points.
+    The centroid table (cluster_id, features) becomes an array through a scalar
+    subquery and is searched in place: no shuffle of the points.  Centroids are counted
+    first and dealt by hash into arrays of about ``at_once``; beyond one array each
+    further one is a pass over a written table that carries the nearest so far.
     """
-    rows = centroids.select(F.struct("cluster_id", *features).alias("c"))
-    listed = rows.agg(F.sort_array(F.collect_list("c")).alias("centers")).scalar()
-    return (
-        df.withColumn("_centers", listed)
-        .withColumn("_near", _nearest(features, F.col("_centers")))
-        .withColumn("cluster_id", F.col("_near.cluster_id"))
-        .withColumn("distance2", F.col("_near.distance2"))
-        .drop("_centers", "_near")
-    )
+    rows = centroids.select("cluster_id", *features)
+    passes = max(1, -(-rows.count() // at_once))
+    dealt = F.pmod(F.xxhash64("cluster_id", *features), F.lit(passes))
+
+    def with_centers(to: DataFrame, block: int) -> DataFrame:
+        mine = rows.where(dealt == block).select(F.struct("cluster_id", *features).alias("c"))
+        return to.withColumn("_centers", mine.agg(F.sort_array(F.collect_set("c")).alias("centers")).scalar())
+
+    nearest = _nearest(features, F.col("_centers"))
+    found = with_centers(df, 0).withColumn("_near", nearest).drop("_centers")
+    for block in range(1, passes):
+        found = with_centers(settle(found), block).withColumn("_near", F.least("_near", nearest)).drop("_centers")
+    return found.withColumn("cluster_id", F.col("_near.cluster_id")).withColumn("distance2", F.col("_near.distance2")).drop("_near")
 
 
 def inertia(assigned: DataFrame) -> DataFrame:
@@ -149,6 +158,7 @@ class KMeansClustering:
 
     def fit(self, df: DataFrame, features: Sequence[str] = ()) -> ClusterModel:
         names = list(features) or feature_columns(df, MEAN_COLUMNS)
-        table = settle(df.select(*names))
-        scaling = fit_scaling(table, names)
-        return fit_kmeans(scaling.standardize(table), scaling, self.k, self.seed, self.n_init)
+        with cleared():
+            table = settle(df.select(*names))
+            scaling = fit_scaling(table, names)
+            return fit_kmeans(scaling.standardize(table), scaling, self.k, self.seed, self.n_init)

@@ -19,7 +19,10 @@ from heliovane.schema import (
     SILHOUETTE_THRESHOLD,
     STABILITY_THRESHOLD,
 )
-from heliovane.session import settle
+from heliovane.session import cleared, settle
+
+# About how many labels of one labelling are compared with a label in one row.
+LABELS = 4096
 
 
 def _long(df: DataFrame, features: Sequence[str], labellings: Sequence[str]) -> DataFrame:
@@ -30,13 +33,14 @@ def _long(df: DataFrame, features: Sequence[str], labellings: Sequence[str]) ->
     return df.select(*features, F.inline(pairs))
 
 
-def davies_bouldin(df: DataFrame, features: Sequence[str], labellings: Sequence[str]) -> DataFrame:
+def davies_bouldin(df: DataFrame, features: Sequence[str], labellings: Sequence[str], at_once: int = LABELS) -> DataFrame:
     """Davies-Bouldin index per labelling; 0 if all spreads or all separations are 0.
 
     Two passes over the points (means, then mean distance to the own mean), both
     with map-side combining.  The label means are joined to the points, Spark choosing
-    how by their size; labels are compared inside one array per labelling.  Points
-    without a label are left out, as the silhouette does.
+    how by their size.  The one-row-per-label table is written; each label is then
+    compared in place with arrays of about ``at_once`` labels of its labelling, so no
+    row holds them all.  Points without a label are left out, as the silhouette does.
     """
     table = _long(df, features, labellings).where("label IS NOT NULL")
     means = table.groupBy("labelling", "label").agg(F.struct(*[F.avg(f).alias(f) for f in features]).alias("mean"))
@@ -45,13 +49,17 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], labellings: Sequence[
         return F.sqrt(reduce(lambda x, y: x + y, [(a[f] - b[f]) * (a[f] - b[f]) for f in features]))
 
     own = F.struct(*[F.col(f) for f in features])
-    spread = (
+    spread = settle(
         table.join(means, ["labelling", "label"])
         .withColumn("_d", gap(own, F.col("mean")))
         .groupBy("labelling", "label")
         .agg(F.first("mean").alias("mean"), F.avg("_d").alias("s"))
     )
-    clusters = spread.groupBy("labelling").agg(F.collect_list(F.struct("label", "mean", "s")).alias("c"))
+    sizes = spread.groupBy("labelling").agg(F.ceil(F.count(F.lit(1)) / at_once).cast("int").alias("_blocks"))
+    dealt = spread.join(sizes, "labelling").select("labelling", "_blocks", F.struct("label", "mean", "s").alias("one"))
+    block = F.pmod(F.xxhash64("one.label"), F.col("_blocks")).cast("int")
+    blocks = dealt.groupBy("labelling", block.alias("_block")).agg(F.collect_list("one").alias("others"))
+    each = dealt.select("labelling", "one", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_block"))
 
     def ratio(one: Column, two: Column) -> Column:
         apart = gap(one["mean"], two["mean"])
@@ -59,10 +67,11 @@ def davies_bouldin(df: DataFrame, features: Sequence[str], labellings: Sequence[
             (one["s"] + two["s"]) / apart
         )
 
-    worst = F.transform("c", lambda one: F.array_max(F.transform(F.col("c"), lambda two: ratio(one, two))))
-    total = F.aggregate(worst, F.lit(0.0), lambda a, b: a + b)
-    value = F.when(F.size("c") > 1, total / F.size("c"))
-    return clusters.select("labelling", value.alias("davies_bouldin"))
+    met = each.join(blocks, ["labelling", "_block"])
+    worst = F.array_max(F.transform("others", lambda two: ratio(F.col("one"), two)))
+    by_label = met.groupBy("labelling", "one.label").agg(F.max(worst).alias("worst"))
+    value = F.when(F.count(F.lit(1)) > 1, F.avg("worst"))
+    return by_label.groupBy("labelling").agg(value.alias("davies_bouldin"))
 
 
 def label_counts(df: DataFrame, labellings: Sequence[str]) -> DataFrame:
@@ -233,6 +242,12 @@ def quality_text(
     return gates.withColumn(out, F.concat_ws("\n", *lines))
 
 
+def _point_table(df: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:
+    """The ids and features as a written table; one that is just that already is not written again."""
+    wanted = [id_col, *features]
+    return df if hasattr(df, "settled_at") and df.columns == wanted else settle(df.select(*wanted))
+
+
 def fit_label_columns(
     plain: DataFrame,
     features: Sequence[str],
@@ -270,10 +285,17 @@ def quality_by_k(
 ) -> DataFrame:
     """Inertia, silhouette and Davies-Bouldin for each valid k, same seed for each.
 
-    All fits read one written table, and each metric is one job for all k.
+    All fits read one written table, and each metric is one job for all k.  Only the
+    result stays of the tables written on the way.
     """
-    spark = df.sparkSession
-    plain = settle(df.select(id_col, *features))
+    with cleared() as kept:
+        result = settle(_quality_by_k(_point_table(df, id_col, features), features, k_values, seed, id_col, n_init))
+        kept.append(result)
+        return result
+
+
+def _quality_by_k(plain: DataFrame, features: Sequence[str], k_values: Sequence[int], seed: int, id_col: str, n_init: int) -> DataFrame:
+    spark = plain.sparkSession
     n_points = plain.count()
     valid = [k for k in k_values if 2 <= k < n_points]
     if not valid:
@@ -309,9 +331,12 @@ def evaluate_stability(
     id_col: str = "point_id",
 ) -> DataFrame:
     """Mean and deviation of the adjusted Rand index over runs with different seeds."""
-    plain = settle(df.select(id_col, *features))
-    table, names, _ = fit_label_columns(plain, features, [(k, base_seed + i) for i in range(n_runs)])
-    return stability(adjusted_rand(table, names))
+    with cleared() as kept:
+        plain = _point_table(df, id_col, features)
+        table, names, _ = fit_label_columns(plain, features, [(k, base_seed + i) for i in range(n_runs)])
+        result = settle(stability(adjusted_rand(table, names)))
+        kept.append(result)
+        return result
 
 
 def evaluate_k_range(
@@ -326,19 +351,24 @@ def evaluate_k_range(
     id_col: str = "point_id",
     n_init: int = 1,
 ) -> tuple[DataFrame, DataFrame]:
-    """(quality by k, one-row report with the recommended k, gates, notes and text)."""
+    """(quality by k, one-row report with the recommended k, gates, notes and text).
+
+    Of the tables written on the way only the first result's stays.
+    """
     spark = df.sparkSession
-    df = settle(df.select(id_col, *features))
-    n_points = df.count()
-    by_k = settle(quality_by_k(df, features, k_values, seed, id_col, n_init))
-    best = recommended_k(by_k).first()
-    if best["recommended_k"] is None:
-        raise ValueError("no k value has a silhouette")
-    notes = [skipped_note([k for k in k_values if not 2 <= k < n_points], n_points)]
-    notes += [row["note"] for row in by_k.where("note IS NOT NULL").orderBy("position").select("note").collect()]
-    ari = (None, None)
-    if stability_runs > 1:
-        ari = tuple(evaluate_stability(df, features, best["recommended_k"], stability_runs, 0, id_col).first())
+    with cleared() as kept:
+        df = _point_table(df, id_col, features)
+        n_points = df.count()
+        by_k = quality_by_k(df, features, k_values, seed, id_col, n_init)
+        best = recommended_k(by_k).first()
+        if best["recommended_k"] is None:
+            raise ValueError("no k value has a silhouette")
+        notes = [skipped_note([k for k in k_values if not 2 <= k < n_points], n_points)]
+        notes += [row["note"] for row in by_k.where("note IS NOT NULL").orderBy("position").select("note").collect()]
+        ari = (None, None)
+        if stability_runs > 1:
+            ari = tuple(evaluate_stability(df, features, best["recommended_k"], stability_runs, 0, id_col).first())
+        kept.append(by_k)
     report = spark.createDataFrame(
         [
             (

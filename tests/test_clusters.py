@@ -1,4 +1,5 @@
 import math
+import os
 
 import numpy as np
 import pytest
@@ -289,3 +290,36 @@ def test_points_without_a_label_are_left_out(spark):
     known = df.where("l IS NOT NULL")
     for measure, name in ((silhouette, "silhouette"), (quality.davies_bouldin, "davies_bouldin")):
         assert measure(df, ["x"], ["l"]).first()[name] == pytest.approx(measure(known, ["x"], ["l"]).first()[name])
+
+
+def test_davies_bouldin_in_blocks_of_labels(spark):
+    df = spark.range(300).selectExpr("CAST(hash(id) % 97 AS DOUBLE) AS x", "id % 23 AS l", "id % 2 AS m")
+    whole = {r[0]: r[1] for r in quality.davies_bouldin(df, ["x"], ["l", "m"]).collect()}
+    blocks = {r[0]: r[1] for r in quality.davies_bouldin(df, ["x"], ["l", "m"], at_once=4).collect()}
+    assert blocks == pytest.approx(whole) and set(whole) == {"l", "m"}
+
+
+def test_nearest_in_several_passes(spark):
+    points = spark.range(200).selectExpr("id", "CAST(id % 40 AS DOUBLE) AS a", "CAST(id % 7 AS DOUBLE) AS b")
+    centers = spark.range(30).selectExpr("CAST(id AS INT) AS cluster_id", "CAST(id % 20 AS DOUBLE) * 2 AS a", "CAST(id % 3 AS DOUBLE) AS b")
+    centers = centers.unionByName(centers.where("cluster_id < 5"))
+    once = kmeans.assign_nearest(points, centers, ["a", "b"])
+    passes = kmeans.assign_nearest(points, centers, ["a", "b"], at_once=7)
+    assert passes.columns == once.columns
+    assert sorted(map(tuple, passes.collect())) == sorted(map(tuple, once.collect()))
+    none = kmeans.assign_nearest(points, centers.limit(0), ["a", "b"]).first()
+    assert none["cluster_id"] is None and none["distance2"] is None
+
+
+def test_the_sweep_leaves_one_table(spark):
+    from heliovane import session
+
+    folder = session.shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    by_k, report = quality.evaluate_k_range(blobs(spark), MEAN_COLUMNS, [2, 3], stability_runs=2)
+    assert {f"{folder}/{name}" for name in set(os.listdir(folder)) - before} == {by_k.settled_at.removeprefix("file:")}
+    assert by_k.count() == 2 and report.count() == 1
+    with pytest.raises(ValueError):
+        quality.evaluate_k_range(blobs(spark, 1), MEAN_COLUMNS, [5])
+    kmeans.KMeansClustering(2).fit(blobs(spark), MEAN_COLUMNS)
+    assert len(set(os.listdir(folder)) - before) == 1
