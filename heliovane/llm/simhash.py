@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 import xxhash
 
 from heliovane.llm.common import LOWER, map_texts
-from heliovane.session import settle
+from heliovane.session import discard, settle
 
 WORDS = 4
 SEED = 42
@@ -205,27 +205,32 @@ def links(distinct: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, split
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in an edge, root the smallest node of its component.
 
-    Large-star and small-star steps alternate until the edges no longer change; each round is
-    a written table, so nothing is recomputed and a lost executor costs a re-read.
+    Large-star and small-star steps alternate until the edges no longer change.  Edges point from
+    the larger node to the smaller one, so a node's least neighbour comes from the edges that
+    leave it; a hub that is the least of its neighbours has none and stays as it is.  Both sides of
+    each join are written tables: nothing is recomputed, a lost executor costs a re-read, and
+    Spark splits the rows of a hub, which it can't where one side is an aggregate.
     """
     edges = settle(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
 
     def mark(df: DataFrame) -> tuple:
         return tuple(df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")).alias("h")).first())
 
+    def least(df: DataFrame) -> DataFrame:
+        return settle(df.groupBy(F.col("u").alias("x")).agg(F.min("v").alias("m")))
+
     before = mark(edges)
     while before[0]:
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-        below = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(below, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        small = moved.unionByName(below.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        edges = settle(small)
-        after = mark(edges)
-        if after == before:
+        down = least(edges)
+        large = settle(edges.join(down, F.col("v") == F.col("x"), "left").select("u", F.coalesce("m", "v").alias("v")).distinct())
+        below = least(large)
+        moved = large.join(below, F.col("u") == F.col("x")).where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        nearer = settle(moved.unionByName(below.select(F.col("x").alias("u"), F.col("m").alias("v"))).distinct())
+        discard(edges, down, large, below)
+        edges, last = nearer, before
+        before = mark(edges)
+        if before == last:
             break
-        before = after
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 

@@ -105,6 +105,27 @@ def test_chain_of_links_is_one_component(spark):
     assert simhash.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+@pytest.mark.parametrize("hub", [-1, 500, 10_000])
+def test_hub_and_random_links(spark, hub):
+    """A hub below, among and above its neighbours, beside random links, with repeated and turned edges."""
+    rng = random.Random(hub)
+    edges = [(hub, i) for i in range(0, 400, 2)] + [(i, hub) for i in range(0, 400, 40)] * 2
+    edges += [(rng.randrange(2000, 2400), rng.randrange(2000, 2400)) for _ in range(220)]
+    parent = {x: x for edge in edges for x in edge}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    found = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    loose = {x for x in parent if all(a == b for a, b in edges if x in (a, b))}  # only linked to themselves
+    assert found == {x: find(x) for x in parent if x not in loose}
+
+
 def test_keep_one_of_each_group(spark):
     text = "alpha beta gamma delta epsilon zeta eta theta iota kappa " * 8
     rows = [(9, text, "z"), (3, text, "x"), (3, text, "x"), (5, "another text of its own entirely here", "y"), (None, "no id at all but kept", "n"), (None, text, "q"), (8, None, None), (7, "", None)]
