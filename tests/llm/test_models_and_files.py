@@ -135,6 +135,17 @@ def test_toxicity_held_out(spark):
     assert (toxic[:, None] > ordinary).mean() > 0.95
 
 
+def test_toxicity_held_out_by_language(spark):
+    """Outside English what tells the classes apart is a beginning that many different words share."""
+    sf = "/root/testdata/sf0.1"
+    truth = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    lang = {r["doc_id"]: r["lang"] for r in documents(spark, sf).select("doc_id", "lang").collect()}
+    held = [(lang[r["doc_id"]], truth[r["doc_id"]], r["predicted"]) for r in queries.op9_toxicity(spark, sf).collect() if r["held_out"] and r["doc_id"] in truth]
+    found = {code: np.mean([p for c, t, p in held if t and c == code]) for code in ("en", "fr", "de", "es")}
+    alarms = {code: np.mean([p for c, t, p in held if not t and c == code]) for code in found}
+    assert min(found[c] for c in ("en", "fr", "de")) > 0.9 and found["es"] > 0.5 and max(alarms.values()) < 0.05
+
+
 def test_toxicity_counts_and_odd_rows(spark):
     docs = texts(spark, [*ODD, (11, "idiot"), (12, "nice")])
     labels = spark.createDataFrame([(3, 0, 1), (3, 0, 1), (4, 0, None), (4, 0, 0), (7, 1, 0), (None, 1, 1), (99, 1, 1), (11, 1, 1)], "doc_id long, quality int, toxic int")
