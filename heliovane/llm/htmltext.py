@@ -12,7 +12,9 @@ comments).  Training is deterministic, takes seconds on the driver, and the weig
 (about 200 KB) are broadcast; pages are labelled in batches of equal length.
 
 White space inside a block becomes one space, character references are decoded, comments,
-scripts, styles, templates and titles are no text.  Unclosed paragraphs and list items end
+scripts, styles, templates and titles are no text, nor is what svg, iframe, canvas, audio and video
+hold.  Only a script, style or title without an end reaches to the end of the page; others that have
+no end or are closed at once are empty.  Text in math, object and noscript counts.  Unclosed paragraphs and list items end
 where the next begins; unknown tags and stray closing tags do not break a block unless they
 are block-level.
 
@@ -60,7 +62,9 @@ _ENDS = {
 _IN_P = _BLOCK - {"button", "label", "legend", "option", "optgroup", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "body", "html", "head", "title", "select", "textarea"}
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|noscript|iframe|svg|math|title|object|canvas|audio|video)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
+    # Not after "/>", not without an end, and not over another one's beginning: then it is a tag like others.
+    r"|<(template|iframe|svg|canvas|audio|video|annotation|annotation-xml)(?=[\s/>])[^>]*(?<!/)>[^<]*+(?:<(?!/?\2[\s/>])[^<]*+)*+</\2\s*>"
     r"|<[!?][^>]*>"
     r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
     r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
@@ -118,10 +122,10 @@ def blocks(page: str) -> list[Block]:
             if links:
                 linked += len(text)
         at = end
-        name = token[3] or token[6]
+        name = token[4] or token[7]
         if not name:
             continue
-        name, closing, attributes = name.lower(), token[2] or token[5], token[4] or token[7] or ""
+        name, closing, attributes = name.lower(), token[3] or token[6], token[5] or token[8] or ""
         if name == "br" or name == "hr":
             if name == "hr":
                 flush()

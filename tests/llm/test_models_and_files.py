@@ -34,6 +34,19 @@ def test_blocks_follow_the_markup():
     assert [b.text for b in htmltext.blocks(deep)] == ["x"]
 
 
+@pytest.mark.parametrize(
+    ("between", "held"),
+    [
+        ('<svg class="i"/>', []), ('<iframe src="a"/>', []), ("<video src=a>", []), ('<svg-icon name="x"></svg-icon>', []), ("<video-player></video-player>", []),
+        ("<svg><title>t</title><text>no</text></svg>", []), ("<video>a<p>no</p></video>", []), ("<audio>" * 3, []), ("<canvas>no</canvas><canvas>", []),
+        ("<template><p>no</p></template>", []), ("<script-x></script-x>", []), ("<script>'<p>no</p>'</script >", []), ("<style/>no</style>", []),
+        ("<p><math><mi>x</mi><annotation>no</annotation></math></p>", ["x"]), ("<object><p>in</p></object>", ["in"]), ("<noscript><p>in</p></noscript>", ["in"]),
+    ],
+)
+def test_no_element_takes_the_rest_of_a_page(between, held):
+    assert [b.text for b in htmltext.blocks(f"<p>one</p>{between}<p>two</p><p>three</p>")] == ["one", *held, "two", "three"]
+
+
 def test_main_text_of_a_page():
     (text,) = htmltext.main_text([PAGE], htmltext.trained(), htmltext.Describer())
     assert text == "A & B title\nFirst bold line goes on <here>.\nSecond paragraph, unclosed.\nitem one is here"
