@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from heliovane.llm import decontaminate, htmltext, langid, licenses, minhash, orctokens, sentencepieces, simhash, tokencounts, toxicity
+from heliovane.llm import decontaminate, divergence, htmltext, langid, licenses, minhash, orctokens, sentencepieces, simhash, tokencounts, toxicity
 from heliovane.llm.common import crc_remainder, table
 from heliovane.session import scratch_path
 
@@ -72,11 +72,17 @@ def op10_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orctokens.checked_rows(spark, path)
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lang, source, part, item, value, rank."""
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_html_text, op2_decontaminate, op3_license_scan, op4_language_id, op5_token_counts,
         op6_fingerprints, op7_simhash, op8_sentencepiece, op9_toxicity, op10_orc_tokens,
+        op13_source_divergence,
     )
 }
 
@@ -103,4 +109,33 @@ items AS (
 SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc LEFT JOIN hit_words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op13_source_divergence": rf"""
+WITH doc AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all({_FOLDED.format("coalesce(text, '')")}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+tokens AS (SELECT d, lang, source, unnest(w) AS term FROM doc),
+groups AS (SELECT DISTINCT lang, source FROM doc),
+kept AS (SELECT lang, term, count(*) AS total FROM tokens GROUP BY lang, term HAVING count(DISTINCT d) >= {divergence.MIN_DOCS}),
+found AS (SELECT lang, source, term, count(*) AS n FROM tokens JOIN kept USING (lang, term) GROUP BY lang, source, term),
+terms AS (SELECT g.lang, count(term) AS v, coalesce(sum(total), 0) AS whole FROM (SELECT DISTINCT lang FROM groups) g LEFT JOIN kept USING (lang) GROUP BY g.lang),
+sizes AS (SELECT g.lang, g.source, coalesce(sum(n), 0) + any_value(v) AS size FROM groups g JOIN terms USING (lang) LEFT JOIN found USING (lang, source) GROUP BY g.lang, g.source),
+shares AS (
+  SELECT s.lang, s.source, k.term, coalesce(n, 0) AS n, 1 + {divergence.SCALE}::HUGEINT * (coalesce(n, 0) + 1) // s.size AS p,
+         1 + {divergence.SCALE}::HUGEINT * (k.total + 1) // (t.whole + t.v) AS q
+  FROM sizes s JOIN kept k USING (lang) JOIN terms t USING (lang) LEFT JOIN found f ON f.lang = s.lang AND f.source = s.source AND f.term = k.term),
+term_part AS (
+  SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value,
+         row_number() OVER (PARTITION BY lang, source ORDER BY (p - q) * (p - q) // q DESC, term) AS rank
+  FROM shares WHERE n > 0 AND p > q),
+pair_sums AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source),
+pair_part AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value,
+         row_number() OVER (PARTITION BY a.lang, a.source ORDER BY coalesce(value, 0) DESC, b.source) AS rank
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM pair_part
+UNION ALL
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM term_part WHERE rank <= {divergence.TOP_TERMS}""",
 }
