@@ -56,11 +56,12 @@ class Block:
         self.size = 0
 
     def add(self, gid: int, raw: bytes) -> None:
-        terms = raw.translate(TERMS).split()
-        seen, different = self.seen[gid], set(terms)
-        self.size += sum(len(t) + ENTRY_BYTES for t in different.difference(seen))
+        terms, seen = raw.translate(TERMS).split(), self.seen[gid]
+        known = len(seen)
         seen.update(terms)
-        self.docs[gid].update(different)
+        self.docs[gid].update(set(terms))
+        if terms:  # new terms, at the mean length of this text's terms
+            self.size += (len(seen) - known) * (ENTRY_BYTES + len(raw) // len(terms))
 
     def run(self) -> pa.RecordBatch:
         """All postings, sorted by term."""
