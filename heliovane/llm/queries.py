@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from heliovane.llm import decontaminate, divergence, htmltext, langid, licenses, minhash, orctokens, sentencepieces, simhash, tokencounts, toxicity
+from heliovane.llm import alignment, decontaminate, divergence, htmltext, langid, licenses, minhash, orctokens, sentencepieces, simhash, tokencounts, toxicity
 from heliovane.llm.common import crc_remainder, table
 from heliovane.session import scratch_path
 
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
+BYTES = public_tokenizers.path("byte_bpe_50k.json")
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 
@@ -72,6 +73,11 @@ def op10_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orctokens.checked_rows(spark, path)
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
+    return alignment.summarize(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lang, source, part, item, value, rank."""
     return divergence.audit(table(spark, sf_dir, "documents"))
@@ -82,7 +88,7 @@ QUERIES = {
     for f in (
         op1_html_text, op2_decontaminate, op3_license_scan, op4_language_id, op5_token_counts,
         op6_fingerprints, op7_simhash, op8_sentencepiece, op9_toxicity, op10_orc_tokens,
-        op13_source_divergence,
+        op12_token_alignment, op13_source_divergence,
     )
 }
 
