@@ -29,6 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 import hashlib
+from itertools import chain, repeat
 import json
 import pickle
 import re
@@ -58,7 +59,9 @@ _CHUNK = re.compile(rb" +[^ ]*(?:(?<=[\t-\r]) +[^ ]*)*")
 _MARKER = "\u2581".encode()
 #: White space beyond ASCII, or what such signs begin with; it may join a run of spaces.
 _WIDE_SPACE = [s.encode() for s in "\x85\xa0\u1680\u205f\u3000"] + [b"\xe2\x80"]
-#: (tokens of A, tokens of B, groups, packed links, groups in text form)
+#: Texts of about this size together are looked up at a time.
+BUNCH_BYTES = 1 << 20
+#: (tokens of A, tokens of B, groups, packed links: A id * B's vocabulary + B id, groups in text form with a ';' after each)
 Aligned = tuple[int, int, int, bytes, bytes]
 
 
@@ -72,7 +75,7 @@ def byte_signs() -> dict[str, int]:
 class Aligner:
     """Tokens, groups and links of a text under a byte-level BPE (A) and a SentencePiece model (B)."""
 
-    def __init__(self, a_path: str, b_path: str):
+    def __init__(self, a_path: str, b_path: str, with_text: bool = True):
         spec, signs = json.load(open(a_path, encoding="utf-8")), byte_signs()
         split = spec["pre_tokenizer"]
         if spec["model"]["type"] != "BPE" or spec["normalizer"] or split["type"] != "ByteLevel" or split["add_prefix_space"] or not split.get("use_regex", True):
@@ -88,33 +91,64 @@ class Aligner:
         names = map(self.b.id_to_piece, range(self.b.vocab_size()))
         self.b_bytes = [bytes([int(n[3:-1], 16)]) if self.b.is_byte(i) else n.replace("\u2581", " ").encode() for i, n in enumerate(names)]
         self.width = len(self.b_bytes)
-        self.chunks = Memo(self._chunk, limit=1 << 18)
+        self.b_sizes = np.array(list(map(len, self.b_bytes)))
+        self.split, self.with_text, self.fresh = self.a.encode_ordinary, with_text, {}
+        self.written = [f"{i}{sign}".encode() for i in range(max(self.width, len(self.a_sizes))) for sign in ",|;"] if with_text else []
+        self.chunks = Memo(lambda c: self.fresh[c] if c in self.fresh else self._aligned([c])[0], limit=1 << 19)
 
     def tokens(self, chunk: bytes) -> tuple[list[int], list[int]]:
         """Ids of both for bytes that begin with a space."""
         text = chunk.decode()
         return self.a.encode_ordinary(text), self.b.encode(text[1:]) if len(text) > 1 else [self.marker]
 
-    def groups(self, chunk: bytes) -> tuple[list[tuple[list[int], list[int]]], np.ndarray] | None:
-        """Groups and links (A id * width + B id, in order); None where the tokens' bytes are not the chunk's."""
+    def spelled(self, chunk: bytes, a: list[int], b: list[int]) -> bool:
+        """Whether both tokenizers' tokens have the bytes of the chunk."""
+        return b"".join(map(self.a_bytes.__getitem__, a)) == chunk and b"".join(map(self.b_bytes.__getitem__, b)) == chunk
+
+    def _aligned(self, chunks: list[bytes]) -> list[Aligned | None]:
+        """Chunks of a few bytes each, tokenized in one call and aligned in whole arrays."""
+        texts = [c.decode() for c in chunks]
+        a = [self.split(t) for t in texts]
+        b = self.b.encode([t[1:] for t in texts], num_threads=1)
+        b = [ids if len(t) > 1 else [self.marker] for ids, t in zip(b, texts, strict=True)]
+        good = [self.spelled(*x) for x in zip(chunks, a, b, strict=True)]
+        if not all(good):
+            found = iter(self._aligned([c for c, ok in zip(chunks, good, strict=True) if ok]))
+            return [next(found) if ok else None for ok in good]
+        if not chunks:
+            return []
+        n_a, n_b = [len(x) for x in a], [len(x) for x in b]
+        a, b = np.fromiter(chain.from_iterable(a), np.int64, sum(n_a)), np.fromiter(chain.from_iterable(b), np.int64, sum(n_b))
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
+        size, chunk_ends = int(a_ends[-1]) + 1, np.cumsum([len(c) for c in chunks])
+        in_a, in_b = np.zeros(size, bool), np.zeros(size, bool)
+        in_a[a_ends], in_b[b_ends] = True, True
+        ends, both = np.flatnonzero(in_a | in_b), np.flatnonzero(in_a & in_b)
+        links = a[np.searchsorted(a_ends, ends)] * self.width + b[np.searchsorted(b_ends, ends)]
+        link_cuts = (np.concatenate([[0], np.searchsorted(ends, chunk_ends) + 1]) * links.itemsize).tolist()
+        group_cuts = np.concatenate([[0], np.searchsorted(both, chunk_ends) + 1])
+        packed, n_groups = links.tobytes(), np.diff(group_cuts).tolist()
+        links = [packed[i:j] for i, j in zip(link_cuts, link_cuts[1:])]
+        if not self.with_text:
+            return list(zip(n_a, n_b, n_groups, links, repeat(b"")))
+        # Tokens in the order of the text form: by group, A before B, each with the sign that follows it.
+        side = np.concatenate([np.searchsorted(both, a_ends) * 2, np.searchsorted(both, b_ends) * 2 + 1])
+        order = np.argsort(side, kind="stable")
+        side = np.concatenate([side[order], [-1]])
+        sign = np.where(side[1:] == side[:-1], 0, 1 + (side[:-1] & 1))
+        written = list(map(self.written.__getitem__, (np.concatenate([a, b])[order] * 3 + sign).tolist()))
+        cuts = np.concatenate([[0], np.cumsum(n_a) + np.cumsum(n_b)]).tolist()
+        return list(zip(n_a, n_b, n_groups, links, [b"".join(written[i:j]) for i, j in zip(cuts, cuts[1:])]))
+
+    def groups(self, chunk: bytes) -> list[tuple[list[int], list[int]]] | None:
+        """The ids of both in each group of a chunk; None where the tokens' bytes are not the chunk's."""
         a, b = self.tokens(chunk)
-        if b"".join(map(self.a_bytes.__getitem__, a)) != chunk or b"".join(map(self.b_bytes.__getitem__, b)) != chunk:
+        if not self.spelled(chunk, a, b):
             return None
-        a_ends = np.cumsum(self.a_sizes[a])
-        b_ends = np.cumsum([len(self.b_bytes[i]) for i in b])
-        ends = np.union1d(a_ends, b_ends)
-        links = np.array(a, np.int64)[np.searchsorted(a_ends, ends)] * self.width + np.array(b, np.int64)[np.searchsorted(b_ends, ends)]
+        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
         both = np.intersect1d(a_ends, b_ends)
         a_cuts, b_cuts = ([0, *(np.searchsorted(e, both) + 1).tolist()] for e in (a_ends, b_ends))
-        return [(a[i:j], b[k:m]) for i, j, k, m in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])], links
-
-    def _chunk(self, chunk: bytes) -> Aligned | None:
-        found = self.groups(chunk)
-        if found is None:
-            return None
-        groups, links = found
-        text = ";".join(f"{','.join(map(str, a))}|{','.join(map(str, b))}" for a, b in groups)
-        return sum(len(a) for a, _ in groups), sum(len(b) for _, b in groups), len(groups), links.tobytes(), text.encode()
+        return [(a[i:j], b[k:m]) for i, j, k, m in zip(a_cuts, a_cuts[1:], b_cuts, b_cuts[1:])]
 
     def parts(self, raw: bytes) -> list[bytes]:
         """Chunks of a space and the text that both tokenizers handle apart; none for a text without tokens."""
@@ -123,15 +157,35 @@ class Aligner:
         whole = b" " + raw
         return [whole] if any(s in raw for s in _WIDE_SPACE) else _CHUNK.findall(whole)
 
-    def __call__(self, raw: bytes) -> list[Aligned]:
-        """The aligned chunks of a text, in order."""
-        found = list(map(self.chunks.__getitem__, self.parts(raw)))
-        return [] if None in found else found
+    def __call__(self, raws: list[bytes]) -> list[list[Aligned]]:
+        """The aligned chunks of each text, in order; chunks that no text had before are aligned together."""
+        parts = list(map(self.parts, raws))
+        fresh = set(chain.from_iterable(parts)).difference(self.chunks.keys(), self.chunks.older.keys())
+        self.fresh = dict(zip(fresh, self._aligned(list(fresh)), strict=True))
+        found = [list(map(self.chunks.__getitem__, p)) for p in parts]
+        return [[] if None in f else f for f in found]
+
+
+def bunches(raws: Iterable[bytes]) -> Iterator[list[bytes]]:
+    """Some texts at a time, and a long one alone or nearly so."""
+    held, size = [], 0
+    for raw in raws:
+        held.append(raw)
+        size += len(raw)
+        if size > BUNCH_BYTES:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
+@lru_cache(maxsize=1)
+def aligner(a_path: str, b_path: str, with_text: bool = True) -> Aligner:
+    return Aligner(a_path, b_path, with_text)
 
 
-@lru_cache(maxsize=2)
-def aligner(a_path: str, b_path: str) -> Aligner:
-    return Aligner(a_path, b_path)
+def vocabulary_size(b_path: str) -> int:
+    return pieces(b_path).sp.vocab_size()
 
 
 def links_of(chunks: list[Aligned]) -> np.ndarray:
@@ -146,7 +200,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text:
 
         def groups(raw: bytes) -> list[dict]:
             found = [known.groups(part) for part in known.parts(raw)]
-            return [] if None in found else [{"a": a, "b": b} for part, _ in found for a, b in part]
+            return [] if None in found else [{"a": a, "b": b} for part in found for a, b in part]
 
         kind = pa.list_(pa.struct([("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))]))
         return lambda raws: [pa.array([groups(raw) for raw in raws], kind)]
@@ -164,17 +218,18 @@ def pair_runs(docs: DataFrame, a_path: str, b_path: str, text: str = "text") ->
     """(pair, docs): the documents of a part of a task in which a pair is linked."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, keys, counts = aligner(a_path, b_path), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        known, keys, counts = aligner(a_path, b_path, with_text=False), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         held = 0
 
         def emitted() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x) for x in _counted(keys, counts)], names=["pair", "docs"])
 
         for batch in batches:
-            for raw in raw_texts(batch.column("text")):
-                pairs = np.unique(links_of(known(raw)))
+            for raws in bunches(raw_texts(batch.column("text"))):
+                pairs = [np.unique(links_of(chunks)) for chunks in known(raws)]
+                pairs, count = np.unique(np.concatenate(pairs), return_counts=True)
                 keys.append(pairs)
-                counts.append(np.ones(len(pairs), np.int64))
+                counts.append(count)
                 held += len(pairs)
                 if held > HELD_PAIRS:
                     key, count = _counted(keys, counts)
@@ -245,7 +300,7 @@ def dense_counts(runs: DataFrame, index: ShardedHash) -> np.ndarray:
 
 def link_counts(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
     """(a, b, docs): every pair of ids that a document holds linked, and how many do."""
-    width = aligner(a_path, b_path).width
+    width = vocabulary_size(b_path)
     pairs = pair_runs(docs, a_path, b_path, text).groupBy("pair").agg(F.sum("docs").alias("docs"))
     return pairs.select(F.call_function("div", F.col("pair"), F.lit(width)).cast("int").alias("a"), (F.col("pair") % width).cast("int").alias("b"), "docs")
 
@@ -255,7 +310,7 @@ _HEAD = "doc_id: long, n_a: long, n_b: long, n_groups: long, n_links: long, n_be
 
 def summarize(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text", dense_keys: int = DENSE_KEYS) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
-    spark, width = docs.sparkSession, aligner(a_path, b_path).width
+    spark, width = docs.sparkSession, vocabulary_size(b_path)
     with cleared() as staying:
         runs = settle(pair_runs(docs, a_path, b_path, text))
         keys, rest = settle(runs.select("pair").distinct()), None
@@ -279,19 +334,23 @@ def summarize(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", te
         def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, (index, counts, a_best), row = aligner(a_path, b_path), table.value, TaskContext.get().partitionId() << 33
             for batch in batches:
-                heads, others = [], []
-                for doc_id, raw in zip(batch.column("key").to_pylist(), raw_texts(batch.column("text")), strict=True):
-                    chunks = known(raw)
-                    pairs, times = np.unique(links_of(chunks), return_counts=True)
+                ids, heads, others = iter(batch.column("key").to_pylist()), [], []
+                for raws in bunches(raw_texts(batch.column("text"))):
+                    texts = known(raws)
+                    found = [np.unique(links_of(chunks), return_counts=True) for chunks in texts]
+                    cuts = np.cumsum([0, *[len(p) for p, _ in found]])
+                    pairs, times = (np.concatenate([f[i] for f in found]) for i in (0, 1))
                     at = index.find(pairs)
                     count = np.where(at >= 0, counts[at], 0) if len(counts) else np.zeros(len(at), np.int64)
+                    best = (count == a_best[pairs // width]) & (at >= 0) if len(pairs) else at
+                    n_links, n_best, total = (np.diff(np.concatenate([[0], np.cumsum(x)])[cuts]).tolist() for x in (times, times * best, times * count))
                     if (at < 0).any():
-                        others.append((row, pairs[at < 0], times[at < 0]))
-                    sizes = [sum(c[i] for c in chunks) for i in range(3)]
-                    best = int(times[(count == a_best[pairs // width]) & (at >= 0)].sum())
-                    digest = hashlib.sha256(b";".join([c[4] for c in chunks])).hexdigest() if chunks else ""
-                    heads.append((row, (doc_id, *sizes, int(times.sum()), best, int(count @ times), digest)))
-                    row += 1
+                        others.append((row + np.searchsorted(cuts, np.flatnonzero(at < 0), "right") - 1, pairs[at < 0], times[at < 0]))
+                    for i, chunks in enumerate(texts):
+                        n_a, n_b, n_groups, _, written = zip(*chunks) if chunks else ((), (), (), (), ())
+                        digest = hashlib.sha256(b"".join(written)[:-1]).hexdigest() if chunks else ""
+                        heads.append((row, (next(ids), sum(n_a), sum(n_b), sum(n_groups), n_links[i], n_best[i], total[i], digest)))
+                        row += 1
                 yield _rows(heads, others)
 
         rows = key_and_text(docs, key, text).mapInArrow(look_up, f"row long, pair long, times long, head struct<{_HEAD}>")
@@ -312,14 +371,14 @@ def summarize(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", te
     return result
 
 
-def _rows(heads: list[tuple[int, tuple]], others: list[tuple[int, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _rows(heads: list[tuple[int, tuple]], others: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
     """One row with `head` for each document, and one with `pair` and `times` for each pair that still needs its count."""
     names = [f.split(":")[0].strip() for f in _HEAD.split(",")]
     kind = pa.struct([(n, pa.string() if n == "groups_sha256" else pa.int64()) for n in names])
     more = sum(len(p) for _, p, _ in others)
     pairs, times = ([np.concatenate([o[i] for o in others])] if others else [] for i in (1, 2))
     none = pa.nulls(len(heads), pa.int64())
-    row = np.concatenate([np.array([r for r, _ in heads], np.int64), *[np.full(len(p), r, np.int64) for r, p, _ in others]])
+    row = np.concatenate([np.array([r for r, _ in heads], np.int64), *[r for r, _, _ in others]])
     return pa.RecordBatch.from_arrays(
         [pa.array(row), pa.concat_arrays([none, *map(pa.array, pairs)]), pa.concat_arrays([none, *map(pa.array, times)]),
          pa.concat_arrays([pa.array([dict(zip(names, h, strict=True)) for _, h in heads], kind), pa.nulls(more, kind)])],

@@ -102,6 +102,13 @@ def test_chunks_give_the_libraries_tokens():
         assert [i for _, y in parts for i in y] == b.encode(text), repr(text)
 
 
+def test_chunks_that_left_the_table_are_aligned_again():
+    known, words = alignment.Aligner(A, B), [f" w{i}x" for i in range(40)]
+    known.chunks.half = 5
+    whole = "".join(words[i % 40] for i in range(0, 400, 7))[1:].encode()
+    assert known([whole, whole]) == [alignment.Aligner(A, B)([whole])[0]] * 2
+
+
 def test_groups_of_one_text(spark):
     (row,) = alignment.align(texts(spark, [(1, "Unbelievable naïveté, 日本")]), A, B).collect()
     _, spelled, _, pieces = libraries()
@@ -132,7 +139,7 @@ def test_dense_counts_equal_grouped_ones(spark):
     wanted = {(r["a"], r["b"]): r["docs"] for r in alignment.link_counts(docs, A, B).collect()}
     keys = runs.select("pair").distinct()
     index = alignment.hashed(keys, keys.count())
-    counts, width = alignment.dense_counts(runs, index), alignment.aligner(A, B).width
+    counts, width = alignment.dense_counts(runs, index), alignment.vocabulary_size(B)
     assert {(int(k) // width, int(k) % width): int(c) for k, c in zip(index.keys, counts)} == wanted
 
 
