@@ -92,7 +92,7 @@ class Aligner:
         self.b_bytes = [bytes([int(n[3:-1], 16)]) if self.b.is_byte(i) else n.replace("\u2581", " ").encode() for i, n in enumerate(names)]
         self.width = len(self.b_bytes)
         self.b_sizes = np.array(list(map(len, self.b_bytes)))
-        self.split, self.with_text, self.fresh = self.a.encode_ordinary, with_text, {}
+        self.with_text, self.fresh = with_text, {}
         self.written = [f"{i}{sign}".encode() for i in range(max(self.width, len(self.a_sizes))) for sign in ",|;"] if with_text else []
         self.chunks = Memo(lambda c: self.fresh[c] if c in self.fresh else self._aligned([c])[0], limit=1 << 19)
 
@@ -107,20 +107,24 @@ class Aligner:
 
     def _aligned(self, chunks: list[bytes]) -> list[Aligned | None]:
         """Chunks of a few bytes each, tokenized in one call and aligned in whole arrays."""
-        texts = [c.decode() for c in chunks]
-        a = [self.split(t) for t in texts]
-        b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        b = [ids if len(t) > 1 else [self.marker] for ids, t in zip(b, texts, strict=True)]
-        good = [self.spelled(*x) for x in zip(chunks, a, b, strict=True)]
-        if not all(good):
-            found = iter(self._aligned([c for c, ok in zip(chunks, good, strict=True) if ok]))
-            return [next(found) if ok else None for ok in good]
+        joins = [c[-1] > 32 and not any(s in c for s in _WIDE_SPACE) for c in chunks]
+        if len(chunks) > 1 and not all(joins):
+            together = iter(self._aligned([c for c, ok in zip(chunks, joins, strict=True) if ok]))
+            return [next(together) if ok else self._aligned([c])[0] for c, ok in zip(chunks, joins, strict=True)]
         if not chunks:
             return []
-        n_a, n_b = [len(x) for x in a], [len(x) for x in b]
-        a, b = np.fromiter(chain.from_iterable(a), np.int64, sum(n_a)), np.fromiter(chain.from_iterable(b), np.int64, sum(n_b))
-        a_ends, b_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b])
-        size, chunk_ends = int(a_ends[-1]) + 1, np.cumsum([len(c) for c in chunks])
+        whole = b"".join(chunks)
+        a = np.array(self.a.encode_ordinary(whole.decode()), np.int64)  # a chunk's space starts a pre-token here as in its text
+        b = self.b.encode([c[1:].decode() for c in chunks], num_threads=1) if chunks != [b" "] else [[self.marker]]
+        n_b = [len(x) for x in b]
+        b = np.fromiter(chain.from_iterable(b), np.int64, sum(n_b))
+        a_ends, b_ends, chunk_ends = np.cumsum(self.a_sizes[a]), np.cumsum(self.b_sizes[b]), np.cumsum([len(c) for c in chunks])
+        cuts = np.searchsorted(a_ends, chunk_ends)
+        n_a = np.diff(cuts, prepend=-1).tolist()
+        fits = np.array_equal(a_ends[np.minimum(cuts, len(a) - 1)], chunk_ends) and np.array_equal(b_ends[np.cumsum(n_b) - 1], chunk_ends)
+        if not fits or not self.spelled(whole, a.tolist(), b.tolist()):
+            return [self._aligned([c])[0] for c in chunks] if len(chunks) > 1 else [None]
+        size = len(whole) + 1
         in_a, in_b = np.zeros(size, bool), np.zeros(size, bool)
         in_a[a_ends], in_b[b_ends] = True, True
         ends, both = np.flatnonzero(in_a | in_b), np.flatnonzero(in_a & in_b)
