@@ -107,13 +107,15 @@ class Aligner:
 
     def _aligned(self, chunks: list[bytes]) -> list[Aligned | None]:
         """Chunks of a few bytes each, tokenized in one call and aligned in whole arrays."""
-        joins = [c[-1] > 32 and not any(s in c for s in _WIDE_SPACE) for c in chunks]
+        whole = b"".join(chunks)
+        joins = [c[-1] > 32 for c in chunks]
+        if any(s in whole for s in _WIDE_SPACE):
+            joins = [ok and not any(s in c for s in _WIDE_SPACE) for c, ok in zip(chunks, joins, strict=True)]
         if len(chunks) > 1 and not all(joins):
             together = iter(self._aligned([c for c, ok in zip(chunks, joins, strict=True) if ok]))
             return [next(together) if ok else self._aligned([c])[0] for c, ok in zip(chunks, joins, strict=True)]
         if not chunks:
             return []
-        whole = b"".join(chunks)
         a = np.array(self.a.encode_ordinary(whole.decode()), np.int64)  # a chunk's space starts a pre-token here as in its text
         b = self.b.encode([c[1:].decode() for c in chunks], num_threads=1) if chunks != [b" "] else [[self.marker]]
         n_b = [len(x) for x in b]
