@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 import public_tokenizers
 
-from heliovane.llm import alignment, decontaminate, divergence, htmltext, langid, licenses, minhash, orctokens, sentencepieces, simhash, tokencounts, toxicity
+from heliovane.llm import alignment, contextmix, decontaminate, divergence, htmltext, langid, licenses, minhash, orctokens, sentencepieces, simhash, tokencounts, toxicity
 from heliovane.llm.common import crc_remainder, table
 from heliovane.session import scratch_path
 
@@ -73,6 +73,13 @@ def op10_orc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orctokens.checked_rows(spark, path)
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, n_bytes, bits_per_byte."""
+    rest = crc_remainder(F.col("doc_id"), 5)
+    scored = contextmix.score(table(spark, sf_dir, "documents"), rest != 1)
+    return scored.select("doc_id", (rest == 1).alias("held_out"), *scored.columns[1:])
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     return alignment.summarize(table(spark, sf_dir, "documents"), BYTES, PIECES)
@@ -88,7 +95,7 @@ QUERIES = {
     for f in (
         op1_html_text, op2_decontaminate, op3_license_scan, op4_language_id, op5_token_counts,
         op6_fingerprints, op7_simhash, op8_sentencepiece, op9_toxicity, op10_orc_tokens,
-        op12_token_alignment, op13_source_divergence,
+        op11_lm_scores, op12_token_alignment, op13_source_divergence,
     )
 }
 
