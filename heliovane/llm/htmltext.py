@@ -24,6 +24,7 @@ tag is a block of its own; repeated pages each get a row; other columns are not
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -61,19 +62,25 @@ _ENDS = {
 }
 _IN_P = _BLOCK - {"button", "label", "legend", "option", "optgroup", "caption", "td", "th", "tr", "tbody", "thead", "tfoot", "body", "html", "head", "title", "select", "textarea"}
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
+    r"<!--(?:-?>|.*?(?:-->|\Z))"
     r"|<(script|style|title)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\Z)"
     # Not after "/>", not without an end, and not over another one's beginning: then it is a tag like others.
     r"|<(template|iframe|svg|canvas|audio|video|annotation|annotation-xml)(?=[\s/>])[^>]*(?<!/)>[^<]*+(?:<(?!/?\2[\s/>])[^<]*+)*+</\2\s*>"
     r"|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*)>",
     re.S | re.I,
 )
+#: How what may reach to the end of the page ends where it is closed.
+_CLOSED = re.compile(r"(?:-->|<!--?->|</(?:script|style|title)\s*>)\Z", re.I)
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
 
+#: Levels of a path that a block keeps: what lies further out weighs less than a float can tell beside the others.
+DEEPEST = 100
+
+
 @dataclass
 class Block:
     path: list[tuple[str, ...]]
@@ -93,6 +100,7 @@ def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page in order, empty ones left out."""
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
+    opened: Counter[str] = Counter()  # how often each tag is in the stack
     parts: list[str] = []
     links = linked = 0
 
@@ -101,20 +109,28 @@ def blocks(page: str) -> list[Block]:
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                out.append(Block([(tag, *names) for tag, names in stack], text, min(linked, len(text))))
+                out.append(Block([(tag, *names) for tag, names in stack[-DEEPEST:]], text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
+    def cut(at: int) -> None:
+        opened.subtract(tag for tag, _ in stack[at:])
+        del stack[at:]
+
     def close(tags: set[str], limits: set[str]) -> None:
+        if not any(opened[tag] for tag in tags):
+            return
         for i in range(len(stack) - 1, -1, -1):
             if stack[i][0] in tags:
-                del stack[i:]
+                cut(i)
                 return
             if stack[i][0] in limits:
                 return
 
-    at = 0
-    for token in _TOKEN.finditer(page):
+    at, last = 0, page.rfind(">") + 1  # no tag ends after that; only an unclosed comment, script, style or title goes on
+    if "<!--" in page[last:]:
+        last = len(page)
+    for token in _TOKEN.finditer(page, 0, last):
         start, end = token.span()
         if start > at:
             text = page[at:start]
@@ -124,6 +140,8 @@ def blocks(page: str) -> list[Block]:
         at = end
         name = token[4] or token[7]
         if not name:
+            if end == last and (token[1] or page.startswith("<!--", start)) and not _CLOSED.search(page, start, end):
+                at = len(page)  # never closed: the rest of the page is no text
             continue
         name, closing, attributes = name.lower(), token[3] or token[6], token[5] or token[8] or ""
         if name == "br" or name == "hr":
@@ -136,15 +154,15 @@ def blocks(page: str) -> list[Block]:
         elif name in _BLOCK:
             flush()
             if closing:
-                if any(tag == name for tag, _ in stack):
-                    while stack.pop()[0] != name:
-                        pass
+                if opened[name]:
+                    cut(next(i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name))
                 continue
             if name in _IN_P:
                 close({"p"}, {"td", "th", "button", "table"})
             if name in _ENDS:
                 close(*_ENDS[name])
             stack.append((name, _names(attributes)))
+            opened[name] += 1
         elif name not in _VOID and not closing and attributes.endswith("/"):
             continue
     if at < len(page):

@@ -256,8 +256,10 @@ class Scanner:
         if not hits:
             return len(words), 0, None, None, "", "", 0.0, []
 
+        starts = np.cumsum([1, *[len(w) + 1 for w in words]])  # where each word begins in the line
+
         def word(at: int) -> int:
-            return line.count(" ", 0, at) - 1
+            return int(np.searchsorted(starts, at, "right")) - 1
 
         base = sorted((m.start(), BASE[p]) for p in BASE if f" {p}" in hits for m in self.base[p].finditer(line))
         found = []
@@ -269,7 +271,7 @@ class Scanner:
         for priority, _, _, i in kept:
             labels[self.rules[i].label] = max(priority, labels.get(self.rules[i].label, 0))
         score = 1 - float(np.prod([1 - s / 100 for _, s in sorted(labels.items())])) if labels else 0.0
-        spans = [{"label": self.rules[i].label, "first_word": word(a), "n_words": line.count(" ", a, b) + 1, "priority": p} for p, a, b, i in kept]
+        spans = [{"label": self.rules[i].label, "first_word": word(a), "n_words": word(b - 1) - word(a) + 1, "priority": p} for p, a, b, i in kept]
         ends = (word(base[0][0]), word(base[-1][0])) if base else (None, None)
         return len(words), len(base), *ends, ",".join(sorted({b for _, b in base})), ",".join(sorted(labels)), score, spans
 
