@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from multiprocessing.pool import ThreadPool
 
-from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliovane.operators.features import fit_scaling
-from heliovane.operators.kmeans import ClusterModel, fit_kmeans
 from heliovane.operators.silhouette import silhouette
+from heliovane.operators.sweep import fit_settings
 from heliovane.schema import (
     DAVIES_BOULDIN_THRESHOLD,
     DEFAULT_SEED,
@@ -249,27 +247,16 @@ def _point_table(df: DataFrame, id_col: str, features: Sequence[str]) -> DataFra
 
 
 def fit_label_columns(
-    plain: DataFrame,
-    features: Sequence[str],
-    settings: Sequence[tuple[int, int]],
-    n_init: int = 1,
-    parallelism: int = 4,
+    plain: DataFrame, features: Sequence[str], settings: Sequence[tuple[int, int]], n_init: int = 1
 ) -> tuple[DataFrame, list[str], list]:
     """Scaled features with one label column per (k, seed), and the fitted models.
 
-    ``plain`` is a written table; its scaled form is written once more and every fit
-    starts from that.  Fits do not depend on each other, so a few are submitted at a
-    time and share the cluster.
+    ``plain`` is a written table; its scaled form is written once more, and all fits
+    advance together over one scan of that in each round.
     """
-    spark = plain.sparkSession
     scaling = fit_scaling(plain, features)
     scaled = settle(scaling.standardize(plain))
-
-    def fit(setting: tuple[int, int]) -> ClusterModel:
-        return fit_kmeans(scaled, scaling, *setting, n_init=n_init)
-
-    with ThreadPool(max(1, min(parallelism, len(settings)))) as pool:
-        models = pool.map(inheritable_thread_target(spark)(fit), settings)
+    models = fit_settings(scaled, scaling, settings, n_init)
     names = [f"k{k}_seed{seed}" for k, seed in settings]
     labelled = scaled.withColumns({name: model.label_column() for name, model in zip(names, models)})
     return settle(labelled), names, models

@@ -1,16 +1,20 @@
-"""Exact Euclidean silhouette over block pairs."""
+"""Exact Euclidean silhouette over block pairs, and an estimate from a sample of points."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliovane.session import settle
 
 BLOCK_ROWS = 2048
+#: Points that an estimate may measure everything against.
+SAMPLED = 1 << 14
 
 
 def _distance_sums(spread: DataFrame, labellings: Sequence[str], width: int) -> DataFrame:
@@ -22,8 +26,6 @@ def _distance_sums(spread: DataFrame, labellings: Sequence[str], width: int) ->
     names = list(labellings)
 
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import numpy as np
-
         def by_label(points, far, far_labels):
             # (labels, distance sums, counts) per labelling, of one pair of blocks.
             members = [np.unique(far_labels[:, i], return_inverse=True) for i in range(len(names))]
@@ -186,3 +188,75 @@ def silhouette(
         .groupBy("labelling")
         .agg(F.avg("silhouette").alias("silhouette"))
     )
+
+
+def silhouette_estimate(df: DataFrame, features: Sequence[str], label: str, id_col: str = "point_id", per_label: int = 256, at_most: int = SAMPLED) -> DataFrame:
+    """An estimate of the mean silhouette with its standard error, for tables where every pair is too much work.
+
+    One row: silhouette, standard_error, n_sampled, n_points, n_labels.  Of each label the ``per_label``
+    points with the smallest md5 of their id are taken, so a sample depends on no order.  Their
+    silhouettes are exact: every point meets the sample once, in the task that reads it, and a
+    task hands on sums by sampled point and label.  So the work and the bytes grow with the points, not with
+    their square.  The mean weighs labels by their size, and its error follows from the spread within
+    the labels; a label taken whole adds none.  Points without a label are left out, a point alone in its
+    label counts 0, and a table with one label or none has NULL for both numbers.  The sample, which is
+    broadcast, may hold ``at_most`` points over all labels; more are refused.
+    """
+    if per_label < 2:
+        raise ValueError("an error needs two points of each label")
+    axes = list(features)
+    table = settle(
+        df.where(F.col(label).isNotNull()).select(
+            F.col(id_col).cast("bigint").alias("id"), F.col(label).cast("bigint").alias("label"), F.array(*[F.col(f).cast("double") for f in axes]).alias("point")
+        )
+    )
+    sizes = {r["label"]: r["n"] for r in table.groupBy("label").agg(F.count("*").alias("n")).orderBy("label").limit(at_most + 1).collect()}
+    if sum(min(n, per_label) for n in sizes.values()) > at_most:
+        raise ValueError(f"{len(sizes)} labels with {per_label} points each are more than {at_most} sampled points")
+    place = F.row_number().over(Window.partitionBy("label").orderBy(F.md5(F.col("id").cast("string")), "id"))
+    sample = table.withColumn("place", place).where(F.col("place") <= per_label).orderBy("label", "place").collect()
+    names = {value: i for i, value in enumerate(sorted(sizes))}
+    kept = table.sparkSession.sparkContext.broadcast(np.array([r["point"] for r in sample], float).reshape(len(sample), len(axes)))
+
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chosen = kept.value
+        total = np.zeros((len(names), len(chosen)))
+        for batch in batches:
+            points = batch.column("point").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(axes))
+            labels = np.array([names[v] for v in batch.column("label").to_pylist()], np.int64)
+            rows = max(1, (1 << 21) // max(1, len(chosen)))
+            for i in range(0, len(points), rows):
+                squares = np.zeros((len(points[i : i + rows]), len(chosen)))
+                for axis in range(len(axes)):
+                    squares += (points[i : i + rows, axis, None] - chosen[:, axis]) ** 2
+                squares, here = np.sqrt(squares), labels[i : i + rows]
+                for one in np.unique(here):
+                    total[one] += squares[here == one].sum(0)
+        found = np.argwhere(total > 0)
+        columns = [pa.array(found[:, 1].astype(np.int32)), pa.array(found[:, 0].astype(np.int32)), pa.array(total[found[:, 0], found[:, 1]])]
+        yield pa.RecordBatch.from_arrays(columns, names=["chosen", "label_no", "distance"])
+
+    distance = np.zeros((len(sample), len(names)))
+    found = table.select("label", "point").mapInArrow(sums, "chosen int, label_no int, distance double")
+    for row in found.groupBy("chosen", "label_no").agg(F.sum("distance").alias("distance")).toArrow().to_pylist():
+        distance[row["chosen"], row["label_no"]] = row["distance"]
+    count, own = np.array([sizes[v] for v in sorted(sizes)], float), np.array([names[r["label"]] for r in sample], np.int64)
+    mean = error = None
+    if len(names) > 1:
+        rows = np.arange(len(sample))
+        a = distance[rows, own] / np.maximum(count[own] - 1, 1)
+        others = distance / count
+        others[rows, own] = np.inf
+        b = others.min(1)
+        widest = np.maximum(a, b)
+        values = np.where((count[own] > 1) & (widest > 0), (b - a) / np.where(widest > 0, widest, 1), 0.0)
+        share, mean, error = count / count.sum(), 0.0, 0.0
+        for i, n in enumerate(count):
+            mine = values[own == i]
+            mean += share[i] * mine.mean()
+            if 1 < len(mine) < n:
+                error += share[i] ** 2 * mine.var(ddof=1) / len(mine) * (1 - len(mine) / n)
+        mean, error = float(mean), float(error**0.5)
+    return df.sparkSession.createDataFrame(
+        [(mean, error, len(sample), int(count.sum()), len(names))], "silhouette DOUBLE, standard_error DOUBLE, n_sampled BIGINT, n_points BIGINT, n_labels INT"
+    )

@@ -118,6 +118,21 @@ def _gap(a: str, b: str, names=MEANS) -> str:
     return "sqrt(" + " + ".join(f"({a}.{v} - {b}.{v}) * ({a}.{v} - {b}.{v})" for v in names) + ")"
 
 
+def _squares(a: str, b: str) -> str:
+    return " + ".join(f"({a}.{v} - {b}.{v}) * ({a}.{v} - {b}.{v})" for v in MEANS)
+
+
+def _rounds(k: int, rounds: int) -> list[str]:
+    """Assignments and means in turn, from the k points with the smallest ids as centers c{k}_0."""
+    parts = [f"c{k}_0 AS (SELECT row_number() OVER (ORDER BY point_id) AS j, {', '.join(MEANS)} FROM scaled ORDER BY point_id LIMIT {k})"]
+    for r in range(rounds + 1):
+        place = f"row_number() OVER (PARTITION BY s.point_id ORDER BY {_squares('s', 'c')}, c.j)"
+        parts.append(f"a{k}_{r} AS (SELECT * FROM (SELECT s.*, c.j, {_squares('s', 'c')} AS d, {place} AS place FROM scaled s CROSS JOIN c{k}_{r} c) WHERE place = 1)")
+        moved = _each(MEANS, "coalesce(avg(a.{v}), any_value(c.{v})) AS {v}")
+        parts.append(f"c{k}_{r + 1} AS (SELECT c.j, {moved} FROM c{k}_{r} c LEFT JOIN a{k}_{r} a ON a.j = c.j GROUP BY c.j)")
+    return parts
+
+
 NEAREST = (
     *SCALED,
     "centers AS (SELECT point_id % 4 AS cluster_id, " + _each(MEANS, "avg({v}) AS {v}") + " FROM scaled GROUP BY 1)",
@@ -299,6 +314,14 @@ ORACLES: dict[str, str] = {
         "lengths AS (SELECT point_id, breaks, count(*) FILTER (WHERE bright) AS n FROM marked GROUP BY 1, 2)",
         then="SELECT point_id, CAST(max(n) AS BIGINT) AS longest FROM lengths GROUP BY 1",
     ),
+    "sweep_fixed_starts": _with(
+        *SCALED, *[part for k in (2, 3, 5) for part in _rounds(k, 3)],
+        then=" UNION ALL ".join(
+            f"SELECT CAST({k} AS INTEGER) AS k, CAST(row_number() OVER (ORDER BY {', '.join(MEANS)}) - 1 AS INTEGER) AS cluster_id, {ROUNDED_MEANS},"
+            f" round((SELECT sum(d) FROM a{k}_3) + 3.3e-9, 6) AS inertia FROM c{k}_3"
+            for k in (2, 3, 5)
+        ),
+    ),
     "kmeans_labels": _with(POINTS, MORE_POINTS, then="SELECT point_id, point_id % 3 AS cluster_id FROM more_points"),
     "kmeans_stability": "SELECT CAST(1 AS DOUBLE) AS ari_mean, CAST(0 AS DOUBLE) AS ari_std",
     "quality_by_k": _with(
@@ -337,6 +360,7 @@ SELECT * FROM dated WHERE date IS NOT NULL""",
         then=f"SELECT point_id, {ROUNDED_PLACE}, country, date, {ROUNDED_MAIN} FROM obs JOIN points USING (point_id)",
     ),
     "parquet_roundtrip": _with(OBS, then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM obs"),
+    "appended_table": _with(OBS, then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM obs"),
     "dataset_metadata": "SELECT 'point_id,date,sw_dwn,dni,ws_50m,ws_100m' AS columns, count(*) AS num_rows,"
     " count(*) > 0 AS has_size FROM lineitem",
     "labelled_csv": _with(*LABELLED, then=f"SELECT {ROUNDED_INDICATORS}, cluster_id FROM labelled"),
@@ -527,6 +551,18 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
         *LABELS, *SILHOUETTE,
         then="SELECT 'l' || CAST(k AS VARCHAR) AS labelling, round(silhouette + 3.3e-9, 6) AS silhouette FROM silhouettes",
     ),
+    "silhouette_estimate": _with(
+        *LABELS, *SILHOUETTE,
+        "points AS (SELECT i, CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END AS v FROM sides WHERE k = 5)",
+        "ranked AS (SELECT label, point_id, count(*) OVER (PARTITION BY label) AS n, row_number() OVER (PARTITION BY label"
+        " ORDER BY md5(CAST(point_id AS VARCHAR)), point_id) AS place FROM labels WHERE k = 5)",
+        "strata AS (SELECT label, any_value(n) AS n, count(*) AS m, avg(v) AS mean, var_samp(v) AS var FROM ranked JOIN points ON i = point_id"
+        " WHERE place <= 8 GROUP BY label)",
+        "whole AS (SELECT sum(n) AS total FROM strata)",
+        then="SELECT round(sum(n * mean) / any_value(total) + 3.3e-9, 6) AS silhouette, round(sqrt(sum(CASE WHEN m > 1 AND m < n THEN"
+        " (n / total) * (n / total) * var / m * (1 - m / n) ELSE 0 END)) + 3.3e-9, 6) AS standard_error, CAST(sum(m) AS BIGINT) AS n_sampled,"
+        " CAST(sum(n) AS BIGINT) AS n_points, CAST(count(*) AS INTEGER) AS n_labels FROM strata CROSS JOIN whole",
+    ),
     "silhouette_embeddings": """
 WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e, label FROM embeddings),
 sums AS (SELECT a.vec_id, a.label AS own, b.label AS label, sum(list_distance(a.e, b.e)) AS s, count(*) AS n
@@ -630,3 +666,4 @@ SELECT 'label' AS labelling, round(avg(CASE WHEN b IS NULL THEN NULL WHEN a IS N
         then="SELECT *, all_success AND same_input AS is_stable FROM steady",
     ),
 }
+ORACLES["bright_run_folded"] = ORACLES["longest_bright_run"]

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from math import isqrt
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from heliovane.functions.series import combine_per_point, fold_per_point
-from heliovane.operators import checks, cleaning, clusters, features, interpret, kmeans, quality, runs, silhouette
+from heliovane.functions.series import combine_per_point, fold_per_point, merge_per_point
+from heliovane.operators import checks, cleaning, clusters, features, interpret, kmeans, quality, runs, silhouette, sweep
 from heliovane.operators import indicators as ind
 from heliovane.operators import points as pts
 from heliovane.operators import scoring
@@ -21,6 +22,7 @@ from heliovane.sources import grid, payloads, tables
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 LABELLINGS = ("l2", "l3", "l4", "l5", "l6")
+SWEPT = (2, 3, 5)
 
 
 def query(fn: Query) -> Query:
@@ -209,6 +211,16 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(kept.load("observations"))
 
 
+@query
+def appended_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A table saved in part and then appended to twice."""
+    kept, rows = store(spark), derived.observations(spark, sf)
+    kept.save(rows.where("point_id % 3 = 0"), "observations")
+    kept.append(rows.where("point_id % 3 = 1"), "observations")
+    kept.append(rows.where("point_id % 3 = 2"), "observations")
+    return rounded(kept.load("observations"))
+
+
 @query
 def clean_stored_table(spark: SparkSession, sf: str) -> DataFrame:
     """A stored table is read, cleaned and saved under its own key."""
@@ -418,16 +430,40 @@ def per_point_udf(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def longest_bright_run(spark: SparkSession, sf: str) -> DataFrame:
     """A user's order-dependent function: the longest run of observations above a value."""
+    cleaned = cleaning.clean(derived.observations(spark, sf)).select("point_id", "date", "sw_dwn")
+    return merge_per_point(cleaned, BrightRuns, BrightRuns.step, BrightRuns.merge, lambda s: {"longest": s.longest}, "longest bigint", ["date", "sw_dwn"])
 
-    def step(state, rows):
-        longest, now = state
-        for bright in (rows["sw_dwn"] > 200).tolist():
-            now = now + 1 if bright else 0
-            longest = max(longest, now)
-        return longest, now
 
+@query
+def bright_run_folded(spark: SparkSession, sf: str) -> DataFrame:
+    """The same as one fold over each point's whole series."""
     cleaned = cleaning.clean(derived.observations(spark, sf)).select("point_id", "date", "sw_dwn")
-    return fold_per_point(cleaned, lambda: (0, 0), step, lambda s: {"longest": s[0]}, "longest bigint", ["date", "sw_dwn"])
+    return fold_per_point(cleaned, BrightRuns, BrightRuns.step, lambda s: {"longest": s.longest}, "longest bigint", ["date", "sw_dwn"])
+
+
+class BrightRuns(NamedTuple):
+    """Of a stretch of a series: its length, its longest run, the runs at its beginning and its end."""
+
+    size: int = 0
+    longest: int = 0
+    head: int = 0
+    tail: int = 0
+
+    def step(self, rows) -> "BrightRuns":
+        size, longest, head, tail = self
+        for bright in (rows["sw_dwn"] > 200).tolist():
+            tail = tail + 1 if bright else 0
+            head += bright and head == size
+            size, longest = size + 1, max(longest, tail)
+        return BrightRuns(size, longest, head, tail)
+
+    def merge(self, later: "BrightRuns") -> "BrightRuns":
+        return BrightRuns(
+            self.size + later.size,
+            max(self.longest, later.longest, self.tail + later.head),
+            self.head + later.head if self.head == self.size else self.head,
+            later.tail + self.tail if later.tail == later.size else later.tail,
+        )
 
 
 # Clusters --------------------------------------------------------------------
@@ -505,6 +541,17 @@ def sweep_groups(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(report.select("recommended_k", "silhouette", "davies_bouldin", "stability_runs", *flags))
 
 
+@query
+def sweep_fixed_starts(spark: SparkSession, sf: str) -> DataFrame:
+    """Three rounds over the indicator features for several k at once, from the first points as centers."""
+    scaled, scaling = scaled_features(spark, sf)
+    table, names = settle(scaled), list(scaling.features)
+    first = [tuple(r) for r in table.orderBy("point_id").select(*names).limit(max(SWEPT)).collect()]
+    fits, _ = sweep.fit_together(table, scaling, [first[:k] for k in SWEPT], max_iter=3, tol=0.0)
+    rows = [(k, i, *center, fit.inertia) for k, fit in zip(SWEPT, fits) for i, center in enumerate(fit.centers)]
+    return rounded(spark.createDataFrame(rows, "k INT, cluster_id INT, " + "".join(f"{f} DOUBLE, " for f in names) + "inertia DOUBLE"))
+
+
 class HalvesBySun:
     """A clustering without chance: split at the mean of one feature."""
 
@@ -551,6 +598,12 @@ def silhouette_(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(silhouette.silhouette(many_labels(spark, sf), MEAN_COLUMNS, LABELLINGS))
 
 
+@query
+def silhouette_estimate(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean silhouette and its standard error from eight points of each label."""
+    return rounded(silhouette.silhouette_estimate(many_labels(spark, sf), MEAN_COLUMNS, "l5", per_label=8))
+
+
 @query
 def silhouette_embeddings(spark: SparkSession, sf: str) -> DataFrame:
     vectors = derived.read(spark, sf, "embeddings")
