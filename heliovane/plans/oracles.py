@@ -553,10 +553,10 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
     ),
     "silhouette_estimate": _with(
         *LABELS, *SILHOUETTE,
-        "points AS (SELECT i, CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END AS v FROM sides WHERE k = 5)",
+        "valued AS (SELECT i, CASE WHEN a IS NULL OR greatest(a, b) = 0 THEN 0 ELSE (b - a) / greatest(a, b) END AS v FROM sides WHERE k = 5)",
         "ranked AS (SELECT label, point_id, count(*) OVER (PARTITION BY label) AS n, row_number() OVER (PARTITION BY label"
         " ORDER BY md5(CAST(point_id AS VARCHAR)), point_id) AS place FROM labels WHERE k = 5)",
-        "strata AS (SELECT label, any_value(n) AS n, count(*) AS m, avg(v) AS mean, var_samp(v) AS var FROM ranked JOIN points ON i = point_id"
+        "strata AS (SELECT label, any_value(n) AS n, count(*) AS m, avg(v) AS mean, var_samp(v) AS var FROM ranked JOIN valued ON i = point_id"
         " WHERE place <= 8 GROUP BY label)",
         "whole AS (SELECT sum(n) AS total FROM strata)",
         then="SELECT round(sum(n * mean) / any_value(total) + 3.3e-9, 6) AS silhouette, round(sqrt(sum(CASE WHEN m > 1 AND m < n THEN"
