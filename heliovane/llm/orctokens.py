@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 import re
+import struct
 import zlib
 
 import numpy as np
@@ -38,6 +39,8 @@ ID = np.dtype("<i4")
 _LATIN = "a-zß-öø-ÿ"
 #: What the tokenizer's own rule makes of such a word, once it is in lower case.
 _PLAIN = re.compile(f"[!-~{_LATIN}À-ÖØ-Þ]+")
+#: Packing of that many ids.
+_PACKED = [struct.Struct(f"<{n}i").pack for n in range(32)]
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LATIN}]+|[0-9]|[^0-9{_LATIN}]+")
 
 
@@ -54,10 +57,13 @@ class WordEncoder:
         self.words = Memo(self._word)
 
     def _pretoken(self, text: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(text.translate(self.spelling))], ID).tobytes()
+        ids = [t.id for t in self.model.tokenize(text if text.isascii() else text.translate(self.spelling))]
+        return _PACKED[len(ids)](*ids) if len(ids) < len(_PACKED) else np.array(ids, ID).tobytes()
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
+        if word.isalpha():  # letters a-z only: one pre-token
+            return self.pretokens[text.lower()]
         if "<|" in text or not _PLAIN.fullmatch(text):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, ID).tobytes()
         return b"".join(map(self.pretokens.__getitem__, _SPLIT.findall(text.lower())))
