@@ -102,7 +102,7 @@ def write_ids(docs: DataFrame, path: str, vocabulary: str, key: str = "doc_id",
         .write.option("orc.bloom.filter.columns", "doc_id")
         .option("orc.row.index.stride", INDEX_STRIDE)
         .option("orc.stripe.size", STRIPE_BYTES)
-        .option("orc.compress", "ZSTD")
+        .option("orc.compress", "LZ4")
         .orc(path)
     )
 
