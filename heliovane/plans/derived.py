@@ -58,7 +58,11 @@ def questionable_points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One observation per line item; line number 7 carries the fill value."""
-    return read(spark, sf_dir, "lineitem").select(
+    return observed(read(spark, sf_dir, "lineitem"))
+
+
+def observed(items: DataFrame) -> DataFrame:
+    return items.select(
         F.col("l_suppkey").alias("point_id"),
         F.col("l_shipdate").cast("date").alias("date"),
         (F.col("l_extendedprice") / 250.0).alias("sw_dwn"),
@@ -115,6 +119,20 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grouped.select("point_id", "year", F.to_json(document).alias("payload"))
 
 
+def damaged_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The payloads, five of eight damaged in one way each, by point and year."""
+    kind, text = (F.col("point_id") + F.col("year")) % 8, F.col("payload")
+    damaged = (
+        F.when(kind == 1, F.expr("substring(payload, 1, length(payload) div 2)"))
+        .when(kind == 2, "")
+        .when(kind == 3, '{"properties": null}')
+        .when(kind == 4, F.replace(text, F.lit("ALLSKY_SFC_SW_DWN"), F.lit("OTHER")))
+        .when(kind == 5, F.regexp_replace(text, '"(\\d{4})02(\\d{2})"', '"$1xx$2"'))
+        .otherwise(text)
+    )
+    return payloads(spark, sf_dir).select("point_id", "year", damaged.alias("payload"))
+
+
 def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One run per order; the priority is the experiment."""
     k, c = F.col("o_orderkey"), F.col("o_custkey")

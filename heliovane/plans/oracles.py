@@ -241,6 +241,28 @@ ENTRIES = (
     " FROM entries e JOIN profiles p ON p.region = e.region AND p.cluster_id = e.cluster_id)",
 )
 
+DESCRIPTION = (
+    "CASE label"
+    " WHEN 'Hybrid-high' THEN 'Potencial hibrido: solar y eolico ambos por encima de la mediana'"
+    " WHEN 'Solar-dominant' THEN 'Potencial predominantemente solar'"
+    " WHEN 'Wind-dominant' THEN 'Potencial predominantemente eolico'"
+    " ELSE 'Potencial bajo relativo a los demas clusters' END || ' (' || CAST(t.size AS VARCHAR) ||"
+    " ' puntos). Percentil solar: ' || CAST(CAST(round_even(solar_percentile * 100, 0) AS BIGINT) AS VARCHAR) ||"
+    " '%, percentil eolico: ' || CAST(CAST(round_even(wind_percentile * 100, 0) AS BIGINT) AS VARCHAR) ||"
+    " '% respecto a los demas clusters de esta corrida.' || ' Pais dominante: ' || country || ' (' ||"
+    " CAST(CAST(round_even(percentage * 100, 0) AS BIGINT) AS VARCHAR) || '% de los puntos de este cluster).'"
+)
+# Profiles of a split at the mean of one feature: the centers lie one deviation to its sides.
+HALVES = (
+    *INDICATORS,
+    *IMPUTED[-1:],
+    *MOMENTS,
+    "regional AS (SELECT *, 0 AS region, CAST(CASE WHEN sw_dwn_mean > m_sw_dwn_mean THEN 1 ELSE 0 END AS BIGINT) AS cluster_id"
+    " FROM scored CROSS JOIN spread)",
+    "profiles AS (SELECT region, cluster_id, count(*) AS size, any_value(m_sw_dwn_mean + (2 * cluster_id - 1) * s_sw_dwn_mean)"
+    " AS sw_dwn_mean, " + ", ".join(f"any_value(m_{v}) AS {v}" for v in MEANS[1:]) + " FROM regional GROUP BY region, cluster_id)",
+)
+
 RUNS = """runs AS (
   SELECT o_orderpriority AS experiment, o_orderkey AS run_seq,
     CASE o_custkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 2 WHEN 2 THEN 4 ELSE 8 END AS worker_count,
@@ -271,6 +293,17 @@ PAYLOAD_SQL = _with(
     " round(nullif(ws_100m, -999) + 3.3e-9, 6) AS ws_100m FROM daily",
 )
 
+# What the damage by point and year leaves of each payload.
+PAYLOAD_STATUS = (
+    *PAYLOAD_ROWS,
+    "documents_ AS (SELECT point_id, CAST(year(date) AS INTEGER) AS year, (point_id + year(date)) % 8 AS kind, count(*) AS days,"
+    " count(*) FILTER (WHERE month(date) = 2) AS bad FROM daily GROUP BY 1, 2, 3)",
+    "status AS (SELECT point_id, year, CAST(CASE WHEN kind BETWEEN 1 AND 4 THEN 0 ELSE days END AS INTEGER) AS n_dates,"
+    " CAST(CASE WHEN kind = 5 THEN bad ELSE 0 END AS INTEGER) AS n_bad_dates, CASE WHEN kind = 1 THEN 'unreadable' WHEN kind = 2 THEN 'empty'"
+    " WHEN kind = 3 THEN 'no parameters' WHEN kind = 4 THEN 'no dates' WHEN kind = 5 AND bad = days THEN 'no valid date'"
+    " WHEN kind = 5 AND bad > 0 THEN 'some invalid dates' END AS reason FROM documents_)",
+)
+
 BOXES = (
     f"homes AS (SELECT {_place('c_custkey')}, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey)",
     "boxes AS (SELECT country, row_number() OVER (ORDER BY country) - 1 AS country_ix, min(latitude) AS lat_lo,"
@@ -336,12 +369,25 @@ ORACLES: dict[str, str] = {
         " CROSS JOIN squares CROSS JOIN silhouettes CROSS JOIN db",
     ),
     "run_all": _with(
-        *INDICATORS,
-        "halves AS (SELECT *, CASE WHEN sw_dwn_mean > (SELECT avg(sw_dwn_mean) FROM scored) THEN 1 ELSE 0 END AS cluster_id"
-        " FROM scored)",
-        then="SELECT CAST(cluster_id AS BIGINT) AS cluster_id, count(*) AS size FROM halves GROUP BY 1",
+        *HALVES,
+        *READ[len(REGIONS):],
+        *ENTRIES[len(REGIONS):],
+        then=f"SELECT t.cluster_id, t.size, label, {DESCRIPTION} AS description, {_r('confidence')}, {_r('solar_percentile')},"
+        f" {_r('wind_percentile')}, {ROUNDED_MEANS} FROM told t JOIN placed p ON p.cluster_id = t.cluster_id WHERE place = 1",
+    ),
+    "stored_model": _with(
+        *SCALED, "daily AS (SELECT point_id, date, max(sw_dwn) AS sw_dwn FROM obs GROUP BY 1, 2)",
+        then="SELECT point_id, date, CAST(CASE WHEN sw_dwn > m_sw_dwn_mean THEN 1 ELSE 0 END AS BIGINT) AS cluster_id"
+        " FROM daily CROSS JOIN spread",
     ),
     "parse_payload": PAYLOAD_SQL,
+    "payload_problems": _with(*PAYLOAD_STATUS, then="SELECT * FROM status WHERE reason IS NOT NULL"),
+    "readable_payloads": _with(
+        *PAYLOAD_STATUS,
+        then="SELECT point_id, '' AS reason, CAST(sum(n_dates - n_bad_dates) AS BIGINT) AS n FROM status WHERE point_id % 5 <> 0"
+        " GROUP BY 1 HAVING sum(n_dates - n_bad_dates) > 0 UNION ALL SELECT -1, reason, count(*) FROM (SELECT CASE WHEN"
+        " point_id % 5 = 0 THEN 'no point' ELSE reason END AS reason FROM status) WHERE reason IS NOT NULL GROUP BY 2",
+    ),
     "fill_to_null": _with(OBS, _FILLED, then=f"SELECT point_id, date, {ROUNDED_MAIN} FROM filled"),
     "parse_date_key": """
 WITH days AS (SELECT l_orderkey, l_linenumber, strftime(l_shipdate, '%Y%m%d') AS day FROM lineitem),
@@ -538,6 +584,16 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
         " AS BIGINT) AS cluster_id FROM scored",
     ),
     "assign_nearest": _with(*NEAREST, then=f"SELECT point_id, cluster_id, {_r('distance2')} FROM nearest"),
+    "nearest_part": _with(
+        *INDICATORS,
+        "parts AS (SELECT l_partkey AS cluster_id, avg(l_extendedprice / CAST(250 AS DOUBLE)) AS sw_dwn_mean,"
+        " avg(l_extendedprice / CAST(110 AS DOUBLE)) AS dni_mean, avg(l_quantity * CAST(0.65 AS DOUBLE)) AS ws_50m_mean,"
+        " avg(CASE WHEN l_linenumber = 7 THEN CAST(-999 AS DOUBLE) ELSE l_quantity * CAST(0.55 AS DOUBLE)"
+        " + l_tax * CAST(100 AS DOUBLE) END) AS ws_100m_mean FROM lineitem GROUP BY 1)",
+        f"gaps AS (SELECT s.point_id, c.cluster_id, {_squares('s', 'c')} AS distance2 FROM scored s CROSS JOIN parts c)",
+        then=f"SELECT point_id, cluster_id, {_r('distance2')} FROM (SELECT *, row_number() OVER (PARTITION BY point_id"
+        " ORDER BY distance2, cluster_id) AS r FROM gaps) WHERE r = 1",
+    ),
     "inertia": _with(*NEAREST, then="SELECT round(sum(distance2) + 3.3e-9, 6) AS inertia FROM nearest"),
     "cluster_centroids": _with(
         *IMPUTED,
@@ -624,17 +680,8 @@ SELECT 'label' AS labelling, round(avg(CASE WHEN b IS NULL THEN NULL WHEN a IS N
     "cluster_description": _with(
         *READ,
         *ENTRIES[len(REGIONS):],
-        then="SELECT t.region, t.cluster_id, CASE label"
-        " WHEN 'Hybrid-high' THEN 'Potencial hibrido: solar y eolico ambos por encima de la mediana'"
-        " WHEN 'Solar-dominant' THEN 'Potencial predominantemente solar'"
-        " WHEN 'Wind-dominant' THEN 'Potencial predominantemente eolico'"
-        " ELSE 'Potencial bajo relativo a los demas clusters' END || ' (' || CAST(t.size AS VARCHAR) ||"
-        " ' puntos). Percentil solar: ' || CAST(CAST(round_even(solar_percentile * 100, 0) AS BIGINT) AS VARCHAR) ||"
-        " '%, percentil eolico: ' || CAST(CAST(round_even(wind_percentile * 100, 0) AS BIGINT) AS VARCHAR) ||"
-        " '% respecto a los demas clusters de esta corrida.' || ' Pais dominante: ' || country || ' (' ||"
-        " CAST(CAST(round_even(percentage * 100, 0) AS BIGINT) AS VARCHAR) || '% de los puntos de este cluster).'"
-        " AS description FROM told t JOIN placed p ON p.region = t.region AND p.cluster_id = t.cluster_id"
-        " WHERE place = 1",
+        then=f"SELECT t.region, t.cluster_id, {DESCRIPTION} AS description FROM told t JOIN placed p"
+        " ON p.region = t.region AND p.cluster_id = t.cluster_id WHERE place = 1",
     ),
     "interpret_clusters": _with(
         *READ,

@@ -13,6 +13,7 @@ from heliovane.functions.series import combine_per_point, fold_per_point, merge_
 from heliovane.operators import checks, cleaning, clusters, features, interpret, kmeans, quality, runs, silhouette, sweep
 from heliovane.operators import indicators as ind
 from heliovane.operators import points as pts
+from heliovane.operators.models import load_model, save_model
 from heliovane.operators import scoring
 from heliovane.plans import derived, flows
 from heliovane.schema import MAIN_VARIABLES, MEAN_COLUMNS, SOLAR_MEANS, WIND_MEANS
@@ -174,6 +175,25 @@ def parse_payload(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(parsed.select("point_id", "date", *MAIN_VARIABLES))
 
 
+@query
+def payload_problems(spark: SparkSession, sf: str) -> DataFrame:
+    """Why payloads gave fewer rows than they should."""
+    told = payloads.payload_status(settle(derived.damaged_payloads(spark, sf)), keys=("point_id", "year"))
+    return told.where("reason IS NOT NULL")
+
+
+@query
+def readable_payloads(spark: SparkSession, sf: str) -> DataFrame:
+    """The observations of stored payloads some of which are damaged or have no point in their file's name."""
+    landed = scratch_path(spark, "damaged")
+    named = derived.damaged_payloads(spark, sf).withColumn("point_id", F.when(F.col("point_id") % 5 != 0, F.col("point_id")))
+    named.write.parquet(landed)
+    read, problems = payloads.ingest_with_problems(spark, landed, "parquet", columns=payloads.mapping_of(MAIN_VARIABLES))
+    days = read.groupBy("point_id").agg(F.count(F.lit(1)).alias("n"))
+    lost = problems.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+    return days.select("point_id", F.lit("").alias("reason"), "n").unionByName(lost.select(F.lit(-1).cast("bigint").alias("point_id"), "reason", "n"))
+
+
 @query
 def fill_to_null(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(cleaning.fill_to_null(derived.observations(spark, sf)))
@@ -568,11 +588,32 @@ def custom_clustering(spark: SparkSession, sf: str) -> DataFrame:
     return result.labelled.select("point_id", F.col("cluster_id").cast("bigint"))
 
 
+@query
+def stored_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A clustering fitted on the points' means, stored, loaded, and applied to rows it has not seen."""
+    path = scratch_path(spark, "model")
+    save_model(HalvesBySun().fit(settle(gappy_features(spark, sf)), MEAN_COLUMNS), path)
+    days = derived.daily_maxima(spark, sf).withColumnsRenamed(dict(zip(MAIN_VARIABLES, MEAN_COLUMNS)))
+    labels = load_model(spark, path).labels(days)
+    return labels.select("point_id", "date", F.col("cluster_id").cast("bigint"))
+
+
 @query
 def assign_nearest(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(nearest(spark, sf).select("point_id", "cluster_id", "distance2"))
 
 
+@query
+def nearest_part(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each point the part whose own means are nearest: a centroid for every part."""
+    items = derived.read(spark, sf, "lineitem").withColumn("l_suppkey", F.col("l_partkey"))
+    parts = derived.observed(items).groupBy(F.col("point_id").alias("cluster_id"))
+    centroids = settle(parts.agg(*[F.avg(v).alias(m) for v, m in zip(MAIN_VARIABLES, MEAN_COLUMNS)]))
+    table = indicator_table(spark, sf).select("point_id", *MEAN_COLUMNS)
+    found = kmeans.assign_nearest(table, centroids, MEAN_COLUMNS)
+    return rounded(found.select("point_id", "cluster_id", "distance2"))
+
+
 @query
 def inertia(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(kmeans.inertia(nearest(spark, sf)))
@@ -746,4 +787,6 @@ def experiment_stability(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def run_all(spark: SparkSession, sf: str) -> DataFrame:
     result = flows.run_all(derived.points(spark, sf), derived.observations(spark, sf), store(spark), clustering=HalvesBySun())
-    return rounded(result.profiles.select(F.col("cluster_id").cast("bigint"), F.col("size").cast("bigint")))
+    ids = [F.col(c).cast("bigint").alias(c) for c in ("cluster_id", "size")]
+    told = ["label", "description", "confidence", "solar_percentile", "wind_percentile", "centroid.*"]
+    return rounded(result.profiles.select(*ids, *told))

@@ -20,20 +20,28 @@ def scan_payloads(spark: SparkSession, path: str, layout: str = "document", name
     ``point_id=`` folder, or else from the first group of ``name_pattern`` in the
     file name; a file that does not match stops the read.
     """
+    found = scan_files(spark, path, layout, name_pattern)
+    if layout != "parquet":
+        message = F.concat(F.lit("no point number in file name "), F.col("file"))
+        found = found.withColumn("point_id", F.coalesce("point_id", F.raise_error(message).cast("bigint")))
+    return found.select("point_id", "payload")
+
+
+def scan_files(spark: SparkSession, path: str, layout: str = "document", name_pattern: str | None = None) -> DataFrame:
+    """The same with the file's name as ``file``; a name that does not match leaves ``point_id`` NULL."""
     if layout == "parquet":
-        return spark.read.parquet(path).select(F.col("point_id").cast("bigint"), "payload")
+        stored = spark.read.parquet(path)
+        return stored.select(F.col("point_id").cast("bigint"), F.col("_metadata.file_name").alias("file"), "payload")
     if layout not in ("document", "lines"):
         raise ValueError(f"layout must be document, lines or parquet, got {layout!r}")
     texts = spark.read.text(path, wholetext=layout == "document")
     if "point_id" in texts.columns:
-        point = F.col("point_id")
+        point = F.col("point_id").try_cast("bigint")
     elif name_pattern is None:
         raise ValueError("give a name_pattern, or put the files into point_id= folders")
     else:
-        found = F.regexp_extract("_metadata.file_name", name_pattern, 1).try_cast("bigint")
-        message = F.concat(F.lit("no point number in file name "), F.col("_metadata.file_name"))
-        point = F.coalesce(found, F.raise_error(message).cast("bigint"))
-    return texts.select(point.cast("bigint").alias("point_id"), F.col("value").alias("payload"))
+        point = F.regexp_extract("_metadata.file_name", name_pattern, 1).try_cast("bigint")
+    return texts.select(point.alias("point_id"), F.col("_metadata.file_name").alias("file"), F.col("value").alias("payload"))
 
 
 def parse_date_key(key: Column) -> Column:
@@ -139,6 +147,52 @@ def parse_payloads(
     ).where("date IS NOT NULL")
 
 
+def payload_status(
+    payloads: DataFrame,
+    payload: str = "payload",
+    keys: Sequence[str] = ("point_id",),
+    columns: Mapping[str, str] = PAYLOAD_COLUMNS,
+    date_source: str = "first",
+) -> DataFrame:
+    """Per payload: keys, ``n_dates`` and ``n_bad_dates`` (distinct date keys, those that are no date), ``reason``.
+
+    The reason says why a payload gives fewer rows than it has dates, or none, and is NULL if
+    all is well: ``no point``, ``empty``, ``unreadable`` (no JSON object, or none of the dates in the
+    form that is expected), ``no parameters``, ``no dates``, ``no valid date``, ``some invalid dates``.
+    Read in place without a shuffle; of the parameters only those that can give dates.
+    """
+    if date_source not in ("first", "any"):
+        raise ValueError(f"date_source must be first or any, got {date_source!r}")
+    dating = [DATE_PARAMETER] if date_source == "first" else list(columns)
+    shape = T.StructType([*_payload_type(dating).fields, T.StructField("_unreadable", T.StringType())])
+    doc = F.from_json(F.col(payload), shape, {"columnNameOfCorruptRecord": "_unreadable"})
+    no_keys = F.array().cast("array<string>")
+    listed = [F.coalesce(F.map_keys(F.col(f"_doc.properties.parameter.{p}")), no_keys) for p in dating]
+    blank = F.col(payload).isNull() | ~F.col(payload).rlike(r"\S")
+    read = payloads.select(*keys, blank.alias("_blank"), doc.alias("_doc")).select(
+        *keys,
+        "_blank",
+        (F.col("_doc").isNull() | F.col("_doc._unreadable").isNotNull()).alias("_unreadable"),
+        F.col("_doc.properties.parameter").isNull().alias("_bare"),
+        F.array_distinct(F.flatten(F.array(*listed))).alias("_dates"),
+    )
+    bad = F.filter("_dates", lambda key: parse_date_key(key).isNull())
+    counted = read.withColumn("n_dates", F.size("_dates")).withColumn("n_bad_dates", F.size(bad))
+    lost = F.lit(False)
+    for key in keys:
+        lost = lost | F.col(key).isNull()
+    reason = (
+        F.when(lost, "no point")
+        .when(F.col("_blank"), "empty")
+        .when(F.col("_unreadable") & (F.col("n_dates") == 0), "unreadable")
+        .when(F.col("_bare"), "no parameters")
+        .when(F.col("n_dates") == 0, "no dates")
+        .when(F.col("n_dates") == F.col("n_bad_dates"), "no valid date")
+        .when(F.col("n_bad_dates") > 0, "some invalid dates")
+    )
+    return counted.select(*keys, "n_dates", "n_bad_dates", reason.alias("reason"))
+
+
 def mapping_of(variables: Sequence[str]) -> dict[str, str]:
     """The part of the parameter mapping that yields these variables: nothing else is read from the JSON."""
     return {parameter: column for parameter, column in PAYLOAD_COLUMNS.items() if column in variables}
@@ -147,3 +201,20 @@ def mapping_of(variables: Sequence[str]) -> dict[str, str]:
 def ingest(spark: SparkSession, path: str, layout: str = "document", name_pattern: str | None = None, **parse_options) -> DataFrame:
     """Scan stored payloads and parse them."""
     return parse_payloads(scan_payloads(spark, path, layout, name_pattern), **parse_options)
+
+
+def ingest_with_problems(
+    spark: SparkSession, path: str, layout: str = "document", name_pattern: str | None = None, **parse_options
+) -> tuple[DataFrame, DataFrame]:
+    """Observations of the payloads that can be read, and (point_id, file, n_dates, n_bad_dates, reason) of the others.
+
+    Nothing stops the read: a file without a point number is a problem like any other.  A payload
+    some of whose dates are invalid is in both tables.  Both read the stored payloads, the second
+    only the dates in them.
+    """
+    found = scan_files(spark, path, layout, name_pattern)
+    read = parse_payloads(found.where("point_id IS NOT NULL").select("point_id", "payload"), **parse_options)
+    wanted = {name: value for name, value in parse_options.items() if name in ("columns", "date_source")}
+    # The file's name is no key that a payload could lack.
+    told = payload_status(found.withColumn("file", F.coalesce("file", F.lit(""))), keys=("point_id", "file"), **wanted)
+    return read, told.where("reason IS NOT NULL")

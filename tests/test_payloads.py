@@ -4,7 +4,7 @@ import json
 import pytest
 
 from heliovane.schema import OBSERVATION_SCHEMA, VARIABLES
-from heliovane.sources.payloads import ingest, mapping_of, parse_payloads, scan_payloads
+from heliovane.sources.payloads import ingest, ingest_with_problems, mapping_of, parse_payloads, payload_status, scan_payloads
 
 
 def document(**parameters):
@@ -125,3 +125,56 @@ def test_only_wanted_parameters_are_parsed(spark):
     parsed = parse_payloads(table, columns=mapping_of(["sw_dwn", "ws_50m"]))
     plan = parsed._jdf.queryExecution().optimizedPlan().toString()
     assert "WS50M" in plan and "T2M" not in plan and parsed.columns == ["point_id", "date", "sw_dwn", "ws_50m"]
+
+
+def reasons(spark, *payloads, **options):
+    table = spark.createDataFrame(list(enumerate(payloads)), "point_id BIGINT, payload STRING")
+    return [tuple(r)[1:] for r in payload_status(table, **options).orderBy("point_id").collect()]
+
+
+def test_every_unusable_payload_has_a_reason(spark):
+    good = document(ALLSKY_SFC_SW_DWN={"20200101": 1.0})
+    cases = {
+        good: None,
+        document(ALLSKY_SFC_SW_DWN={"20200101": 1.0, "2020xx01": 2.0}): "some invalid dates",
+        document(ALLSKY_SFC_SW_DWN={"never": 1.0}): "no valid date",
+        document(ALLSKY_SFC_SW_DWN={}): "no dates",
+        document(WS50M={"20200101": 1.0}): "no dates",
+        "{}": "no parameters",
+        '{"properties": null}': "no parameters",
+        '{"properties": 5}': "unreadable",
+        good[:-3]: "unreadable",
+        "[1]": "unreadable",
+        "no json": "unreadable",
+        "": "empty",
+        " \n": "empty",
+        None: "empty",
+    }
+    assert [r[2] for r in reasons(spark, *cases)] == list(cases.values())
+    gives_rows = {r["point_id"] for r in rows(spark, *cases)}
+    told = list(cases.values())
+    assert gives_rows == {i for i, reason in enumerate(told) if reason in (None, "some invalid dates")}
+
+
+def test_status_counts_dates_of_any_parameter(spark):
+    payload = document(ALLSKY_SFC_SW_DWN={"20200101": 1.0, "x": 2.0}, WS50M={"20200102": 1.0, "20200101": 0.0})
+    assert reasons(spark, payload) == [(2, 1, "some invalid dates")]
+    assert reasons(spark, payload, date_source="any") == [(3, 1, "some invalid dates")]
+    with pytest.raises(ValueError):
+        reasons(spark, payload, date_source="all")
+
+
+def test_no_payloads_have_no_status(spark):
+    assert reasons(spark) == []
+
+
+def test_odd_files_do_not_stop_the_others(spark, tmp_path):
+    good = document(ALLSKY_SFC_SW_DWN={"20200101": 1.0})
+    for name, text in {"point_7.json": good, "point_8.json": "{", "readme.json": good, "point_9.json": " "}.items():
+        (tmp_path / name).write_text(text)
+    read, problems = ingest_with_problems(spark, str(tmp_path), name_pattern=r"point_(\d+)")
+    assert [r["point_id"] for r in read.collect()] == [7]
+    found = {(r["point_id"], r["file"], r["reason"]) for r in problems.collect()}
+    assert found == {(9, "point_9.json", "empty"), (8, "point_8.json", "unreadable"), (None, "readme.json", "no point")}
+    with pytest.raises(Exception, match="no point number in file name"):
+        ingest(spark, str(tmp_path), name_pattern=r"point_(\d+)").collect()
