@@ -263,3 +263,15 @@ def test_pipeline_stages_against_brute_force(spark, tmp_path):
     whole = {r["doc_id"]: r["n_tokens"] for r in corpus_pipeline.run(spark, sf).collect()}
     assert whole == encoded
     assert langid.UNDETERMINED and decontaminate.WINDOW == 10
+
+
+def test_prefilter_keeps_every_marked_row(spark):
+    rows = spark.range(-20_000, 20_000).selectExpr("id", "'x' AS text", "id % 3 AS bits")
+    marks = spark.range(-20_000, 20_000, 7).selectExpr("id AS label_id", "1 AS toxic")
+    passed = toxicity.with_marks(rows, marks)
+    assert passed.columns == ["id", "text", "bits"]
+    kept = [r["id"] for r in passed.select("id").collect()]
+    assert set(kept) >= set(range(-20_000, 20_000, 7))
+    assert len(kept) == len(set(kept)) < 1.01 * 40_000 / 7
+    assert toxicity.with_marks(rows, marks.limit(0)).count() == 0
+    assert toxicity.with_marks(rows.limit(0), marks).count() == 0
