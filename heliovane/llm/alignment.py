@@ -166,8 +166,9 @@ class Aligner:
     def __call__(self, raws: list[bytes]) -> list[list[Aligned]]:
         """The aligned chunks of each text, in order; chunks that no text had before are aligned together."""
         parts = list(map(self.parts, raws))
-        fresh = set(chain.from_iterable(parts)).difference(self.chunks.keys(), self.chunks.older.keys())
-        self.fresh = dict(zip(fresh, self._aligned(list(fresh)), strict=True))
+        known, older = self.chunks, self.chunks.older
+        fresh = [c for c in set(chain.from_iterable(parts)) if c not in known and c not in older]
+        self.fresh = dict(zip(fresh, self._aligned(fresh), strict=True))
         found = [list(map(self.chunks.__getitem__, p)) for p in parts]
         return [[] if None in f else f for f in found]
 
