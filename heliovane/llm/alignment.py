@@ -94,7 +94,7 @@ class Aligner:
         self.b_sizes = np.array(list(map(len, self.b_bytes)))
         self.with_text, self.fresh = with_text, {}
         self.written = [f"{i}{sign}".encode() for i in range(max(self.width, len(self.a_sizes))) for sign in ",|;"] if with_text else []
-        self.chunks = Memo(lambda c: self.fresh[c] if c in self.fresh else self._aligned([c])[0], limit=1 << 19)
+        self.chunks = Memo(lambda c: self.fresh[c] if c in self.fresh else self._aligned([c])[0], limit=1 << 20)
 
     def tokens(self, chunk: bytes) -> tuple[list[int], list[int]]:
         """Ids of both for bytes that begin with a space."""
