@@ -531,6 +531,10 @@ SELECT point_id, {ROUNDED_PLACE}, country FROM doubtful WHERE NOT (latitude BETW
         *BASE, _indicator_means("points", "CAST(0 AS DOUBLE)"), _scored(0.4, 0.4, 0.2),
         then=f"SELECT point_id, {_r('hybrid_score')} FROM scored",
     ),
+    "indicators_by_day": _with(
+        OBS, POINTS, MORE_POINTS, NULLED, MEANS_CTE, _indicator_means("more_points", "CAST(0 AS DOUBLE)"), _scored(),
+        then=f"SELECT {ROUNDED_INDICATORS} FROM scored",
+    ),
     "indicators": _with(*INDICATORS, then=f"SELECT {ROUNDED_INDICATORS} FROM scored"),
     "per_point_udf": _with(
         OBS, NULLED, CLEAN,

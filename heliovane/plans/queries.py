@@ -19,6 +19,7 @@ from heliovane.plans import derived, flows
 from heliovane.schema import MAIN_VARIABLES, MEAN_COLUMNS, SOLAR_MEANS, WIND_MEANS
 from heliovane.session import scratch_path, settle
 from heliovane.sources import grid, payloads, tables
+from heliovane.sources.layout import save_by_day
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -241,6 +242,13 @@ def appended_table(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(kept.load("observations"))
 
 
+@query
+def indicators_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The indicator table from observations stored by point and day, duplicates removed inside their buckets."""
+    stored = save_by_day(derived.repeated_observations(spark, sf), scratch_path(spark, "by-day"))
+    return rounded(ind.indicators(derived.points_with_unobserved(spark, sf), stored))
+
+
 @query
 def clean_stored_table(spark: SparkSession, sf: str) -> DataFrame:
     """A stored table is read, cleaned and saved under its own key."""
