@@ -22,8 +22,8 @@ from heliovane.session import remove, scratch_path
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the class-conditional models do not call toxic."""
-    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), crc_remainder(F.col("doc_id"), 4) != 2)
-    return toxicity.score(docs, model, carry=True).where("predicted = 0").select("row.*")
+    scored = toxicity.fit_and_score(docs, table(spark, sf_dir, "labels"), crc_remainder(F.col("doc_id"), 4) != 2, carry=True)
+    return scored.where("predicted = 0").select("row.*")
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,11 +13,16 @@ models spell about equally well, in whatever language, move the sum little.  A t
 is the difference of its log-likelihoods, divided by its length in words.
 
 `fit` uses order `LONG`, so that a beginning or ending of several letters which many otherwise
-different words share is told from those that differ in a letter; order 4 can't.  The n-gram counts
-cover all labelled texts and are summed by Spark.  The alphabet has `SIGNS` signs (boundary, a-z, one
-digit, other letters folded into 20).  After a context that no toxic text shows both classes are
-taken to go on alike, so the model holds the n-grams of the other contexts.  These grow with the
-toxic texts; they are collected and broadcast.
+different words share is told from those that differ in a letter; order 4 can't.  The alphabet has
+`SIGNS` signs (boundary, a-z, one digit, other letters folded into 20).
+
+All n-grams of all labelled texts count, in both classes.  Nothing that grows with them is collected:
+distinct words are counted and dealt by their beginning into slices; a slice's n-grams are dealt by the
+`LOW` signs before their last into blocks.  A block holds all n-grams that share a context of `LOW` signs or
+more, so it works out their probabilities alone but for those after shorter contexts, a table of fixed
+size.  The values go back to the slices, which make of them one difference for each word (in units of
+1 / `UNIT`, so that sums don't depend on their order).  A word that makes up a `FREQUENT`-th or more of all words is
+broadcast (there are at most `FREQUENT`), any other meets its difference in a join.
 
 The statistic becomes a probability by a logistic curve.  It is fitted on statistics that each
 half of the learned documents gets from a model of the other half, counted into narrow bins.
@@ -33,14 +38,17 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
+import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from heliovane.llm.common import folded_words, map_texts, raw_texts
-from heliovane.session import settle
+from heliovane.llm.common import folded_words, key_and_text, mix, raw_texts
+from heliovane.session import cleared, settle
 
 SIGNS = 48
 ORDER = 4
@@ -50,6 +58,18 @@ SHARE = 0.005
 BIN = 0.002
 THRESHOLD = 0.3
 MARKS = 1 << 26
+#: Signs before the last that n-grams of a block share.
+LOW = 3
+#: Distinct words of a slice, and how much of their beginning they share.
+SLICE, BEGINNING = 1 << 15, 5
+FREQUENT = 1 << 23
+UNIT = 1 << 32
+#: Distinct words that a task counts before it sends them on.
+HELD = 1 << 18
+#: How often a word or n-gram occurs in each half of the learned texts, by class.
+TALLIES = ("ordinary_0", "toxic_0", "ordinary_1", "toxic_1")
+#: The columns of TALLIES that a model learns from: all, the first half, the second.
+WHOLE, PARTS = [(0, 1, 2, 3)], [(0, 1), (2, 3)]
 
 
 def _alphabet() -> np.ndarray:
@@ -82,6 +102,25 @@ def grams(words: list[bytes], order: int = ORDER) -> tuple[np.ndarray, np.ndarra
     return codes, begins
 
 
+def low_chances(n: np.ndarray) -> np.ndarray:
+    """The shared probability of the last of `LOW` signs, from how many signs stand before each such n-gram (0: not seen)."""
+    counts = [n]
+    for length in range(LOW - 1, 0, -1):
+        counts.append((counts[-1] > 0).reshape(SIGNS, SIGNS**length).sum(0))
+    chance = np.full(1, 1.0 / SIGNS)
+    for found in reversed(counts):
+        found = found.reshape(-1, SIGNS)
+        total = np.maximum(found.sum(1, keepdims=True), 1)
+        below = np.resize(chance, found.size).reshape(found.shape)
+        chance = (np.maximum(found - DISCOUNT, 0) / total + DISCOUNT * (found > 0).sum(1, keepdims=True) / total * below).ravel()
+    return chance
+
+
+def low_kinds(codes: np.ndarray) -> np.ndarray:
+    """The distinct n-grams of `LOW` + 1 signs that distinct n-grams end with."""
+    return np.unique(codes % SIGNS ** (LOW + 1))
+
+
 @dataclass
 class Spelling:
     """Log-likelihood differences (toxic minus ordinary) of n-grams, and of unseen ones by context."""
@@ -93,9 +132,11 @@ class Spelling:
     order: int = ORDER
 
     @classmethod
-    def fit(cls, codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, order: int = ORDER) -> Spelling:
-        """From the counts of all distinct n-grams, codes ascending."""
-        lower = cls._shared(codes, order)
+    def fit(cls, codes: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray, order: int = ORDER, low: np.ndarray | None = None) -> Spelling:
+        """From the counts of all distinct n-grams, or of a block of them and `low_chances` of all; codes ascending."""
+        if low is None:
+            low = low_chances(np.bincount(low_kinds(codes) % SIGNS**LOW, minlength=SIGNS**LOW))
+        lower = cls._shared(codes, order, low)
         contexts, at = np.unique(codes // SIGNS, return_inverse=True)
         logs, spare = [], []
         for counts in (toxic.astype(float), ordinary.astype(float)):
@@ -107,59 +148,57 @@ class Spelling:
         return cls(codes, logs[0] - logs[1], contexts, spare[0] - spare[1], order)
 
     @staticmethod
-    def _shared(codes: np.ndarray, order: int) -> np.ndarray:
-        """The shared probability of each n-gram's last sign after its shorter context."""
-        suffixes, chance = np.arange(SIGNS), np.full(SIGNS, 1.0 / SIGNS)
-        for length in range(1, order):
+    def _shared(codes: np.ndarray, order: int, low: np.ndarray) -> np.ndarray:
+        """The shared probability of each n-gram's last sign after its shorter context, `low` where that has fewer than `LOW` signs."""
+        suffixes = np.unique(codes % SIGNS**LOW)
+        chance = low[suffixes]
+        for length in range(LOW + 1, order):
             base = SIGNS**length
             kinds = np.unique(codes % (base * SIGNS))  # distinct left extensions of each n-gram
             grams_, n = np.unique(kinds % base, return_counts=True)
             context, at = np.unique(grams_ // SIGNS, return_inverse=True)
             total, distinct = np.bincount(at, n), np.bincount(at)
-            below = chance[np.searchsorted(suffixes, grams_ % (base // SIGNS))] if length > 1 else chance[grams_]
+            below = chance[np.searchsorted(suffixes, grams_ % (base // SIGNS))]
             chance = np.maximum(n - DISCOUNT, 0) / total[at] + DISCOUNT * (distinct / total)[at] * below
             suffixes = grams_
         return chance[np.searchsorted(suffixes, codes % SIGNS ** (order - 1))]
 
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        """The difference of n-grams: of unseen ones that of their context, 0 where that is unseen too."""
+        if not len(self.codes):
+            return np.zeros(len(codes))
+        place = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        before = np.minimum(np.searchsorted(self.contexts, codes // SIGNS), len(self.contexts) - 1)
+        other = np.where(self.contexts[before] == codes // SIGNS, self.unseen[before], 0.0)
+        return np.where(self.codes[place] == codes, self.values[place], other)
+
     def differences(self, words: list[bytes]) -> np.ndarray:
         """The log-likelihood difference of each word, toxic (a mixture) minus ordinary."""
         codes, begins = grams(words, self.order)
-        place = np.minimum(np.searchsorted(self.codes, codes), max(0, len(self.codes) - 1))
-        seen = self.codes[place] == codes
-        before = np.minimum(np.searchsorted(self.contexts, codes // SIGNS), max(0, len(self.contexts) - 1))
-        other = np.where(self.contexts[before] == codes // SIGNS, self.unseen[before], 0.0)
-        spelled = np.add.reduceat(np.where(seen, self.values[place], other), begins)
-        return np.logaddexp(np.log1p(-SHARE), np.log(SHARE) + spelled)
-
-    def statistics(self, raws: list[bytes], known: dict[bytes, float], limit: int = 1 << 18) -> list[float]:
-        """Per text: the difference per word; 0 without words.
-
-        `known` holds words already looked up; it belongs to one task, which empties it when full.
-        """
-        out = []
-        for raw in raws:
-            words = folded_words(raw)
-            new = list({w for w in words if w not in known})
-            if new:
-                if len(known) + len(new) > limit:
-                    known.clear()
-                    new = list(set(words))
-                known.update(zip(new, self.differences(new).tolist(), strict=True))
-            out.append(sum(map(known.__getitem__, words)) / len(words) if words else 0.0)
-        return out
+        return mixture(np.add.reduceat(self.of(codes), begins))
+
+
+def mixture(spelled: np.ndarray) -> np.ndarray:
+    return np.logaddexp(np.log1p(-SHARE), np.log(SHARE) + spelled)
 
 
 @dataclass
 class ToxicityModel:
-    """A spelling model and the logistic curve over its statistic; without a model, a constant."""
+    """The counts of all learned words and the logistic curve over the statistic; without counts, a constant."""
 
-    spelling: Spelling | None
+    spelling: DataFrame | None
     slope: float
     offset: float
+    order: int = LONG
 
-    def scores(self, raws: list[bytes], known: dict[bytes, float]) -> np.ndarray:
-        x = np.array(self.spelling.statistics(raws, known) if self.spelling else [0.0] * len(raws))
-        return 1 / (1 + np.exp(-np.clip(self.slope * x + self.offset, -30, 30)))
+    def scores(self, raws: list[bytes], known: dict | None = None) -> np.ndarray:
+        """The scores of a few texts."""
+        docs = SparkSession.active().createDataFrame([(i, raw.decode()) for i, raw in enumerate(raws)], "doc_id long, text string")
+        return np.array([r["score"] for r in score(docs, self).orderBy("doc_id").collect()])
+
+    def curve(self, statistic: Column) -> Column:
+        z = F.least(F.greatest(F.lit(self.slope) * statistic + F.lit(self.offset), F.lit(-30.0)), F.lit(30.0))
+        return 1 / (1 + F.exp(-z))
 
 
 def logistic(x: np.ndarray, n: np.ndarray, positive: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
@@ -178,31 +217,207 @@ def logistic(x: np.ndarray, n: np.ndarray, positive: np.ndarray, ridge: float =
     return float(w[0] / scale), float(w[1])
 
 
+def count_words(rows: DataFrame, kind: Column) -> DataFrame:
+    """(word, kind, n): how often each word stands in the `text`s of a kind, summed in part."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[int, Counter] = {}
+
+        def sent() -> Iterator[pa.RecordBatch]:
+            for kind, found in counts.items():
+                columns = [pa.array(list(found), pa.binary()), pa.array(np.full(len(found), kind, np.int32)), pa.array(np.fromiter(found.values(), np.int64, len(found)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["word", "kind", "n"])
+            counts.clear()
+
+        for batch in batches:
+            for kind, raw in zip(batch.column("kind").to_pylist(), raw_texts(batch.column("text")), strict=True):
+                counts.setdefault(kind, Counter()).update(folded_words(raw))
+                if len(counts[kind]) > HELD:
+                    yield from sent()
+        yield from sent()
+
+    return rows.select(kind.alias("kind"), "text").mapInArrow(run, "word binary, kind int, n long")
+
+
+def learned_words(learned: DataFrame) -> DataFrame:
+    return count_words(learned, F.col("half") * 2 + F.col("toxic"))
+
+
+def word_table(counted: DataFrame) -> DataFrame:
+    """(word, n, *TALLIES) of counts by kind: places in TALLIES, and -1 for `n`, how often the word stands in the texts to be scored."""
+    sums = [F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0)).alias(name) for kind, name in enumerate(("n", *TALLIES), -1)]
+    return counted.groupBy("word").agg(*sums)
+
+
+def _sliced(words: DataFrame) -> tuple[DataFrame, int]:
+    """The words with their slice, and how many slices there are."""
+    n = max(1, words.count() // SLICE)
+    return words.withColumn("slice", F.pmod(F.xxhash64(F.substring("word", 1, BEGINNING)), F.lit(n)).cast("int")), n
+
+
+def _coded(words: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct n-grams of a slice; the place among them of every n-gram of every word; where each word's begin."""
+    codes, begins = grams(words.column("word").to_pylist(), order)
+    return *np.unique(codes, return_inverse=True), begins
+
+
+def _tallied(words: pa.Table, order: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of a slice and a row of counts for each of TALLIES."""
+    codes, at, begins = _coded(words, order)
+    sizes = np.diff(np.append(begins, len(at)))
+    return codes, np.stack([np.bincount(at, np.repeat(words.column(c).to_numpy(), sizes), len(codes)) for c in TALLIES]).astype(np.int64)
+
+
+def _by_block(codes: np.ndarray, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts n-grams side by side by block, and where each block ends."""
+    block = (mix((codes // SIGNS % SIGNS**LOW).astype(np.uint64)) % np.uint64(blocks)).astype(np.int64)
+    return np.argsort(block, kind="stable"), np.cumsum(np.bincount(block, minlength=blocks))
+
+
+def _packed(values: np.ndarray) -> bytes:
+    return zlib.compress(np.ascontiguousarray(values).tobytes(), 1)
+
+
+def gram_blocks(sliced: DataFrame, blocks: int, order: int) -> DataFrame:
+    """(block, slice, codes, counts): the n-grams of each slice with their tallies, dealt into blocks."""
+
+    def run(key: tuple, words: pa.Table) -> pa.Table:
+        codes, counts = _tallied(words, order)
+        places, ends = _by_block(codes, blocks)
+        rows = []
+        for block, at in enumerate(np.split(places, ends[:-1])):
+            if len(at):
+                rows.append((block, key[0].as_py(), _packed(np.diff(codes[at], prepend=0)), _packed(counts[:, at])))
+        return pa.Table.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["block", "slice", "codes", "counts"])
+
+    return sliced.groupBy("slice").applyInArrow(run, "block int, slice int, codes binary, counts binary")
+
+
+def _merged(part: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The distinct n-grams of a block, a row of counts for each of TALLIES, and the places of every slice's n-grams."""
+    codes = [np.cumsum(np.frombuffer(zlib.decompress(c), np.int64)) for c in part.column("codes").to_pylist()]
+    counts = np.concatenate([np.frombuffer(zlib.decompress(c), np.int64).reshape(len(TALLIES), -1) for c in part.column("counts").to_pylist()], axis=1)
+    found, at = np.unique(np.concatenate(codes), return_inverse=True)
+    sums = np.stack([np.bincount(at, row, len(found)) for row in counts]).astype(np.int64)
+    return found, sums, np.split(at, np.cumsum([len(c) for c in codes])[:-1])
+
+
 def count_grams(learned: DataFrame, order: int = ORDER) -> DataFrame:
-    """(context, half, code, toxic, ordinary): how often each n-gram occurs in each half of the labelled texts."""
+    """(code, toxic, ordinary): how often each n-gram occurs in the labelled texts (half, toxic, text)."""
+    sliced, slices = _sliced(word_table(learned_words(learned)))
+
+    def run(part: pa.Table) -> pa.Table:
+        codes, counts, _ = _merged(part)
+        return pa.Table.from_arrays([pa.array(codes), pa.array(counts[1] + counts[3]), pa.array(counts[0] + counts[2])], names=["code", "toxic", "ordinary"])
+
+    return gram_blocks(sliced, slices, order).groupBy("block").applyInArrow(run, "code long, toxic long, ordinary long")
+
+
+def _lows(sliced: DataFrame, models: list[tuple], order: int) -> list[np.ndarray]:
+    """`low_chances` of each model.  At most SIGNS ** LOW counts for each come to the driver."""
+
+    def run(words: pa.Table) -> pa.Table:
+        codes, counts = _tallied(words, order)
+        kinds, at = np.unique(codes % SIGNS ** (LOW + 1), return_inverse=True)
+        seen = np.zeros(len(kinds), np.int32)
+        for i, which in enumerate(models):
+            seen |= (np.bincount(at, counts[list(which)].sum(0), len(kinds)) > 0).astype(np.int32) << i
+        return pa.Table.from_arrays([pa.array(kinds), pa.array(seen)], names=["kind", "seen"])
+
+    kinds = sliced.groupBy("slice").applyInArrow(run, "kind long, seen int").groupBy("kind").agg(F.bit_or("seen").alias("seen"))
+    sums = [F.sum(F.getbit("seen", F.lit(i)).cast("long")).alias(f"n{i}") for i in range(len(models))]
+    found = kinds.groupBy((F.col("kind") % SIGNS**LOW).alias("low")).agg(*sums).toArrow()
+    at = found.column("low").to_numpy()
+    return [low_chances(np.bincount(at, found.column(f"n{i}").to_numpy(), SIGNS**LOW).astype(np.int64)) for i in range(len(models))]
+
+
+def word_values(words: DataFrame, models: list[tuple], order: int) -> DataFrame:
+    """(word, n, v0, v1, ...): the difference of every word of a settled `word_table` under each of the models.
+
+    Models after the first only value words of learned texts; those of other words are 0.
+    """
+    sliced, slices = _sliced(words)
+    lows = sliced.sparkSession.sparkContext.broadcast(_lows(sliced, models, order))
+
+    def valued(part: pa.Table) -> pa.Table:
+        codes, counts, places = _merged(part)
+        values = []
+        for which, low in zip(models, lows.value, strict=True):
+            own = counts[list(which)]
+            seen = own.sum(0) > 0
+            fitted = Spelling.fit(codes[seen], own[1::2].sum(0)[seen], own[::2].sum(0)[seen], order, low)
+            values.append(fitted.of(codes).astype(np.float32))
+        learned = counts.sum(0) > 0
+        blobs = []
+        for at in places:
+            own = learned[at]
+            more = [*[v[at[own]] for v in values[1:]], own.astype(np.float32)] if len(values) > 1 else []
+            blobs.append(_packed(np.concatenate([values[0][at], *more])))
+        return pa.Table.from_arrays([part.column("slice").combine_chunks(), part.column("block").combine_chunks(), pa.array(blobs, pa.binary())], names=["slice", "block", "values"])
+
+    def summed(own: pa.Table, blobs: pa.Table) -> pa.Table:
+        codes, at, begins = _coded(own, order)
+        places, ends = _by_block(codes, slices)
+        begin = np.concatenate([[0], ends])
+        values = np.zeros((len(models), len(codes)), np.float32)
+        for block, blob in zip(blobs.column("block").to_pylist(), blobs.column("values").to_pylist(), strict=True):
+            here, given = places[begin[block] : begin[block + 1]], np.frombuffer(zlib.decompress(blob), np.float32)
+            values[0, here] = given[: len(here)]
+            if len(models) > 1:
+                values[1:, here[given[-len(here) :] > 0]] = given[len(here) : -len(here)].reshape(len(models) - 1, -1)
+        out = [np.rint(mixture(np.add.reduceat(v[at].astype(float), begins)) * UNIT).astype(np.int64) for v in values]
+        return pa.Table.from_arrays([own.column("word"), own.column("n"), *map(pa.array, out)], names=["word", "n", *[f"v{i}" for i in range(len(out))]])
+
+    back = gram_blocks(sliced, slices, order).groupBy("block").applyInArrow(valued, "slice int, block int, values binary")
+    ddl = ", ".join(["word binary, n long", *[f"v{i} long" for i in range(len(models))]])
+    return sliced.groupBy("slice").cogroup(back.groupBy("slice")).applyInArrow(summed, ddl)
+
+
+def statistics(rows: DataFrame, values: DataFrame, *uses: str, frequent: int | None = None) -> DataFrame:
+    """Of rows (key, mark, half, text), in any order: (key, mark, x0, ...), the statistics by the settled `word_values` named.
+
+    `half` of a row stands for the name "other": the model of the other half, v1 or v2.
+    """
+    frequent = frequent or FREQUENT
+    tokens = values.agg(F.sum("n")).first()[0] or 0
+    often = values.where(F.col("n") * frequent >= tokens).drop("n").toArrow()
+    names = often.column_names[1:]
+    sent = rows.sparkSession.sparkContext.broadcast((often.column("word").to_pylist(), [np.append(often.column(c).to_numpy(), 0) for c in names]))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, known = sent.value
+        place, row = dict(zip(words, range(len(words)))), TaskContext.get().partitionId() << 33
         for batch in batches:
-            counts: dict[tuple[int, int], Counter] = {}
-            rows = zip(batch.column("half").to_pylist(), batch.column("toxic").to_pylist(), raw_texts(batch.column("text")), strict=True)
-            for half, toxic, raw in rows:
-                counts.setdefault((half, toxic), Counter()).update(folded_words(raw))
-            for (half, toxic), words in counts.items():
-                if not words:
-                    continue
-                codes, begins = grams(list(words), order)
-                weights = np.repeat(np.fromiter(words.values(), np.int64, len(words)), np.diff(np.append(begins, len(codes))))
-                found, at = np.unique(codes, return_inverse=True)
-                n = np.bincount(at, weights).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n << 2 | half << 1 | toxic)], names=["code", "tally"])
-
-    # Count, half and class move as one number.
-    counted = learned.select("half", "toxic", "text").mapInArrow(run, "code long, tally long")
-    # Moved by context, so that all signs after a context meet without another move.
-    context, n, toxic = F.expr(f"code div {SIGNS}"), F.shiftright("tally", 2), F.getbit("tally", F.lit(0)) == 1
-    counted = counted.repartition(context).select(context.alias("context"), F.getbit("tally", F.lit(1)).cast("int").alias("half"), "code", n.alias("n"), toxic.alias("toxic"))
-    sums = [F.sum(F.when(which, F.col("n")).otherwise(0)).alias(name) for name, which in (("toxic", F.col("toxic")), ("ordinary", ~F.col("toxic")))]
-    return counted.groupBy("context", "half", "code").agg(*sums)
+            heads, raws = batch.select(["key", "mark", "half"]), raw_texts(batch.column("text"))
+            for first in range(0, len(heads), 256):
+                own = heads.slice(first, 256)
+                lines = [folded_words(raw) for _, raw in zip(range(len(own)), raws)]
+                sizes = np.array([len(line) for line in lines])
+                every = [w for line in lines for w in line]
+                at = np.fromiter(map(place.get, every, repeat(-1)), np.int64, len(every))
+                of = np.repeat(np.arange(len(lines)), sizes)
+                half = own.column("half").to_numpy(zero_copy_only=False)
+                sums = []
+                for use in uses:
+                    found = np.where(half[of] == 0, known[names.index("v2")][at], known[names.index("v1")][at]) if use == "other" else known[names.index(use)][at]
+                    sums.append(np.add.reduceat(np.append(found, 0), np.cumsum(sizes) - sizes) * (sizes > 0))
+                rare = np.flatnonzero(at < 0)
+                ids = row + np.arange(len(lines))
+                row += len(lines)
+                # A text's own row bears a word of no text, so that it passes the join.
+                kept = [pa.array(np.append(ids, ids[of[rare]])), pa.array([*[b"\0%d" % i for i in ids], *[every[i] for i in rare]], pa.binary())]
+                kept += [pa.concat_arrays([own.column(c), own.column(c).take(pa.array(of[rare])) if c == "half" else pa.nulls(len(rare), own.column(c).type)]) for c in ("key", "mark", "half")]
+                kept += [pa.array(np.append(x, np.zeros(len(rare), np.int64))) for x in (sizes, *sums)]
+                yield pa.RecordBatch.from_arrays(kept, names=["row", "word", "key", "mark", "half", "words", *[f"s{i}" for i in range(len(uses))]])
+
+    ddl = ", ".join(["row long, word binary, key long, mark long, half int, words long", *[f"s{i} long" for i in range(len(uses))]])
+    met = rows.select("key", "mark", "half", "text").mapInArrow(run, ddl)
+    rest = values.where(F.col("n") * frequent < tokens).drop("n")
+    met = met.join(rest.hint("merge"), "word", "left")
+    more = [F.expr("if(half = 0, v2, v1)") if use == "other" else F.col(use) for use in uses]
+    sums = [F.sum(F.col(f"s{i}") + F.coalesce(v, F.lit(0))).alias(f"s{i}") for i, v in enumerate(more)]
+    whole = met.groupBy("row").agg(F.max("key").alias("key"), F.max("mark").alias("mark"), F.max("half").alias("half"), F.sum("words").alias("words"), *sums)
+    return whole.select("key", "mark", "half", *[F.when(F.col("words") > 0, F.col(f"s{i}") / F.lit(float(UNIT)) / F.col("words")).otherwise(0.0).alias(f"x{i}") for i in range(len(uses))])
 
 
 def with_marks(rows: DataFrame, marks: DataFrame) -> DataFrame:
@@ -229,51 +444,99 @@ def _fitted(table: np.ndarray, order: int = ORDER) -> Spelling | None:
     return Spelling.fit(codes, np.bincount(at, table[:, 1]), np.bincount(at, table[:, 2]), order)
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label_key: str = "doc_id", label: str = "toxic", order: int = LONG) -> ToxicityModel:
-    """Learn from the documents that `learn` (a condition on the key) admits and that have a label."""
+def _labelled(docs: DataFrame, labels: DataFrame, learn: Column, key: str, text: str, label_key: str, label: str) -> tuple[DataFrame, DataFrame]:
+    """The labels, one for each id; the texts (half, toxic, text) that are learned from, each moved once by id."""
     marks = labels.where(F.col(label).isNotNull() & F.col(label_key).isNotNull()).groupBy(F.col(label_key).cast("long").alias("label_id"))
     marks = marks.agg(F.max((F.col(label) != 0).cast("int")).alias("toxic"))
     rows = docs.where(learn & F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    # One kind of join at every size: texts move once, by id, and only those that may be learned from.
-    learned = settle(with_marks(rows, marks).hint("merge").join(marks, F.col("id") == F.col("label_id")).select(F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half"), "toxic", "text"))
-    shown = F.sum("toxic").over(Window.partitionBy("context"))
-    collected = count_grams(learned, order).withColumn("shown", shown).where("shown > 0").select("half", "code", "toxic", "ordinary").toArrow()
-    half = collected.column("half").to_numpy()
-    table = np.stack([collected.column(c).to_numpy().astype(np.int64) for c in ("code", "toxic", "ordinary")], axis=1)
-    del collected
-    whole, parts = _fitted(table, order), [_fitted(table[half == h], order) for h in (0, 1)]
-    n, toxic = learned.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    prior = toxic / n if n else 0.0
-    constant = ToxicityModel(None, 0.0, float(np.log(max(prior, 1e-12) / max(1 - prior, 1e-12))))
-    if whole is None:
-        return constant
-    sent = docs.sparkSession.sparkContext.broadcast([p or whole for p in parts])
-
-    def bins(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models, known = sent.value, ({}, {})
-        for batch in batches:
-            rows = zip(batch.column("half").to_pylist(), raw_texts(batch.column("text")), strict=True)
-            x = np.array([models[1 - h].statistics([raw], known[h])[0] for h, raw in rows])
-            yield pa.RecordBatch.from_arrays([pa.array(np.rint(x / BIN).astype(np.int64)), batch.column("toxic")], names=["bin", "toxic"])
+    # One kind of join at every size; only texts that may be learned from move.
+    met = with_marks(rows, marks).hint("merge").join(marks, F.col("id") == F.col("label_id"))
+    return marks, met.select(_half("id"), "toxic", "text")
 
-    counted = learned.select("half", "toxic", "text").mapInArrow(bins, "bin long, toxic int")
-    points = counted.groupBy("bin").agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).orderBy("bin").toArrow()
-    x, n_, positive = (points.column(c).to_numpy().astype(float) for c in ("bin", "n", "toxic"))
-    slope, offset = logistic(x * BIN, n_, positive)
-    return ToxicityModel(whole, slope, offset) if slope > 0 else constant
 
+def _half(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(2)).cast("int").alias("half")
 
-def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, carry: bool = False) -> DataFrame:
-    """Per document: doc_id, score, predicted.  The model grows with the contexts of the toxic texts."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def start():
-        scorer, known = sent.value, {}
+def _curve(points: DataFrame, spelling: DataFrame | None, order: int) -> ToxicityModel:
+    """The model with a curve through the learned statistics (x, toxic); without counts a constant."""
+    binned = points.groupBy(F.rint(F.col("x") / BIN).cast("long").alias("bin")).agg(F.count(F.lit(1)).alias("n"), F.sum("toxic").alias("toxic")).orderBy("bin").toArrow()
+    x, n, toxic = (binned.column(c).to_numpy().astype(float) for c in ("bin", "n", "toxic"))
+    if spelling is not None:
+        slope, offset = logistic(x * BIN, n, toxic)
+        if slope > 0:
+            return ToxicityModel(spelling, slope, offset, order)
+    prior = toxic.sum() / n.sum() if len(n) else 0.0
+    return ToxicityModel(None, 0.0, float(np.log(max(prior, 1e-12) / max(1 - prior, 1e-12))))
+
 
-        def make(raws: list[bytes]) -> list[pa.Array]:
-            scores = scorer.scores(raws, known)
-            return [pa.array(scores), pa.array((scores >= threshold).astype(np.int32))]
+def _models(words: DataFrame) -> list[tuple]:
+    """What to learn: all, and each half where it has words of both classes (else all); none without both classes."""
+    sums = words.agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in TALLIES]).first()
+    if not sums[0] + sums[2] or not sums[1] + sums[3]:
+        return []
+    return WHOLE + [part if sums[part[0]] and sums[part[1]] else WHOLE[0] for part in PARTS]
 
-        return make
 
-    return map_texts(docs, key, text, start, "score double, predicted int", carry)
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label_key: str = "doc_id", label: str = "toxic", order: int = LONG) -> ToxicityModel:
+    """Learn from the documents that `learn` (a condition on the key) admits and that have a label."""
+    with cleared() as staying:
+        learned = settle(_labelled(docs, labels, learn, key, text, label_key, label)[1])
+        counted = learned_words(learned)
+        spelling = settle(word_table(counted.union(counted.select("word", F.lit(-1), "n"))))
+        models = _models(spelling)
+        points = learned.select(F.lit(0.0).alias("x"), "toxic")
+        if models:
+            rows = learned.select(F.lit(None).cast("long").alias("key"), F.col("toxic").cast("long").alias("mark"), "half", "text")
+            points = statistics(rows, settle(word_values(spelling, models, order)), "other").select(F.col("x0").alias("x"), F.col("mark").alias("toxic"))
+        model = _curve(points, spelling if models else None, order)
+        staying += [spelling] if model.spelling is not None else []
+    return model
+
+
+def _rows(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, mark, half, text): the mark is a hash of the text."""
+    return key_and_text(docs, key, text).select("key", F.xxhash64("text").alias("mark"), _half("key"), "text")
+
+
+def _scored(docs: DataFrame, model: ToxicityModel, found: DataFrame | None, statistic: str, key: str, text: str, threshold: float, carry: bool) -> DataFrame:
+    """doc_id, score, predicted from statistics by key and mark, which equal texts of equal id share; with `carry` also the rows."""
+    if found is None:
+        rows = key_and_text(docs, key, text, carry).drop("text").withColumn("score", model.curve(F.lit(0.0)))
+    elif carry:
+        rows = key_and_text(docs, key, text, carry).select("key", F.xxhash64("text").alias("mark"), "row").alias("d")
+        one = found.groupBy("key", "mark").agg(F.max(statistic).alias(statistic)).alias("f")
+        rows = rows.join(one, F.col("d.key").eqNullSafe(F.col("f.key")) & (F.col("d.mark") == F.col("f.mark"))).select("d.key", "d.row", model.curve(F.col(statistic)).alias("score"))
+    else:
+        rows = found.select("key", model.curve(F.col(statistic)).alias("score"))
+    return rows.select(F.col("key").alias("doc_id"), *(["row"] if carry else []), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def score(docs: DataFrame, model: ToxicityModel, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, carry: bool = False) -> DataFrame:
+    """Per document: doc_id, score, predicted."""
+    if model.spelling is None:
+        return _scored(docs, model, None, "x0", key, text, threshold, carry)
+    rows = _rows(docs, key, text)
+    with cleared() as staying:
+        words = model.spelling.withColumn("n", F.lit(0).cast("long"))
+        words = words.union(word_table(count_words(rows, F.lit(-1)))).groupBy("word").agg(*[F.sum(c).alias(c) for c in ("n", *TALLIES)])
+        values = settle(word_values(settle(words), WHOLE, model.order))
+        found = settle(statistics(rows, values, "v0"))
+        staying.append(found)
+    return _scored(docs, model, found, "x0", key, text, threshold, carry)
+
+
+def fit_and_score(docs: DataFrame, labels: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label_key: str = "doc_id", label: str = "toxic", order: int = LONG, threshold: float = THRESHOLD, carry: bool = False) -> DataFrame:
+    """`score` of the documents by a `fit` on them: words are valued, and texts looked up, only once."""
+    rows = _rows(docs, key, text)
+    with cleared() as staying:
+        marks, learned = _labelled(docs, labels, learn, key, text, label_key, label)
+        words = settle(word_table(learned_words(learned).union(count_words(rows, F.lit(-1)))))
+        models = _models(words)
+        found = rows.select("key", "mark", F.lit(0.0).alias("x0"), F.lit(0.0).alias("x1"))
+        if models:
+            found = settle(statistics(rows, settle(word_values(words, models, order)), "v0", "other"))
+            staying.append(found)
+        points = found.withColumnRenamed("key", key).where(learn).join(marks, F.col(key) == F.col("label_id")).select(F.col("x1").alias("x"), "toxic")
+        model = _curve(points, words if models else None, order)
+    return _scored(docs, model, found if model.spelling is not None else None, "x0", key, text, threshold, carry)

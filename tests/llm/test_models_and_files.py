@@ -13,8 +13,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from heliovane.llm import decontaminate, htmltext, langid, orctokens, queries, sentencepieces, toxicity
-from heliovane.llm.common import crc_remainder
-from heliovane.session import scratch_path
+from heliovane.llm.common import crc_remainder, folded_words
+from heliovane.session import scratch_path, settle
 from tests.llm.helpers import ODD, SF, documents, texts
 from tests.llm.test_near_duplicates import brute_components, brute_simhash
 from tests.llm.test_text_operators import brute_hits, brute_windows
@@ -275,3 +275,44 @@ def test_prefilter_keeps_every_marked_row(spark):
     assert len(kept) == len(set(kept)) < 1.01 * 40_000 / 7
     assert toxicity.with_marks(rows, marks.limit(0)).count() == 0
     assert toxicity.with_marks(rows.limit(0), marks).count() == 0
+
+
+def test_toxicity_counts_all_contexts(spark, monkeypatch):
+    """Word differences dealt over slices and blocks equal one model of every n-gram, also after contexts of one class only."""
+    rng = random.Random(2)
+    rows = [(rng.randint(0, 1), t, " ".join("".join(rng.choices("abcdefg", weights=(5, 1, 1, 1, 1, 1, 1 + 4 * t), k=rng.randint(1, 14))) for _ in range(40))) for t in (0, 1) for _ in range(30)]
+    learned = spark.createDataFrame(rows, "half int, toxic int, text string")
+    monkeypatch.setattr(toxicity, "SLICE", 100)
+    words = settle(toxicity.word_table(toxicity.count_words(learned.selectExpr("0 AS half", "0 AS toxic", "concat(text, ' zebra abz') AS text"), F.lit(-1)).union(toxicity.learned_words(learned))))
+    got = {r["word"].decode(): [r[f"v{i}"] / toxicity.UNIT for i in range(3)] for r in toxicity.word_values(words, toxicity.WHOLE + toxicity.PARTS, toxicity.LONG).collect()}
+    for i, halves in enumerate(((0, 1), (0,), (1,))):
+        counts = {t: Counter(w for h, c, text in rows if c == t and h in halves for w in text.split()) for t in (0, 1)}
+        tables = []
+        for t, found in counts.items():
+            for word, n in found.items():
+                tables += [(code, n * t, n * (1 - t)) for code in toxicity.grams([word.encode()], toxicity.LONG)[0].tolist()]
+        model = toxicity._fitted(np.array(tables), toxicity.LONG)
+        toxic = {code // toxicity.SIGNS for code, n, _ in tables if n}
+        assert any(c // toxicity.SIGNS not in toxic for c in model.codes.tolist())
+        for word, values in got.items():
+            if i == 0 or word not in ("zebra", "abz"):
+                assert abs(values[i] - model.differences([word.encode()])[0]) < 1e-5, (i, word)
+
+
+@pytest.mark.parametrize("frequent", [toxicity.FREQUENT, 1])
+def test_toxicity_rare_words_and_reused_fits(spark, monkeypatch, frequent):
+    """Words that meet their difference in a join add up like broadcast ones, and a stored fit scores like the one pass."""
+    monkeypatch.setattr(toxicity, "FREQUENT", frequent)
+    docs, labels, learn = documents(spark).select("doc_id", "text"), spark.read.parquet(f"{SF}/labels.parquet"), crc_remainder(F.col("doc_id"), 4) != 2
+    model = toxicity.fit(docs, labels, learn)
+    raws = [r["text"] for r in docs.orderBy("doc_id").collect()]
+    tables, marks = [], {r["doc_id"]: r["toxic"] for r in labels.collect()}
+    for r in docs.where(learn).collect():
+        if r["doc_id"] in marks:
+            codes, _ = toxicity.grams(folded_words(r["text"].encode()), toxicity.LONG)
+            tables += [(c, marks[r["doc_id"]], 1 - marks[r["doc_id"]]) for c in codes.tolist()]
+    plain = toxicity._fitted(np.array(tables), toxicity.LONG)
+    x = np.array([plain.differences(folded_words(t.encode())).mean() for t in raws])
+    want = 1 / (1 + np.exp(-np.clip(model.slope * x + model.offset, -30, 30)))
+    once = [r["score"] for r in toxicity.fit_and_score(docs, labels, learn).orderBy("doc_id").collect()]
+    assert np.allclose(model.scores([t.encode() for t in raws], {}), want, atol=2e-3) and np.allclose(once, want, atol=2e-3)
