@@ -9,10 +9,11 @@ a pre-token there and pieces of B hold markers at their start only.  So a text i
 spaces, each distinct chunk is tokenized and aligned once per worker (`common.Memo`), and a text's
 tokens, groups and links are those of its chunks.
 
-How many documents hold a linked pair of ids takes two passes.  The first gathers each task's
-distinct pairs with their counts.  They get a minimal perfect hash (built in Spark by shards of at most
+How many documents hold a linked pair of ids is known once all are aligned.  So the texts are read once:
+a task writes each document's distinct pairs, in 4 bytes each, and the counts of its own distinct
+pairs to the shared folder.  The pairs get a minimal perfect hash (built in Spark by shards of at most
 `SHARD_KEYS` or so), every task adds its counts into dense vectors indexed by it, and these are summed
-slice by slice.  The second pass aligns the documents again and looks its pairs up, each checked
+slice by slice.  Then the documents' pairs are read back and looked up, each checked
 against the key at its index.  Hash, keys and counts are broadcast, so they hold at most
 `DENSE_KEYS` pairs: those in the most documents.  Pairs beyond them travel once for each document
 that holds them and meet their counts in a join; none of them can be a hot key, as each is in at most
@@ -53,6 +54,8 @@ SHARD_KEYS = 1 << 19
 SLICE = 1 << 14
 #: A task emits its pairs when it holds this many.
 HELD_PAIRS = 1 << 21
+#: Pairs that are looked up at a time.
+LOOKED_UP = 1 << 18
 #: How byte-level BPE splits text before merging (fixed values of this kind of tokenizer).
 PRETOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CHUNK = re.compile(rb" +[^ ]*(?:(?<=[\t-\r]) +[^ ]*)*")
@@ -221,32 +224,93 @@ def _counted(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarr
     return pairs, np.bincount(at, weights=np.concatenate(counts), minlength=len(pairs)).astype(np.int64)
 
 
+class PairCounts:
+    """The documents of each pair so far, emitted as batches (pair, docs) of bounded size."""
+
+    def __init__(self):
+        self._start(np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def _start(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.keys, self.counts, self.held = [keys], [counts], len(keys)
+
+    def rest(self) -> list[pa.Array]:
+        found = [pa.array(x) for x in _counted(self.keys, self.counts)]
+        self._start(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        return found
+
+    def add(self, distinct: list[np.ndarray]) -> Iterator[list[pa.Array]]:
+        """Some documents' distinct pairs."""
+        pairs, count = np.unique(np.concatenate(distinct), return_counts=True)
+        self.keys.append(pairs)
+        self.counts.append(count)
+        self.held += len(pairs)
+        if self.held > HELD_PAIRS:
+            self._start(*_counted(self.keys, self.counts))
+            if self.held > HELD_PAIRS // 2:
+                yield self.rest()
+
+
 def pair_runs(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
     """(pair, docs): the documents of a part of a task in which a pair is linked."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, keys, counts = aligner(a_path, b_path, with_text=False), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        held = 0
+        known, held = aligner(a_path, b_path, with_text=False), PairCounts()
+        for batch in batches:
+            for raws in bunches(raw_texts(batch.column("text"))):
+                for found in held.add([np.unique(links_of(chunks)) for chunks in known(raws)]):
+                    yield pa.RecordBatch.from_arrays(found, names=["pair", "docs"])
+        yield pa.RecordBatch.from_arrays(held.rest(), names=["pair", "docs"])
+
+    return docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "pair long, docs long")
+
 
-        def emitted() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(x) for x in _counted(keys, counts)], names=["pair", "docs"])
+#: What a document's own tokens give, then its distinct pairs in 4 or 8 bytes each and how often it links them.
+_OWN = "doc_id: long, n_a: long, n_b: long, n_groups: long, groups_sha256: string, distinct: long, pairs: binary, times: binary"
+
+
+def aligned_rows(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row with `own` for each document, and the rows (pair, docs) of `pair_runs`, in one pass over the texts."""
+    names, kinds = [f.split(":")[0].strip() for f in _OWN.split(",")], [pa.int64()] * 4 + [pa.string(), pa.int64(), pa.binary(), pa.binary()]
+    kind = pa.struct(list(zip(names, kinds, strict=True)))
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, held = aligner(a_path, b_path), PairCounts()
+        packed = np.dtype(np.uint32 if len(known.a_sizes) * known.width <= 1 << 32 else np.int64)
+
+        def counted(found: list[pa.Array]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*found, pa.nulls(len(found[0]), kind)], names=["pair", "docs", "own"])
 
         for batch in batches:
+            ids = iter(batch.column("key").to_pylist())
             for raws in bunches(raw_texts(batch.column("text"))):
-                pairs = [np.unique(links_of(chunks)) for chunks in known(raws)]
-                pairs, count = np.unique(np.concatenate(pairs), return_counts=True)
-                keys.append(pairs)
-                counts.append(count)
-                held += len(pairs)
-                if held > HELD_PAIRS:
-                    key, count = _counted(keys, counts)
-                    keys, counts, held = [key], [count], len(key)
-                    if held > HELD_PAIRS // 2:
-                        yield emitted()
-                        keys, counts, held = [key[:0]], [count[:0]], 0
-        yield emitted()
+                texts, rows, distinct = known(raws), [], []
+                for chunks in texts:
+                    pairs, times = np.unique(links_of(chunks), return_counts=True)
+                    distinct.append(pairs)
+                    n_a, n_b, n_groups, _, written = zip(*chunks) if chunks else ((), (), (), (), ())
+                    digest = hashlib.sha256(b"".join(written)[:-1]).hexdigest() if chunks else ""
+                    times = times.astype(np.min_scalar_type(times.max(initial=0)))
+                    rows.append((next(ids), sum(n_a), sum(n_b), sum(n_groups), digest, len(pairs), pairs.astype(packed).tobytes(), times.tobytes()))
+                own = pa.StructArray.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds, strict=True)], names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(own), pa.int64()), pa.nulls(len(own), pa.int64()), own], names=["pair", "docs", "own"])
+                yield from map(counted, held.add(distinct))
+        yield counted(held.rest())
 
-    return docs.select(F.col(f"`{text}`").cast("string").alias("text")).mapInArrow(run, "pair long, docs long")
+    return key_and_text(docs, key, text).mapInArrow(run, f"pair long, docs long, own struct<{_OWN}>")
+
+
+def _some_pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch's documents, of about LOOKED_UP pairs together at a time."""
+    group = np.cumsum(batch.column("distinct").to_numpy()) // LOOKED_UP
+    starts = np.flatnonzero(np.diff(group, prepend=-1))
+    for i, n in zip(starts.tolist(), np.diff(starts, append=len(group)).tolist(), strict=True):
+        yield batch.slice(i, n)
+
+
+def _numbers(blobs: pa.Array, sizes: np.ndarray) -> np.ndarray:
+    """The unsigned numbers of binary values with so many each."""
+    found = [np.frombuffer(b.as_buffer(), f"u{len(b.as_buffer()) // n}") for b, n in zip(blobs, sizes.tolist(), strict=True) if n]
+    return np.concatenate([np.zeros(0, np.int64), *[f.astype(np.int64) for f in found]])
 
 
 def hashed(keys: DataFrame, n: int) -> ShardedHash:
@@ -319,7 +383,8 @@ def summarize(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", te
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     spark, width = docs.sparkSession, vocabulary_size(b_path)
     with cleared() as staying:
-        runs = settle(pair_runs(docs, a_path, b_path, text))
+        both = settle(aligned_rows(docs, a_path, b_path, key, text))
+        runs = both.where("pair is not null").select("pair", "docs")
         keys, rest = settle(runs.select("pair").distinct()), None
         n = keys.count()
         if n > dense_keys:
@@ -339,30 +404,27 @@ def summarize(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", te
         table = spark.sparkContext.broadcast((index, counts, a_best))
 
         def look_up(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            known, (index, counts, a_best), row = aligner(a_path, b_path), table.value, TaskContext.get().partitionId() << 33
-            for batch in batches:
-                ids, heads, others = iter(batch.column("key").to_pylist()), [], []
-                for raws in bunches(raw_texts(batch.column("text"))):
-                    texts = known(raws)
-                    found = [np.unique(links_of(chunks), return_counts=True) for chunks in texts]
-                    cuts = np.cumsum([0, *[len(p) for p, _ in found]])
-                    pairs, times = (np.concatenate([f[i] for f in found]) for i in (0, 1))
-                    at = index.find(pairs)
-                    count = np.where(at >= 0, counts[at], 0) if len(counts) else np.zeros(len(at), np.int64)
-                    best = (count == a_best[pairs // width]) & (at >= 0) if len(pairs) else at
-                    n_links, n_best, total = (np.diff(np.concatenate([[0], np.cumsum(x)])[cuts]).tolist() for x in (times, times * best, times * count))
-                    if (at < 0).any():
-                        others.append((row + np.searchsorted(cuts, np.flatnonzero(at < 0), "right") - 1, pairs[at < 0], times[at < 0]))
-                    for i, chunks in enumerate(texts):
-                        n_a, n_b, n_groups, _, written = zip(*chunks) if chunks else ((), (), (), (), ())
-                        digest = hashlib.sha256(b"".join(written)[:-1]).hexdigest() if chunks else ""
-                        heads.append((row, (next(ids), sum(n_a), sum(n_b), sum(n_groups), n_links[i], n_best[i], total[i], digest)))
-                        row += 1
-                yield _rows(heads, others)
-
-        rows = key_and_text(docs, key, text).mapInArrow(look_up, f"row long, pair long, times long, head struct<{_HEAD}>")
+            (index, counts, a_best), row = table.value, TaskContext.get().partitionId() << 33
+            for batch in chain.from_iterable(map(_some_pairs, batches)):
+                sizes = batch.column("distinct").to_numpy()
+                of = np.repeat(np.arange(len(sizes)), sizes)
+                pairs, times = _numbers(batch.column("pairs"), sizes), _numbers(batch.column("times"), sizes)
+                at = index.find(pairs)
+                count = np.where(at >= 0, counts[at], 0) if len(counts) else np.zeros(len(at), np.int64)
+                best = (count == a_best[pairs // width]) & (at >= 0) if len(pairs) else at
+                cuts = np.concatenate([[0], np.cumsum(sizes)])
+                sums = [np.diff(np.concatenate([[0], np.cumsum(x)])[cuts]) for x in (times, times * best, times * count)]
+                names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+                head = [pa.array(sums[names.index(c) - 4]) if c in names[4:7] else batch.column(c) for c in names]
+                open_, n = np.flatnonzero(at < 0), len(sizes)
+                yield _rows(row + np.arange(n), pa.StructArray.from_arrays(head, names), row + of[open_], pairs[open_], times[open_])
+                row += n
+
+        own = both.where("own is not null").select("own.*")
+        rows = own.mapInArrow(look_up, f"row long, pair long, times long, head struct<{_HEAD}>")
         if rest is None:
-            return rows.select("head.*")
+            staying.append(result := settle(rows.select("head.*")))
+            return result
         rows = settle(rows)  # read twice, and the row numbers must be the same ones
         found = rows.where("pair is not null").join(rest, "pair")
         a = F.call_function("div", F.col("pair"), F.lit(width))
@@ -378,16 +440,10 @@ def summarize(docs: DataFrame, a_path: str, b_path: str, key: str = "doc_id", te
     return result
 
 
-def _rows(heads: list[tuple[int, tuple]], others: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+def _rows(row: np.ndarray, heads: pa.StructArray, rows: np.ndarray, pairs: np.ndarray, times: np.ndarray) -> pa.RecordBatch:
     """One row with `head` for each document, and one with `pair` and `times` for each pair that still needs its count."""
-    names = [f.split(":")[0].strip() for f in _HEAD.split(",")]
-    kind = pa.struct([(n, pa.string() if n == "groups_sha256" else pa.int64()) for n in names])
-    more = sum(len(p) for _, p, _ in others)
-    pairs, times = ([np.concatenate([o[i] for o in others])] if others else [] for i in (1, 2))
     none = pa.nulls(len(heads), pa.int64())
-    row = np.concatenate([np.array([r for r, _ in heads], np.int64), *[r for r, _, _ in others]])
     return pa.RecordBatch.from_arrays(
-        [pa.array(row), pa.concat_arrays([none, *map(pa.array, pairs)]), pa.concat_arrays([none, *map(pa.array, times)]),
-         pa.concat_arrays([pa.array([dict(zip(names, h, strict=True)) for _, h in heads], kind), pa.nulls(more, kind)])],
+        [pa.array(np.concatenate([row, rows])), pa.concat_arrays([none, pa.array(pairs)]), pa.concat_arrays([none, pa.array(times)]), pa.concat_arrays([heads, pa.nulls(len(pairs), heads.type)])],
         names=["row", "pair", "times", "head"],
     )

@@ -7,6 +7,7 @@ import random
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
@@ -151,3 +152,30 @@ def test_long_texts_empty_tables_and_other_columns(spark, monkeypatch):
     assert alignment.summarize(texts(spark, []), A, B).collect() == []
     clash = spark.createDataFrame([(1, "one two", 5, 5, 5, "h"), (2, None, 5, 5, 5, "h")], "doc_id int, text string, row int, pair int, n_a int, head string")
     assert ordered(alignment.summarize(clash, A, B).collect()) == ordered(brute([(1, "one two"), (2, None)]))
+
+
+@pytest.mark.parametrize("dense", [alignment.DENSE_KEYS, 5])
+def test_texts_are_read_and_aligned_once(spark, dense):
+    rows = [(i, f"word the Word {i % 7} {i} été") for i in range(50)] + [(900, None), (901, "x y " * 2000)]
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    docs = texts(spark, rows).select("doc_id", "text")
+    got = alignment.summarize(docs.mapInArrow(counted, docs.schema), A, B, dense_keys=dense).collect()
+    assert read.value == len(rows)
+    assert ordered(got) == ordered(brute(rows))
+
+
+def test_pairs_are_looked_up_some_at_a_time(monkeypatch):
+    monkeypatch.setattr(alignment, "LOOKED_UP", 10)
+    sizes = [5, 0, 3, 7, 0, 100, 1, 0]
+    batch = pa.RecordBatch.from_arrays([pa.array(sizes), pa.array([np.arange(n, dtype=t).tobytes() for n, t in zip(sizes, [np.uint8, np.uint32] * 4)], pa.binary())], names=["distinct", "pairs"])
+    some = list(alignment._some_pairs(batch))
+    assert [b.column("distinct").to_pylist() for b in some] == [[5, 0, 3], [7, 0], [100, 1, 0]]
+    found = np.concatenate([alignment._numbers(b.column("pairs"), b.column("distinct").to_numpy()) for b in some])
+    assert found.tolist() == [i for n in sizes for i in range(n)]
+    assert list(alignment._some_pairs(batch.slice(0, 0))) == []
