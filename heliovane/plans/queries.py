@@ -163,7 +163,9 @@ def ingest_payloads(spark: SparkSession, sf: str) -> DataFrame:
 def ingest_lines(spark: SparkSession, sf: str) -> DataFrame:
     """One document per line of text files, the point taken from the folder."""
     landed = scratch_path(spark, "lines")
-    derived.payloads(spark, sf).select("payload", "point_id").write.partitionBy("point_id").text(landed)
+    # By point first: a folder then holds one file, not one from every task that has a year of its point.
+    documents = derived.payloads(spark, sf).select("payload", "point_id").repartition("point_id")
+    documents.write.partitionBy("point_id").text(landed)
     wanted = payloads.mapping_of(MAIN_VARIABLES)
     return rounded(payloads.ingest(spark, landed, "lines", columns=wanted).select("point_id", "date", *MAIN_VARIABLES))
 

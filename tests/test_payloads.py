@@ -1,8 +1,11 @@
 import datetime
 import json
+from pathlib import Path
 
 import pytest
 
+from heliovane import session
+from heliovane.plans import queries
 from heliovane.schema import OBSERVATION_SCHEMA, VARIABLES
 from heliovane.sources.payloads import ingest, ingest_with_problems, mapping_of, parse_payloads, payload_status, scan_payloads
 
@@ -178,3 +181,17 @@ def test_odd_files_do_not_stop_the_others(spark, tmp_path):
     assert found == {(9, "point_9.json", "empty"), (8, "point_8.json", "unreadable"), (None, "readme.json", "no point")}
     with pytest.raises(Exception, match="no point number in file name"):
         ingest(spark, str(tmp_path), name_pattern=r"point_(\d+)").collect()
+
+
+def test_a_points_lines_are_landed_as_one_file(spark, conf, tmp_path):
+    """A folder's files do not multiply with the tasks that hold the years of its point."""
+    conf(spark__sql__adaptive__coalescePartitions__enabled="false")
+    items = [(i, i % 5, i % 7 + 1, 1.0 + i, 2000.0 + i, 0.01, datetime.datetime(1992 + i % 6, 1 + i % 12, 3)) for i in range(600)]
+    kinds = "l_orderkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, l_tax DOUBLE, l_shipdate TIMESTAMP_NTZ"
+    spark.createDataFrame(items, kinds).write.parquet(str(tmp_path / "lineitem.parquet"))
+    shared = Path(session.shared_dir(spark).removeprefix("file:"))
+    before = set(shared.glob("lines-*"))
+    found = queries.ingest_lines(spark, str(tmp_path))
+    (landed,) = set(shared.glob("lines-*")) - before
+    assert {f.name: len(list(f.glob("*.txt"))) for f in landed.glob("point_id=*")} == {f"point_id={i}": 1 for i in range(5)}
+    assert {(r["point_id"], r["date"]) for r in found.collect()} == {(i[1], i[6].date()) for i in items}
