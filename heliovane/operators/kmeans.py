@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
-import math
 from typing import Protocol
 
 from pyspark.ml.clustering import KMeans
@@ -14,10 +13,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from heliovane.operators.features import Scaling, feature_columns, fit_scaling
+from heliovane.operators.nearest import finder
 from heliovane.schema import DEFAULT_SEED, MEAN_COLUMNS
 from heliovane.session import cleared, settle
 
-# About how many centroids one pass over the points compares them with.
+# About how many centroids one pass over the points compares them with in an array.
 CENTROIDS = 1 << 16
 
 
@@ -37,108 +37,60 @@ def _nearest(features: Sequence[str], centers: Column) -> Column:
     )
 
 
-# From this many centroids on they are searched by groups.
+# From this many centroids on they are searched in a tree, of about so many values a pass.
 GROUPED = 64
-# A group is left out only if its bound is above the best distance by more than rounding.
-_MARGIN = 1e-9
-
-
-def _grouped(block: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One row of centroids as an array of groups: (lead, radius, members).
-
-    About the square root of the centroids, those with the smallest hashes, lead; every
-    centroid belongs to its nearest lead, and a group's radius is its farthest member's
-    distance.  ``block`` is a written table of a bounded number of centroids.
-    """
-    entry = F.struct("cluster_id", *features)
-    leads = max(1, math.isqrt(block.count()))
-    order = F.struct(F.xxhash64("cluster_id", *features).alias("h"), entry.alias("c"))
-    chosen = block.agg(F.slice(F.sort_array(F.collect_set(order)), 1, leads)["c"].alias("leads")).scalar()
-    near = F.array_min(
-        F.transform("_leads", lambda c: F.struct(squared_distance(features, c).alias("d2"), c.alias("lead")))
-    )
-    joined = block.withColumn("_leads", chosen).select(entry.alias("c"), near.alias("near"))
-    groups = joined.groupBy(F.col("near.lead").alias("lead")).agg(
-        F.sqrt(F.max("near.d2")).alias("radius"), F.sort_array(F.collect_set("c")).alias("members")
-    )
-    return groups.agg(F.sort_array(F.collect_list(F.struct("lead", "radius", "members"))).alias("groups"))
-
-
-def _nearest_grouped(features: Sequence[str], groups: Column) -> Column:
-    """Struct (distance2, cluster_id, compared): the nearest entry, and how many were compared.
-
-    Leads first; then only the members of groups that, by the triangle inequality, can hold a
-    nearer entry or one as near with a lower id.
-    """
-
-    def measured(c: Column) -> Column:
-        return F.struct(squared_distance(features, c).alias("distance2"), c["cluster_id"].alias("cluster_id"))
-
-    leads = F.transform(
-        groups, lambda g: F.struct(measured(g["lead"]).alias("near"), g["radius"].alias("radius"), g["members"].alias("members"))
-    )
-    best = F.array_min(F.transform(groups, lambda g: measured(g["lead"])))
-    start = F.struct(best.alias("near"), F.size(groups).cast("bigint").alias("compared"))
-
-    def visit(found: Column, group: Column) -> Column:
-        reach = F.sqrt(found["near"]["distance2"]) + group["radius"]
-        away = F.sqrt(group["near"]["distance2"])
-        inside = F.array_min(F.transform(group["members"], measured))
-        compared = found["compared"] + F.size(group["members"])
-        closer = F.struct(F.least(found["near"], inside).alias("near"), compared.alias("compared"))
-        return F.when(away > reach * (1 + _MARGIN) + 1e-300, found).otherwise(closer)
-
-    def flat(found: Column) -> Column:
-        near = found["near"]
-        return F.struct(near["distance2"].alias("distance2"), near["cluster_id"].alias("cluster_id"), found["compared"].alias("compared"))
-
-    # Nearest leads first: the best distance shrinks early.
-    ordered = F.array_sort(F.transform(leads, lambda g: F.struct(g["near"]["distance2"].alias("d2"), g.alias("g"))))
-    return F.aggregate(ordered, start, lambda found, g: visit(found, g["g"]), flat)
+VALUES = 1 << 22
 
 
 def assign_nearest(
     df: DataFrame,
     centroids: DataFrame,
     features: Sequence[str],
-    at_once: int = CENTROIDS,
+    at_once: int | None = None,
     grouped_from: int = GROUPED,
     compared: str | None = None,
 ) -> DataFrame:
     """Add ``cluster_id`` and ``distance2`` of the nearest row of a centroid table.
 
-    The centroid table (cluster_id, features) becomes an array through a scalar
-    subquery and is searched in place: no shuffle of the points.  Centroids are counted
-    first and dealt by hash into arrays of about ``at_once``; beyond one array each
-    further one is a pass over a written table that carries the nearest so far.  From
-    ``grouped_from`` centroids on an array is searched by groups, most of which the triangle
-    inequality rules out; the result is the same.  ``compared`` names a column for how many
-    centroids a row was compared with.  A row with a NULL feature gets NULLs.
+    The points are not shuffled.  A few centroids become an array through a scalar subquery and
+    are searched in place; from ``grouped_from`` on (if all features are doubles) they are
+    broadcast as a tree, most of which the best distance so far rules out; the result is the
+    same.  Centroids are counted first and dealt by hash into passes of about ``at_once``
+    (``CENTROIDS`` in an array, ``VALUES`` feature values in a tree); beyond one pass each further
+    one is over a written table that carries the nearest so far.  ``compared`` names a column for
+    how many centroids a row was compared with.  A row with a NULL feature gets NULLs.
     """
     rows = centroids.select("cluster_id", *features)
     number = rows.count()
+    doubles = {kind for frame in (df, rows) for _, kind in frame.select(*features).dtypes} == {"double"}
+    in_tree = number >= grouped_from and doubles
+    at_once = at_once or (max(1, VALUES // len(features)) if in_tree else CENTROIDS)
     passes = max(1, -(-number // at_once))
-    by_groups = number >= grouped_from
     dealt = F.pmod(F.xxhash64("cluster_id", *features), F.lit(passes))
     known = reduce(lambda a, b: a & b, [F.col(f).isNotNull() for f in features])
-    written = settle(rows.where(known)) if by_groups else rows
+    written = settle(rows.where(known)) if in_tree else rows
 
     def with_nearest(to: DataFrame, block: int) -> DataFrame:
         mine = written.where(dealt == block)
-        if by_groups:
-            held = to.withColumn("_centers", _grouped(mine, features).scalar())
-            near = F.when(known, _nearest_grouped(features, F.col("_centers")))
-        else:
-            held = to.withColumn("_centers", mine.agg(F.sort_array(F.collect_set(F.struct("cluster_id", *features))).alias("centers")).scalar())
-            plain = _nearest(features, F.col("_centers"))
-            near = F.struct(plain["distance2"].alias("distance2"), plain["cluster_id"].alias("cluster_id"), F.size("_centers").cast("bigint").alias("compared"))
+        if in_tree:
+            found = finder(mine, features)
+            return to.withColumn("_next", F.when(known, found(F.col("_near.distance2") if block else None)))
+        held = to.withColumn("_centers", mine.agg(F.sort_array(F.collect_set(F.struct("cluster_id", *features))).alias("centers")).scalar())
+        plain = _nearest(features, F.col("_centers"))
+        near = F.struct(plain["distance2"].alias("distance2"), plain["cluster_id"].alias("cluster_id"), F.size("_centers").cast("bigint").alias("compared"))
         return held.withColumn("_next", near).drop("_centers")
 
+    def nearer() -> Column:
+        if not in_tree:
+            return F.least("_near", "_next")
+        # A search that found nothing as near has a NULL distance.
+        return F.when(F.col("_next.distance2").isNull(), F.col("_near")).when(F.col("_near.distance2").isNull(), F.col("_next")).otherwise(F.least("_near", "_next"))
+
     found = with_nearest(df, 0).withColumnRenamed("_next", "_near")
     for block in range(1, passes):
         both = with_nearest(settle(found), block)
         total = F.col("_near.compared") + F.col("_next.compared")
-        found = both.withColumn("_near", F.least("_near", "_next").withField("compared", total)).drop("_next")
+        found = both.withColumn("_near", nearer().withField("compared", total)).drop("_next")
     added = {"cluster_id": F.col("_near.cluster_id"), "distance2": F.col("_near.distance2")}
     if compared is not None:
         added[compared] = F.col("_near.compared")

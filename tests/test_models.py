@@ -119,3 +119,27 @@ def test_a_new_session_labels_alike(spark, tmp_path):
     )
     done = subprocess.run([sys.executable, "-c", code, str(tmp_path / "model")], cwd=HERE, capture_output=True, text=True, timeout=180)
     assert f"model {model!r}" in done.stdout
+
+
+def test_a_search_keeps_comparisons_few_as_centroids_grow(spark):
+    """Some leaves of a tree, where groups around leads had more than their square root, and the numbers of a full search."""
+    points, centers = scattered(300), scattered(20_000, seed=6)
+    few, full = nearest(spark, points, centers), nearest(spark, points, centers, grouped_from=1 << 20)
+    assert {i: (r["distance2"], r["cluster_id"]) for i, r in few.items()} == {i: (r["distance2"], r["cluster_id"]) for i, r in full.items()}
+    assert sum(r["compared"] for r in few.values()) < 200 * len(points)
+
+
+@pytest.mark.parametrize("at_once", [1 << 16, 40])
+def test_a_search_of_numbers_that_are_not_finite(spark, at_once):
+    inf, nan = float("inf"), float("nan")
+    centers = [*scattered(90), (-3, nan, 0.0), (-2, inf, 1.0), (-1, -inf, nan), (95, 1e200, 0.0), (96, inf, 1.0)]
+    points = [(1, 0.5, 0.5), (2, inf, 1.0), (3, nan, 1.0), (4, -1e200, 0.0), (5, 3.0, -inf), (6, 9e199, 0.0)]
+    found = nearest(spark, points, centers, at_once=at_once)
+    full = nearest(spark, points, centers, grouped_from=1 << 20)
+    assert {i: repr((r["distance2"], r["cluster_id"])) for i, r in found.items()} == {i: repr((r["distance2"], r["cluster_id"])) for i, r in full.items()}
+
+
+def test_features_that_are_no_doubles_keep_their_kind(spark):
+    whole = spark.createDataFrame([(i, i % 9, i % 7) for i in range(100)], "cluster_id INT, a INT, b INT")
+    found = kmeans.assign_nearest(whole.withColumnRenamed("cluster_id", "id"), whole, FEATURES)
+    assert dict(found.dtypes)["distance2"] != "double" and {r["distance2"] for r in found.collect()} == {0}
