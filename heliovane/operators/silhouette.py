@@ -5,101 +5,171 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from heliovane.session import settle
 
-BLOCK_ROWS = 2048
+#: Tables of fewer points are measured in one task; pairs that a task measures at most, if that leaves enough tasks.
+BLOCK_ROWS, TASK_PAIRS = 2048, 1 << 33
+#: Numbers (features and sums by label) that a task holds of its near block.
+HELD = 1 << 23
+#: Pairs whose distances are worked out at a time, and of how many far points.
+TILE, FAR = 1 << 17, 2048
+#: From this many features on squares come from norms and products; pairs nearer than CLOSE of their norms are measured by differences.
+WIDE, CLOSE = 16, 1e-5
 #: Points that an estimate may measure everything against.
 SAMPLED = 1 << 14
 
+_SUMS = "labelling string, point_id bigint, own_label bigint, label bigint, distance_sum double, n_points bigint"
 
-def _distance_sums(spread: DataFrame, labellings: Sequence[str], width: int) -> DataFrame:
+
+def _tile_distances(near: np.ndarray, far: np.ndarray, columns: list[np.ndarray], norms: tuple[np.ndarray, np.ndarray] | None) -> np.ndarray:
+    """All distances of some near points to some far ones; without norms by differences."""
+    if norms is None:
+        squares, difference = np.zeros((len(near), len(far))), np.empty((len(near), len(far)))
+        for axis, column in enumerate(columns):
+            np.subtract(near[:, axis, None], column, out=difference)
+            np.multiply(difference, difference, out=difference)
+            np.add(squares, difference, out=squares)
+        return np.sqrt(squares, out=squares)
+    both = np.add(norms[0][:, None], norms[1])
+    squares = near @ far.T
+    squares *= -2
+    squares += both
+    both *= CLOSE
+    # Where little is left of the norms, rounding would show.
+    row, column = np.nonzero(squares < both)
+    for i in range(0, len(row), TILE // 8):
+        r, c = row[i : i + TILE // 8], column[i : i + TILE // 8]
+        squares[r, c] = ((near[r] - far[c]) ** 2).sum(1)
+    return np.sqrt(squares, out=squares)
+
+
+class _Block:
+    """The near points of a task, and by labelling and label the sums of their distances to the far ones seen so far."""
+
+    def __init__(self, batches: list[pa.RecordBatch], width: int, names: list[str]):
+        self.ids = pa.concat_arrays([b.column("id") for b in batches])
+        self.points, (self.labels, self.unlabelled) = _points(batches, width), _labels(batches, len(names))
+        self.names, self.centre = names, None
+        self.sums: list[dict[int | None, list]] = [{} for _ in names]  # label to distances and number
+        self.finite = bool(np.isfinite(self.points).all())
+        if width >= WIDE and self.finite:
+            self.centre = self.points.mean(0)
+            self.points = self.points - self.centre
+            self.norms = np.einsum("ij,ij->i", self.points, self.points)
+
+    def add(self, far: np.ndarray, labels: np.ndarray, unlabelled: np.ndarray) -> None:
+        near, norms = self.points, None
+        if self.centre is not None:
+            moved = far - self.centre
+            norms = np.einsum("ij,ij->i", moved, moved)
+            if np.isfinite(norms).all() and np.isfinite(self.norms).all():
+                far = moved
+            else:
+                near, norms = self.points + self.centre, None
+        # For every labelling its labels and which far points have them, in a row.
+        groups = []
+        for i in range(len(self.names)):
+            order = np.lexsort((labels[:, i], unlabelled[:, i]))
+            own, none = labels[order, i], unlabelled[order, i]
+            first = np.flatnonzero(np.concatenate([[True], (own[1:] != own[:-1]) & ~none[1:] | (none[1:] != none[:-1])]))
+            groups.append((order, first, [None if none[f] else int(own[f]) for f in first], np.diff(first, append=len(own))))
+        totals = [np.empty((len(near), len(seen))) for _, _, seen, _ in groups]
+        columns = [np.ascontiguousarray(column) for column in far.T] if norms is None else []
+        hot = [self._hot(len(far), *group) for group in groups]
+        step, odd = max(1, TILE // len(far)), not (self.finite and np.isfinite(far).all())
+        for start in range(0, len(near), step):
+            tile = slice(start, start + step)
+            distances = _tile_distances(near[tile], far, columns, None if norms is None else (self.norms[tile], norms))
+            for total, one, (order, first, _, _) in zip(totals, hot, groups):
+                total[tile] = np.add.reduceat(distances.take(order, axis=1), first, axis=1) if one is None else distances @ one
+                if one is None and odd:  # as in a product, what is no number shows in the sums of all labels
+                    total[tile] += distances.sum(1, keepdims=True) * 0
+        for held, total, (_, _, seen, count) in zip(self.sums, totals, groups):
+            for at, (label, n) in enumerate(zip(seen, count.tolist())):
+                if label in held:
+                    held[label][0] += total[:, at]
+                    held[label][1] += n
+                else:
+                    held[label] = [total[:, at].copy(), n]
+
+    @staticmethod
+    def _hot(n: int, order: np.ndarray, first: np.ndarray, seen: list, count: np.ndarray) -> np.ndarray | None:
+        """Which far point has which label, for few labels."""
+        if len(seen) > 32:
+            return None
+        one = np.zeros((n, len(seen)))
+        one[order, np.repeat(np.arange(len(seen)), count)] = 1
+        return one
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        n = len(self.ids)
+        for i, (name, held) in enumerate(zip(self.names, self.sums)):
+            own = pa.array(self.labels[:, i], pa.int64(), mask=self.unlabelled[:, i])
+            for label, (total, count) in held.items():
+                columns = [pa.repeat(pa.scalar(name), n), self.ids, own, pa.repeat(pa.scalar(label, pa.int64()), n), pa.array(total, from_pandas=True), pa.repeat(pa.scalar(count, pa.int64()), n)]
+                yield pa.RecordBatch.from_arrays(columns, names=[field.split()[0] for field in _SUMS.split(", ")])
+
+
+def _points(batches: list[pa.RecordBatch], width: int) -> np.ndarray:
+    return np.concatenate([b.column("point").flatten().to_numpy(zero_copy_only=False).reshape(-1, width) for b in batches])
+
+
+def _labels(batches: list[pa.RecordBatch], names: int) -> tuple[np.ndarray, np.ndarray]:
+    """Labels, and which of them are missing."""
+    flat = pa.concat_arrays([b.column("labels").flatten() for b in batches])
+    return flat.fill_null(0).to_numpy(zero_copy_only=False).reshape(-1, names), flat.is_null().to_numpy(zero_copy_only=False).reshape(-1, names)
+
+
+def _distance_sums(pairs: DataFrame, labellings: Sequence[str], width: int) -> DataFrame:
     """Per point and label: summed distance to that label's points, and their number.
 
-    Every row is a pair of blocks.  Rows of one near block follow each other, so the
-    sums of a block are kept until the next block begins.
+    Of every task the near points come first, and are held; the far ones pass by.
     """
     names = list(labellings)
 
-    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def by_label(points, far, far_labels):
-            # (labels, distance sums, counts) per labelling, of one pair of blocks.
-            members = [np.unique(far_labels[:, i], return_inverse=True) for i in range(len(names))]
-            hot = [np.eye(len(seen))[inverse] for seen, inverse in members]
-            totals = [np.empty((len(points), len(seen))) for seen, _ in members]
-            # Small tiles stay in the processor cache.
-            step = max(1, 65_536 // len(far))
-            columns = [np.ascontiguousarray(far[:, axis]) for axis in range(width)]
-            tile, gap = np.empty((step, len(far))), np.empty((step, len(far)))
-            for start in range(0, len(points), step):
-                part = points[start : start + step]
-                squares, difference = tile[: len(part)], gap[: len(part)]
-                squares.fill(0.0)
-                for axis, column in enumerate(columns):
-                    np.subtract(part[:, axis, None], column, out=difference)
-                    np.multiply(difference, difference, out=difference)
-                    np.add(squares, difference, out=squares)
-                distances = np.sqrt(squares, out=squares)
-                for total, one in zip(totals, hot):
-                    total[start : start + step] = distances @ one
-            return [
-                (seen, total, np.bincount(inverse, minlength=len(seen)))
-                for (seen, inverse), total in zip(members, totals)
-            ]
-
-        def added(held, new):
-            # Labels are ascending on both sides; add up label by label.
-            seen = np.union1d(held[0], new[0])
-            total, count = np.zeros((len(held[1]), len(seen))), np.zeros(len(seen), dtype="int64")
-            for labels, sums_, counts in (held, new):
-                at = np.searchsorted(seen, labels)
-                total[:, at] += sums_
-                count[at] += counts
-            return seen, total, count
-
-        def rows_of(block):
-            for number, name in enumerate(names):
-                seen, total, count = block["found"][number]
-                for at, label in enumerate(seen):
-                    yield pd.DataFrame(
-                        {
-                            "labelling": name,
-                            "point_id": block["ids"],
-                            "own_label": block["labels"][:, number],
-                            "label": label,
-                            "distance_sum": total[:, at],
-                            "n_points": count[at],
-                        }
-                    )
-
-        current = None
+    def sums(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, held, block = None, [], None
         for batch in batches:
-            for row in batch.itertuples(index=False):
-                if current is None or current["block"] != row.block:
-                    if current is not None:
-                        yield from rows_of(current)
-                    current = {
-                        "block": row.block,
-                        "ids": np.asarray(row.ids),
-                        "points": np.asarray(row.points).reshape(-1, width),
-                        "labels": np.asarray(row.labels).reshape(-1, len(names)),
-                        "found": None,
-                    }
-                far = np.asarray(row.far_points).reshape(-1, width)
-                new = by_label(current["points"], far, np.asarray(row.far_labels).reshape(-1, len(names)))
-                held = current["found"]
-                current["found"] = new if held is None else [added(a, b) for a, b in zip(held, new)]
-        if current is not None:
-            yield from rows_of(current)
-
-    return spread.mapInPandas(
-        sums,
-        "labelling string, point_id bigint, own_label bigint, label bigint, distance_sum double, n_points bigint",
-    )
+            tasks, far = batch.column("task").to_numpy(), batch.column("far").to_numpy()
+            cuts = [0, *(np.flatnonzero((tasks[1:] != tasks[:-1]) | (far[1:] != far[:-1])) + 1).tolist(), len(tasks)]
+            for start, end in zip(cuts, cuts[1:]):
+                if start == end:
+                    continue
+                if tasks[start] != task:
+                    if block is not None:
+                        yield from block.rows()
+                    task, held, block = tasks[start], [], None
+                part = batch.slice(start, end - start)
+                if not far[start]:
+                    held.append(part)
+                elif held or block is not None:  # without near points there is nothing to measure
+                    if block is None:
+                        block, held = _Block(held, width, names), []
+                    for i in range(0, end - start, FAR):
+                        some = [part.slice(i, FAR)]
+                        block.add(_points(some, width), *_labels(some, len(names)))
+        if block is not None:
+            yield from block.rows()
+
+    return pairs.select("task", "far", "id", "point", "labels").mapInArrow(sums, _SUMS)
+
+
+def _deal(points: int, numbers: int, width: int, labels: int, block_rows: int | None) -> tuple[int, int]:
+    """Into how many near blocks and far slices points are dealt: a task for every two of them.
+
+    A task holds its block; both together are copied for each other, so about as many of each cost least.
+    """
+    if block_rows is not None:
+        blocks = max(1, -(-points // block_rows))
+        return blocks, min(blocks, -(-numbers // blocks))
+    tasks = max(1, min(max(numbers, -(-points * points // TASK_PAIRS)), (-(-points // BLOCK_ROWS)) ** 2))
+    slices = max(1, int((tasks * width / (width + 4 * labels)) ** 0.5))
+    most = max(64, HELD // (width + 2 * labels))
+    return max(-(-tasks // slices), -(-points // most)), slices
 
 
 def silhouette_values(
@@ -107,18 +177,18 @@ def silhouette_values(
     features: Sequence[str],
     labellings: Sequence[str],
     id_col: str = "point_id",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Silhouette of every point under every labelling column: exact, no sampling.
 
-    ``id_col`` is unique.  Points are packed into blocks of about ``block_rows`` by a
-    hash of the id, so blocks do not follow clusters and none is larger than the
-    rest.  Each block meets every block once: a task measures one pair of blocks in
-    memory, for all labellings at once, and only keeps per-point sums by label.
-    Rows moved: points x blocks, never points x points.
+    ``id_col`` is unique.  Points are dealt into near blocks and far slices by
+    hashes of the id, so that they do not follow clusters and none is larger than the
+    rest.  A task holds one block (of about ``block_rows`` points, if that is given) and
+    reads one slice row by row, for all labellings at once, and only keeps per-point sums
+    by label.  Rows moved: points x (blocks + slices), never points x points.
     """
     names, axes = list(labellings), list(features)
-    # Written once: the table is counted and then packed for both sides.
+    # Written once: the table is counted and then read for both sides.
     table = settle(
         df.select(
             F.col(id_col).cast("bigint").alias("id"),
@@ -126,37 +196,19 @@ def silhouette_values(
             F.array(*[F.col(c).cast("bigint") for c in names]).alias("labels"),
         )
     )
-    count = max(1, -(-table.count() // block_rows))
-    packed = (
-        table.select(
-            F.pmod(F.xxhash64("id"), F.lit(count)).alias("block"), F.struct("id", "point", "labels").alias("row")
-        )
-        .groupBy("block")
-        .agg(F.collect_list("row").alias("rows"))
-        .select(
-            "block",
-            F.col("rows.id").alias("ids"),
-            F.flatten("rows.point").alias("points"),
-            F.flatten("rows.labels").alias("labels"),
-        )
-    )
-    # Enough pieces for all cores: the partners of a block are dealt to slices, and a
-    # task holds one (block, slice).  Numbered partitions are not merged again.
-    slices = min(count, -(-4 * df.sparkSession.sparkContext.defaultParallelism // count))
-    places = (count * slices, "block", "slice")
-    near = packed.withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))).repartition(*places)
-    far = (
-        packed.select(
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(count - 1).cast("bigint"))).alias("block"),
-            F.pmod("block", F.lit(slices)).cast("int").alias("slice"),
-            F.col("points").alias("far_points"),
-            F.col("labels").alias("far_labels"),
-        )
-        .repartition(*places)
-        .sortWithinPartitions("block", "slice")
+    size = table.agg(F.count(F.lit(1)), *[F.approx_count_distinct(F.get("labels", F.lit(i))) for i in range(len(names))]).first()
+    blocks, slices = _deal(size[0], 4 * df.sparkSession.sparkContext.defaultParallelism, len(axes), sum(size[1:]), block_rows)
+    block, slice_ = F.pmod(F.xxhash64("id"), F.lit(blocks)), F.pmod(F.xxhash64("id", F.lit(1)), F.lit(slices))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    near = table.withColumn("other", every(slices)).withColumn("task", (block * slices + F.col("other")).cast("int"))
+    far = table.withColumn("other", every(blocks)).withColumn("task", (F.col("other") * slices + slice_).cast("int"))
+    pairs = (
+        near.withColumn("far", F.lit(0)).unionByName(far.withColumn("far", F.lit(1)))
+        .repartitionById(blocks * slices, "task")
+        .sortWithinPartitions("task", "far")
     )
     by_label = (
-        _distance_sums(near.join(far, ["block", "slice"]), names, len(axes))
+        _distance_sums(pairs, names, len(axes))
         .repartition("labelling", "point_id")
         .groupBy("labelling", "point_id", "own_label", "label")
         .agg(F.sum("distance_sum").alias("distance_sum"), F.sum("n_points").alias("n_points"))
@@ -180,7 +232,7 @@ def silhouette(
     features: Sequence[str],
     labellings: Sequence[str],
     id_col: str = "point_id",
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Mean silhouette per labelling; NULL where the labelling has one label only."""
     return (

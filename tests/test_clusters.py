@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from heliovane.functions.medians import exact_medians
 from heliovane.operators import clusters, features, interpret, kmeans, quality
+from heliovane.operators import silhouette as silhouettes
 from heliovane.operators.silhouette import silhouette, silhouette_values
 from heliovane.schema import MEAN_COLUMNS
 
@@ -224,6 +225,47 @@ def test_silhouette_equals_brute_force(spark, block_rows):
     assert all(r["silhouette"] is None for r in found if r["labelling"] == "one")
 
 
+@pytest.mark.parametrize("block_rows", [None, 50])
+@pytest.mark.parametrize("offset", [0.0, 1e6])
+def test_silhouette_of_wide_points_equals_brute_force(spark, block_rows, offset):
+    """Norms and products give the distances that differences give: copies, near copies and points far from the origin too."""
+    rng = np.random.default_rng(4)
+    points, labels = np.round(rng.normal(size=(240, 40)), 3), [*rng.integers(0, 3, 120).tolist(), *rng.integers(3, 60, 120).tolist()]
+    points[20:60] = points[0]
+    points[60:70] = points[0] + 1e-7
+    points[70] *= 1e4
+    points += offset
+    table = spark.createDataFrame([(i, points[i].tolist(), labels[i]) for i in range(240)], "point_id INT, v ARRAY<DOUBLE>, l INT")
+    axes = [f"e{i}" for i in range(40)]
+    found = silhouette_values(table.select("point_id", "l", *[F.get("v", F.lit(i)).alias(a) for i, a in enumerate(axes)]), axes, ["l"], block_rows=block_rows)
+    gaps, labels = np.sqrt(((points[:, None] - points[None]) ** 2).sum(-1)), np.array(labels)
+    got = {r["point_id"]: r["silhouette"] for r in found.collect()}
+    for i in range(240):
+        own = labels == labels[i]
+        a = gaps[i][own].sum() / max(1, own.sum() - 1)
+        b = min(gaps[i][labels == c].mean() for c in set(labels) - {labels[i]})
+        assert got[i] == pytest.approx((b - a) / max(a, b) if own.sum() > 1 else 0.0, abs=1e-8)
+
+
+def test_points_of_a_silhouette_travel_one_by_one(spark, monkeypatch):
+    """A row holds one point, so that a batch of rows is bounded, and not one or two blocks of points."""
+    taken, real = [], silhouettes._distance_sums
+    monkeypatch.setattr(silhouettes, "_distance_sums", lambda frame, *rest: taken.append(frame) or real(frame, *rest))
+    rows = spark.range(5000).selectExpr("id AS point_id", "CAST(id % 97 AS DOUBLE) AS x", "CAST(id % 13 AS DOUBLE) AS y", "id % 3 AS l")
+    assert silhouette_values(rows, ["x", "y"], ["l"]).count() == 5000
+    lists = [c for c, kind in taken[0].dtypes if kind.startswith("array")]
+    assert max(taken[0].agg(*[F.max(F.size(c)) for c in lists]).first()) == 2
+
+
+def test_labels_and_features_that_are_missing(spark):
+    rows = [(i, float(i), i % 2 if i % 5 else None) for i in range(40)]
+    df = spark.createDataFrame(rows, "point_id INT, x DOUBLE, l INT").withColumn("none", F.lit(None).cast("int"))
+    found = {(r["labelling"], r["point_id"]): r for r in silhouette_values(df, ["x"], ["l", "none"], block_rows=7).collect()}
+    assert len(found) == 80 and all((r["silhouette"] is None) == (r["label"] is None) for r in found.values())
+    gone = silhouette(df.withColumn("x", F.when(F.col("point_id") != 3, F.col("x"))), ["x"], ["l"]).first()["silhouette"]
+    assert gone is None
+
+
 def test_davies_bouldin_of_equal_centers(spark):
     df = spark.createDataFrame([(0, 0.0, 0), (1, 2.0, 0), (2, 0.0, 1), (3, 2.0, 1)], "point_id BIGINT, x DOUBLE, l INT")
     assert quality.davies_bouldin(df, ["x"], ["l"]).first()["davies_bouldin"] == 0.0
